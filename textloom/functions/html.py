@@ -14,6 +14,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.functions import text as tx
 
@@ -46,7 +47,7 @@ def looks_like_html(text: Column, window: int | None = 200) -> Column:
     return found
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 

@@ -8,6 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.functions import html as hx
 
@@ -99,7 +100,7 @@ def repair_mojibake(text: Column) -> Column:
 
 def unescape_plain(text: Column) -> Column:
     """Character references, up to the line that holds the first '<'."""
-    before = F.regexp_replace(F.substring_index(text, "<", 1), r"[^\n]*\z", "")
+    before = F.regexp_replace(F.substring_index(text, "<", 1), r"(?<![^\n])[^\n]*\z", "")
     head = F.when(F.contains(text, F.lit("<")), before).otherwise(text)
     tail = F.substr(text, F.length(head) + 1)
     some = F.contains(text, F.lit("&"))
@@ -127,7 +128,7 @@ def drop_controls(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, TERMINAL, ""), UNWANTED, "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 

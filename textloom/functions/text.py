@@ -6,6 +6,8 @@ that counting, trimming and splitting can not drift apart.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,12 @@ def or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once, however often it is used.
+    Spark repeats an expression per use inside conditional branches."""
+    return F.transform(F.array(value), use)[0]
+
+
 def head(text: Column, window: int | None) -> Column:
     """The first `window` code points; the whole text for None."""
     return text if window is None else F.substring(text, 1, window)

@@ -19,9 +19,8 @@ def looks_binary(text: Column, window: int | None = 2_000) -> Column:
 
 def tag_heavy(text: Column, max_ratio: float = 0.1) -> Column:
     """More than max_ratio tags per word; a text without words is never heavy."""
-    n_words = tx.word_count(text)
     n_tags = F.regexp_count(text, F.lit(TAG))
-    return F.when(n_words > 0, n_tags / n_words > max_ratio).otherwise(False)
+    return tx.bind(tx.word_count(text), lambda n: F.when(n > 0, n_tags / n > max_ratio).otherwise(False))
 
 
 def length_ok(text: Column, low: int = 100, high: int = 1_000_000) -> Column:
@@ -34,8 +33,10 @@ def has_content_line(text: Column) -> Column:
 
 def mean_line_length(text: Column) -> Column:
     """Mean length of the non-blank lines, untrimmed; null without any."""
-    kept = tx.nonblank_lines(text)
-    return F.when(F.size(kept) > 0, F.length(F.array_join(kept, "")) / F.size(kept))
+    return tx.bind(
+        tx.nonblank_lines(text),
+        lambda kept: F.when(F.size(kept) > 0, F.length(F.array_join(kept, "")) / F.size(kept)),
+    )
 
 
 def lines_long_enough(text: Column, minimum: int = 20) -> Column:
@@ -45,13 +46,15 @@ def lines_long_enough(text: Column, minimum: int = 20) -> Column:
 def reject_reason(text: Column, s: Settings = Settings()) -> Column:
     """Name of the first rule a text breaks, null when it is kept."""
     t = tx.or_empty(text)
-    mean = mean_line_length(t)
+    by_lines = tx.bind(
+        mean_line_length(t),
+        lambda mean: F.when(mean.isNull(), "blank").when(mean < s.min_avg_line_len, "short_lines"),
+    )
     return (
         F.when(looks_binary(t, s.binary_window), "binary")
         .when(tag_heavy(t, s.max_html_ratio), "html")
         .when(~length_ok(t, s.min_chars, s.max_chars), "length")
-        .when(mean.isNull(), "blank")
-        .when(mean < s.min_avg_line_len, "short_lines")
+        .otherwise(by_lines)
     )
 
 
