@@ -67,10 +67,16 @@ COPIED = f"""copied AS (
 
 
 def sql_shingles(source: str, key: str) -> str:
-    """(key, s): distinct shingles of five words."""
-    return f"""SELECT DISTINCT {key}, unnest(list_transform(range(1, greatest(1, len(w) - 4) + 1),
-                 lambda i: array_to_string(w[i:i + 4], ' '))) AS s
-               FROM (SELECT {key}, {sql_words("text")} AS w FROM {source})"""
+    """(key, s): distinct shingles of five words, shorter only where a text has
+    fewer words than that."""
+    return f"""SELECT DISTINCT {key}, s FROM (
+        SELECT {key}, pos, n, array_to_string([w1, lead(w1) OVER p, lead(w1, 2) OVER p, lead(w1, 3) OVER p,
+                                               lead(w1, 4) OVER p], ' ') AS s
+        FROM (SELECT {key}, len(w) AS n, unnest(w) AS w1, generate_subscripts(w, 1) AS pos
+              FROM (SELECT {key}, {sql_words("text")} AS w FROM {source}))
+        WINDOW p AS (PARTITION BY {key} ORDER BY pos))
+      WHERE pos <= greatest(1, n - 4)
+      UNION ALL SELECT {key}, '' FROM {source} WHERE len({sql_words("text")}) = 0"""
 
 
 def sql_signatures(source: str, key: str) -> str:
@@ -85,8 +91,8 @@ def sql_signatures(source: str, key: str) -> str:
       SELECT DISTINCT {key}, ('0x' || h[7:8] || h[5:6] || h[3:4] || h[1:2])::BIGINT::HUGEINT AS h
       FROM (SELECT {key}, sha1(s) AS h FROM ({sql_shingles(source, key)}))),
     signed AS (
-      SELECT {key}, j, CAST(min((((a * h + b) % 18446744073709551616) % 2305843009213693951) % 4294967296)
-                            AS BIGINT) AS v
+      SELECT {key}, j, CAST(min(CAST((a * h + b) & 18446744073709551615::HUGEINT AS UBIGINT)
+                                % 2305843009213693951::UBIGINT % 4294967296::UBIGINT) AS BIGINT) AS v
       FROM hashed CROSS JOIN family GROUP BY {key}, j)"""
 
 

@@ -67,17 +67,18 @@ def source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.groupBy("source", "lang", "domain").agg(F.count(F.lit(1)).alias("docs"))
 
 
-def sql_grams(source: str, key: str, text: str = "text") -> str:
-    """(key, gram): all 1- to 3-grams of a text."""
-    return f"""SELECT {key}, unnest(list_concat(list_concat(
-        list_transform(range(1, length(t) + 1), lambda i: t[i:i]),
-        list_transform(range(1, length(t)), lambda i: t[i:i + 1])),
-        list_transform(range(1, length(t) - 1), lambda i: t[i:i + 2]))) AS gram
-        FROM (SELECT {key}, {text} AS t FROM {source})"""
+def sql_grams(source: str, key: str, text: str = "text", row: str = "doc_id") -> str:
+    """(key, gram): all 1- to 3-grams of a text; `row` tells the texts apart."""
+    return f"""
+        SELECT {key}, unnest([a, a || b, a || b || c]) AS gram FROM (
+          SELECT {key}, ch AS a, lead(ch) OVER w AS b, lead(ch, 2) OVER w AS c
+          FROM (SELECT {row} AS r, {key}, unnest(cs) AS ch, generate_subscripts(cs, 1) AS pos
+                FROM (SELECT *, string_split({text}, '') AS cs FROM {source}))
+          WINDOW w AS (PARTITION BY r ORDER BY pos))"""
 
 
 MODEL = f"""
-    seen AS (SELECT lang, gram, count(*) AS n FROM ({sql_grams("documents", "lang")}) GROUP BY ALL),
+    seen AS (SELECT lang, gram, count(*) AS n FROM ({sql_grams("documents", "lang")}) WHERE gram IS NOT NULL GROUP BY ALL),
     model AS (
       SELECT l.lang, g.gram,
              CAST(round(ln((coalesce(s.n, 0) + 1) / (l.total + (SELECT count(DISTINCT gram) FROM seen))) * 1000000)
@@ -90,7 +91,8 @@ MODEL = f"""
 def sql_detect(name: str, source: str, key: str, text: str) -> str:
     """CTEs ending in `name`: (key, lang, conf) for texts with known grams."""
     return f"""
-    {name}_counted AS (SELECT {key}, gram, count(*) AS n FROM ({sql_grams(source, key, text)}) GROUP BY ALL),
+    {name}_counted AS (SELECT {key}, gram, count(*) AS n FROM ({sql_grams(source, key, text, key)})
+                        WHERE gram IS NOT NULL GROUP BY ALL),
     {name}_scores AS (SELECT {key}, lang, sum(n * logp) AS score
                       FROM {name}_counted JOIN model USING (gram) GROUP BY ALL),
     {name}_best AS (SELECT {key}, max(score) AS best FROM {name}_scores GROUP BY {key}),

@@ -39,10 +39,12 @@ HOT_FLOOR = 100_000  # rows one task takes without any help
 def shingles(text: Column, size: int = 5) -> Column:
     """Distinct word shingles. Fewer words than `size` give one shingle of all
     of them; a text without words gives the empty one."""
-    w = tx.words(text)
-    last = F.greatest(F.size(w) - size, F.lit(0))
-    per_start = F.transform(F.sequence(F.lit(1), last + 1), lambda i: F.array_join(F.slice(w, i, size), " "))
-    return F.array_distinct(per_start)
+
+    def cut(w: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - size, F.lit(0)) + 1)
+        return F.transform(starts, lambda i: F.array_join(F.slice(w, i, size), " "))
+
+    return F.array_distinct(tx.bind(tx.words(text), cut))
 
 
 @lru_cache

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from textloom.config import Settings
 from textloom.functions import text as tx
 from textloom.operators import domain
+from textloom.session import materialize
 
 SCALE = 1_000_000  # log-probabilities are whole millionths
 GRAM_SIZES = (1, 2, 3)
@@ -32,27 +33,24 @@ def _join(a: Column, b: Column) -> Column:
 
 def grams(text: Column) -> Column:
     """All 1-, 2- and 3-grams, each built from the shorter ones."""
-    one = tx.chars(text)
-    n = F.size(one)
-    shifted = F.slice(one, 2, F.greatest(n - 1, F.lit(0)))
-    two = F.zip_with(F.slice(one, 1, F.greatest(n - 1, F.lit(0))), shifted, _join)
-    three = F.zip_with(
-        F.slice(two, 1, F.greatest(n - 2, F.lit(0))),
-        F.slice(one, 3, F.greatest(n - 2, F.lit(0))),
-        _join,
+
+    def longer(grams: Column, one: Column, size: int) -> Column:
+        n = F.greatest(F.size(one) - size + 1, F.lit(0))
+        return F.zip_with(F.slice(grams, 1, n), F.slice(one, size, n), _join)
+
+    return tx.bind(
+        tx.chars(text),
+        lambda one: tx.bind(longer(one, one, 2), lambda two: F.concat(one, two, longer(two, one, 3))),
     )
-    return F.concat(one, two, three)
 
 
 def fit(df: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:
     """Model rows (lang, gram, logp): every language has a row for every gram
     of any language. The only corpus-size step is the first aggregate, which
-    combines map-side; its result is bounded by the grams in use."""
-    seen = (
-        df.select(F.col(label).alias("lang"), F.explode(grams(F.col(text))).alias("gram"))
-        .groupBy("lang", "gram")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    combines map-side; its result is bounded by the grams in use and is written
+    once, because three later steps read it."""
+    exploded = df.select(F.col(label).alias("lang"), F.explode(grams(F.col(text))).alias("gram"))
+    seen = materialize(exploded.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n")), "grams")
     by_gram = seen.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("counts"))
     totals = seen.groupBy("lang").agg(F.sum("n").alias("total"))
     # One row: the totals of all languages and the number of grams.
