@@ -351,6 +351,9 @@ def train_from_counts(
     model = Vocabulary([t.encode() for t in vb.SPECIALS] + [by_id[i] for i in sorted(by_id)])
     tokens = {t: i for i, t in enumerate(model.tokens)}
 
+    if len(model.tokens) >= vocab_size:
+        return model
+
     table = np.zeros(256, dtype=np.int32)
     for byte, i in ids.items():
         table[byte] = i
