@@ -108,7 +108,7 @@ for _domain, _hints in dm.HINTS.items():
     _DOMAIN[f"{_domain}_far"] = f"repeat('-', {FAR}) || '{_hints[0]}' || text"
 
 
-def _domain_case(text: str) -> str:
+def sql_domain(text: str) -> str:
     arms = " ".join(
         "WHEN " + " OR ".join(f"contains({text}, '{h}')" for h in hints) + f" THEN '{d}'"
         for d, hints in dm.HINTS.items()
@@ -134,8 +134,8 @@ QUERIES = {
     ),
     "domain_tag": (
         domains,
-        f"""SELECT doc_id, variant, {_domain_case("lower(text[1:500])")} AS domain,
-                   {_domain_case("lower(text)")} AS domain_anywhere
+        f"""SELECT doc_id, variant, {sql_domain("lower(text[1:500])")} AS domain,
+                   {sql_domain("lower(text)")} AS domain_anywhere
             FROM ({sql_variants(_DOMAIN)})""",
     ),
     "lang_histogram": (
@@ -146,7 +146,7 @@ QUERIES = {
     ),
     "source_counts": (
         source_counts,
-        f"""SELECT source, lang, {_domain_case("lower(text[1:500])")} AS domain, count(*) AS docs
+        f"""SELECT source, lang, {sql_domain("lower(text[1:500])")} AS domain, count(*) AS docs
             FROM documents WHERE ({REASON}) IS NULL GROUP BY ALL""",
     ),
 }

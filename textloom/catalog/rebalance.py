@@ -73,13 +73,13 @@ def _log(target: int) -> str:
         {target} AS target FROM sizes"""
 
 
-def _picked(seed: int = 42) -> str:
+def sql_picked(seed: int = 42) -> str:
     return f"""picked AS (SELECT id, lang FROM (
         SELECT id, t.lang, quota, row_number() OVER (PARTITION BY t.lang ORDER BY md5('{seed}:' || id)) AS r
         FROM tagged t JOIN quota q ON t.lang = q.lang) WHERE r <= quota)"""
 
 
-def _positions(source: str, columns: str, shard_size: int) -> str:
+def sql_positions(source: str, columns: str, shard_size: int) -> str:
     return f"""SELECT {columns}, position, position // {shard_size} AS shard FROM (
         SELECT *, row_number() OVER (ORDER BY md5('43:' || id)) - 1 AS position FROM {source})"""
 
@@ -87,19 +87,19 @@ def _positions(source: str, columns: str, shard_size: int) -> str:
 QUERIES = {
     "quota_cap": (cap, f"WITH {TAGGED}, {SIZES}, {CAP} SELECT lang, docs, quota FROM quota"),
     "quota_log": (log_shares, f"WITH {TAGGED}, {SIZES} " + " UNION ALL ".join(_log(t) for t in TARGETS)),
-    "balanced_sample": (sample, f"WITH {TAGGED}, {SIZES}, {CAP}, {_picked()} SELECT id, lang FROM picked"),
+    "balanced_sample": (sample, f"WITH {TAGGED}, {SIZES}, {CAP}, {sql_picked()} SELECT id, lang FROM picked"),
     "balanced_sample_log": (
         sample_log,
-        f"WITH {TAGGED}, {SIZES}, quota AS ({_log(TARGETS[0])}), {_picked()} SELECT id, lang FROM picked",
+        f"WITH {TAGGED}, {SIZES}, quota AS ({_log(TARGETS[0])}), {sql_picked()} SELECT id, lang FROM picked",
     ),
-    "shuffled_order": (shuffled, f"WITH {TAGGED} {_positions('tagged', 'id', 100)}"),
+    "shuffled_order": (shuffled, f"WITH {TAGGED} {sql_positions('tagged', 'id', 100)}"),
     "rebalanced": (
         rebalanced,
-        f"WITH {TAGGED}, {SIZES}, {CAP}, {_picked()} {_positions('picked', 'id, lang', 10_000)}",
+        f"WITH {TAGGED}, {SIZES}, {CAP}, {sql_picked()} {sql_positions('picked', 'id, lang', 10_000)}",
     ),
     "balance_report": (
         report,
-        f"""WITH {TAGGED}, {SIZES}, {CAP}, {_picked()}
+        f"""WITH {TAGGED}, {SIZES}, {CAP}, {sql_picked()}
             SELECT lang, docs, (SELECT count(*) FROM picked p WHERE p.lang = s.lang) AS sampled FROM sizes s""",
     ),
 }

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from textloom.catalog import dedup, encoding, extract, filters, ingest, language, rebalance, vocabulary
+from textloom.catalog import chain, dedup, encoding, extract, filters, ingest, language, rebalance, vocabulary
 from textloom.catalog.common import Query
 
-MODULES = (ingest, filters, extract, encoding, language, dedup, rebalance, vocabulary)
+MODULES = (ingest, filters, extract, encoding, language, dedup, rebalance, vocabulary, chain)
 
 
 def all_queries() -> dict[str, tuple[Query, str | None]]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from textloom.session import materialize
@@ -44,4 +44,10 @@ def first_n(df: DataFrame, order: str, n: int, ranges: int = 4_096) -> DataFrame
         .filter(F.col("_rank") == n - edge["before"])
         .first()
     )
-    return df.filter(F.col(order) <= F.lit(cut[order]))
+    return df.filter(F.col(order) <= _literal(cut[order]).cast(df.schema[order].dataType))
+
+
+def _literal(value) -> Column:
+    if isinstance(value, Row):
+        return F.struct(*[_literal(v).alias(k) for k, v in value.asDict().items()])
+    return F.lit(value)
