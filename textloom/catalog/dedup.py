@@ -15,8 +15,8 @@ def copied(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ord, text): every document, followed by copies of it without its last
     word and without its last two words."""
     t = F.col("text")
-    one = F.regexp_replace(t, rf"[{tx.WS}]+[^{tx.WS}]+\z", "")
-    two = F.regexp_replace(one, rf"[{tx.WS}]+[^{tx.WS}]+\z", "")
+    one = F.regexp_replace(t, rf"[{tx.WS}]+{tx.NON_WS}+\z", "")
+    two = F.regexp_replace(one, rf"[{tx.WS}]+{tx.NON_WS}+\z", "")
     each = documents(spark, sf_dir).select("doc_id", F.posexplode(F.array(t, one, two)).alias("copy", "text"))
     return each.select((F.col("doc_id") * 3 + F.col("copy")).alias("ord"), "text")
 

@@ -10,7 +10,7 @@ from textloom.functions import text as tx
 from textloom.operators import counters as ct
 from textloom.operators import filters as ft
 
-_NONWS = rf"[^{tx.WS}]"
+_NONWS = tx.NON_WS
 
 
 def damaged(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:

@@ -11,9 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode whitespace (including the ASCII separators 1C-1F) and
-# the characters that end a line. Java's \s is ASCII-only by default.
-WS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Unicode whitespace (all separators, the ASCII blanks and the
+# control characters 1C-1F and 85), what is not whitespace, and what ends a
+# line. Java's own \s is ASCII-only. The printable ASCII range comes first in
+# NON_WS because almost every character is decided by it.
+WS = r"\s\x1c-\x1f\x85\p{Z}"
+NON_WS = rf"[!-~[^{WS}]]"
 LINE_BREAK = r"\r\n|[\n-\r\x1c-\x1e\x85\u2028\u2029]"
 
 
@@ -44,15 +47,15 @@ def collapse(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return ~text.rlike(rf"[^{WS}]")
+    return ~text.rlike(NON_WS)
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(rf"([^{WS}]+)"), F.lit(1))
+    return F.regexp_extract_all(text, F.lit(f"({NON_WS}+)"), F.lit(1))
 
 
 def word_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(rf"[^{WS}]+"))
+    return F.regexp_count(text, F.lit(f"{NON_WS}+"))
 
 
 def lines(text: Column) -> Column:

@@ -140,22 +140,24 @@ def _band_rows(df: DataFrame, order: str) -> DataFrame:
 
 
 def _in_bands(rows: DataFrame, bands: DataFrame, order: str, total: int) -> DataFrame:
-    """The rows whose key is one of `bands` (key, _n), written tables both.
+    """The rows whose key is one of `bands` (key, _n, ...), with its columns.
 
-    A band may hold a third of all rows. The bands with more than a
-    10,000th of them, of which there are at most 10,000, are known by their
-    counts: their rows are dealt out over SALTS tasks, and only they are.
+    A band may hold a third of all documents. Bands with more than a 10,000th
+    of them, at most 10,000 for each of a document's few bands, are known by
+    their counts: their rows are dealt out over SALTS tasks, and only they are.
     """
     hot_from = max(HOT_FLOOR, total // 10_000)
+    if total <= hot_from:  # no band can have more
+        return rows.join(bands, "key")
+    bands = materialize(bands, "bands")
     hot = bands.filter(F.col("_n") > hot_from)
     if hot.isEmpty():
-        return rows.join(bands, "key", "left_semi")
+        return rows.join(bands, "key")
     marked = rows.join(F.broadcast(hot.select("key", F.lit(True).alias("_hot"))), "key", "left")
     pick = F.pmod(F.xxhash64(order), F.lit(SALTS)).cast("int")
     salted = marked.withColumn("_salt", F.when(F.col("_hot"), pick).otherwise(0)).drop("_hot")
     every = F.when(F.col("_n") > hot_from, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    spread = bands.withColumn("_salt", F.explode(every))
-    return salted.join(spread, ["key", "_salt"], "left_semi").drop("_salt")
+    return salted.join(bands.withColumn("_salt", F.explode(every)), ["key", "_salt"]).drop("_salt")
 
 
 def dropped_documents(keys: DataFrame, order: str) -> DataFrame:
@@ -165,25 +167,27 @@ def dropped_documents(keys: DataFrame, order: str) -> DataFrame:
     first of them; of the rest, only bands that hold two or more documents go
     into the rounds, which for most corpora is a small part.
     """
-    keys = materialize(keys, "bands")
+    keys = materialize(keys, "signed")
     total = keys.count()
-    first, size = F.min(order).alias(order), F.count(F.lit(1)).alias("_n")
-    distinct = materialize(keys.groupBy("keys").agg(first), "distinct")
+    size = F.count(F.lit(1)).alias("_n")
+    distinct = materialize(keys.groupBy("keys").agg(F.min(order).alias(order)), "distinct")
     dropped = keys.select(order).join(distinct.select(order), order, "left_anti")
 
     rows = _band_rows(distinct, order)
-    shared = materialize(rows.groupBy("key").agg(size).filter("_n > 1"), "shared")
-    undecided = materialize(_in_bands(rows, shared, order, total), "round")
+    shared = rows.groupBy("key").agg(size).filter("_n > 1")
+    undecided = materialize(_in_bands(rows, shared, order, total).select(order, "key"), "round")
     while not undecided.isEmpty():
-        heads = undecided.groupBy("key").agg(first, size)
+        heads = undecided.groupBy("key").agg(F.min(order).alias("_head"), size)
         # Kept: the first one in every one of its remaining bands.
-        led = heads.groupBy(order).agg(F.count(F.lit(1)).alias("_led"))
+        led = heads.groupBy(F.col("_head").alias(order)).agg(F.count(F.lit(1)).alias("_led"))
         has = undecided.groupBy(order).agg(F.count(F.lit(1)).alias("_has"))
-        kept = has.join(led, order).filter("_led = _has").select(order)
-        closed = materialize(heads.join(kept, order, "left_semi"), "closed")
-        hit = _in_bands(undecided, closed.select("key", "_n"), order, total).select(order).distinct()
-        decided = materialize(hit, "decided")  # kept and lost ones
-        dropped = dropped.union(decided.join(closed, order, "left_anti"))
+        kept = has.join(led, order).filter("_led = _has").select(F.col(order).alias("_head"))
+        closed = heads.join(kept, "_head", "left_semi")
+        # In a closed band the head is kept and all others are lost.
+        met = _in_bands(undecided, closed, order, total)
+        decided = met.groupBy(order).agg(F.max(F.col(order) == F.col("_head")).alias("_kept"))
+        decided = materialize(decided, "decided")
+        dropped = dropped.union(decided.filter(~F.col("_kept")).select(order))
         undecided = materialize(undecided.join(decided, order, "left_anti"), "round")
     return materialize(dropped, "dropped")
 

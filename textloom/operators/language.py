@@ -22,21 +22,18 @@ from textloom.session import materialize
 SCALE = 1_000_000  # log-probabilities are whole millionths
 GRAM_SIZES = (1, 2, 3)
 UNKNOWN = "unknown"
+COUNT_TEXTS = 500  # texts whose grams are counted in one go
 # A model below this many table cells (four bytes each) travels to the tasks;
 # a bigger one is joined.
 BROADCAST_CELLS = 32_000_000
 
 
-def _join(a: Column, b: Column) -> Column:
-    return F.concat(a, b)
-
-
 def grams(text: Column) -> Column:
     """All 1-, 2- and 3-grams, each built from the shorter ones."""
 
     def longer(grams: Column, one: Column, size: int) -> Column:
         n = F.greatest(F.size(one) - size + 1, F.lit(0))
-        return F.zip_with(F.slice(grams, 1, n), F.slice(one, size, n), _join)
+        return F.zip_with(F.slice(grams, 1, n), F.slice(one, size, n), lambda a, b: F.concat(a, b))
 
     return tx.bind(
         tx.chars(text),
@@ -44,13 +41,49 @@ def grams(text: Column) -> Column:
     )
 
 
+def _packed(text: str) -> np.ndarray:
+    """The 1- to 3-grams of a text as integers, 21 bits per character."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64) + 1
+    two = (c[:-1] << 21) | c[1:]
+    three = (two[:-1] << 21) | c[2:]
+    return np.concatenate([c, two, three])
+
+
+def _unpacked(key: int) -> str:
+    places = (key >> 42, key >> 21 & 0x1FFFFF, key & 0x1FFFFF)
+    return "".join(chr(p - 1) for p in places if p)
+
+
+def _gram_counts(texts: DataFrame) -> DataFrame:
+    """(lang, gram, n) from (lang, text). Tasks count the grams of a batch
+    before anything is shuffled: a handful of rows instead of three per
+    character."""
+
+    def count(blocks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block in blocks:
+            for lang, part in block.groupby("lang"):
+                for start in range(0, len(part), COUNT_TEXTS):
+                    keys = [_packed(t) for t in part["text"].iloc[start : start + COUNT_TEXTS] if t]
+                    if keys:
+                        found, n = np.unique(np.concatenate(keys), return_counts=True)
+                        yield pd.DataFrame({"lang": lang, "key": found, "n": n})
+
+    def spell(blocks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block in blocks:
+            yield pd.DataFrame({"lang": block["lang"], "gram": block["key"].map(_unpacked), "n": block["n"]})
+
+    partial = texts.mapInPandas(count, "lang string, key bigint, n bigint")
+    summed = partial.groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    return summed.mapInPandas(spell, "lang string, gram string, n bigint")
+
+
 def fit(df: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:
     """Model rows (lang, gram, logp): every language has a row for every gram
     of any language. The only corpus-size step is the first aggregate, which
     combines map-side; its result is bounded by the grams in use and is written
     once, because three later steps read it."""
-    exploded = df.select(F.col(label).alias("lang"), F.explode(grams(F.col(text))).alias("gram"))
-    seen = materialize(exploded.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n")), "grams")
+    texts = df.select(F.col(label).alias("lang"), F.col(text).alias("text"))
+    seen = materialize(_gram_counts(texts), "grams")
     by_gram = seen.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("counts"))
     totals = seen.groupBy("lang").agg(F.sum("n").alias("total"))
     # One row: the totals of all languages and the number of grams.
@@ -64,14 +97,6 @@ def fit(df: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:
     return expanded.select("lang", "gram", F.round(F.log(share) * SCALE).cast("bigint").alias("logp"))
 
 
-def _packed(text: str) -> np.ndarray:
-    """The 1- to 3-grams of a text as integers, 21 bits per character."""
-    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64) + 1
-    two = (c[:-1] << 21) | c[1:]
-    three = (two[:-1] << 21) | c[2:]
-    return np.concatenate([c, two, three])
-
-
 def _posterior(scores: np.ndarray) -> np.ndarray:
     p = np.exp((scores - scores.max()) / SCALE)
     return p / p.sum()

@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 SPECIALS = ("<unk>", "<s>", "</s>", "<pad>", "<mask>")
 UNK, BOS, EOS = 0, 1, 2
 
-# Fixed pattern: how text is cut into words before any byte is merged.
+# Fixed pattern: how text is cut into words before any byte is merged. Blanks
+# are the Unicode ones.
+_BLANK = r"\s\x85\p{Z}"
 WORD_PATTERN = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
+    rf"| ?[^{_BLANK}\p{{L}}\p{{N}}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"
 )
 
 
 def pretokens(text: Column) -> Column:
     """The words of a text, in order; together they are the whole text."""
-    return F.regexp_extract_all(text, F.lit(f"(?U)({WORD_PATTERN})"), F.lit(1))
+    return F.regexp_extract_all(text, F.lit(WORD_PATTERN), F.lit(0))
 
 
 def visible_bytes() -> list[str]:
