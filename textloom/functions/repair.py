@@ -68,13 +68,16 @@ def width_table() -> dict[str, str]:
     return table
 
 
-def _swap(text: Column, table: dict[str, str]) -> Column:
-    """One-to-one entries in one translate, the rest as replacements."""
+def _swap(text: Column, table: dict[str, str], present: str) -> Column:
+    """One-to-one entries in one translate, the rest as replacements. Texts
+    without a match of `present` skip both, which cost a step per character."""
+    plain = text
     single = {k: v for k, v in table.items() if len(v) == 1}
     longer = {k: v for k, v in table.items() if len(v) != 1}
     if single:
         text = F.translate(text, "".join(single), "".join(single.values()))
-    return reduce(lambda t, kv: F.replace(t, F.lit(kv[0]), F.lit(kv[1])), longer.items(), text)
+    swapped = reduce(lambda t, kv: F.replace(t, F.lit(kv[0]), F.lit(kv[1])), longer.items(), text)
+    return F.when(plain.rlike(present), swapped).otherwise(plain)
 
 
 def _repair_line(line: Column) -> Column:
@@ -108,16 +111,16 @@ def unescape_plain(text: Column) -> Column:
 
 
 def split_ligatures(text: Column) -> Column:
-    return _swap(text, LIGATURES)
+    return _swap(text, LIGATURES, r"[ĲĳŉǄ-ǌǱ-ǳﬀ-ﬆ]")
 
 
 def normal_width(text: Column) -> Column:
-    return _swap(text, width_table())
+    return _swap(text, width_table(), r"[　！-￯]")
 
 
 def straight_quotes(text: Column) -> Column:
     table = {q: "'" for q in SINGLE_QUOTES} | {q: '"' for q in DOUBLE_QUOTES}
-    return _swap(text, table)
+    return _swap(text, table, r"[ʼ‘-‟]")
 
 
 def plain_newlines(text: Column) -> Column:
