@@ -54,7 +54,8 @@ def test_gate_compares_before_rounding(spark):
         ("The PATIENT hereinafter", "legal"),
         ("breaking news", "news"),
         ("nothing", "web"),
-        ("x" * 490 + "theorem late", "web"),
+        ("x" * 493 + "theorem", "math"),
+        ("x" * 494 + "theorem", "web"),
         (None, "web"),
     ],
 )

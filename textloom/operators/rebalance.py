@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.config import Settings
+from textloom.session import materialize
 
 BUCKET_DIGITS = 4  # 65,536 buckets of the hash range
 MAX_BROADCAST_GROUPS = 50_000
@@ -48,7 +49,7 @@ def seeded_hash(seed: int, key: str = "id") -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-def _cuts(hashed: DataFrame, quota: DataFrame) -> DataFrame:
+def _cuts(hashed: DataFrame, quota: DataFrame, few: bool) -> DataFrame:
     """(lang, cut): the largest hash each group keeps. Groups without a row
     here keep nothing."""
     digits = F.substring("_hash", 1, BUCKET_DIGITS)
@@ -64,22 +65,20 @@ def _cuts(hashed: DataFrame, quota: DataFrame) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_hash"))
     return (
         hashed.withColumn("_bucket", digits)
-        .join(F.broadcast(edge) if _few(quota) else edge, ["lang", "_bucket"])
+        .join(F.broadcast(edge) if few else edge, ["lang", "_bucket"])
         .withColumn("_rank", rank)
         .filter("_rank = _need")
         .select("lang", F.col("_hash").alias("cut"))
     )
 
 
-def _few(groups: DataFrame) -> bool:
-    return groups.count() <= MAX_BROADCAST_GROUPS
-
-
 def sample(df: DataFrame, quota: DataFrame, s: Settings = Settings(), key: str = "id") -> DataFrame:
     """Exactly `quota` documents per group (all of them where it is the size)."""
+    quota = materialize(quota, "quota")  # a row per group, read several times
     hashed = df.withColumn("lang", group_of()).withColumn("_hash", seeded_hash(s.random_seed, key))
-    cuts = _cuts(hashed.select("lang", "_hash"), quota)
-    picked = hashed.join(F.broadcast(cuts) if _few(quota) else cuts, "lang")
+    few = quota.count() <= MAX_BROADCAST_GROUPS
+    cuts = materialize(_cuts(hashed.select("lang", "_hash"), quota, few), "cuts")
+    picked = hashed.join(F.broadcast(cuts) if few else cuts, "lang")
     return picked.filter(F.col("_hash") <= F.col("cut")).drop("_hash", "cut")
 
 
