@@ -44,6 +44,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: So many ids go to every task at most; beyond, rows are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def flagged(rows: DataFrame, ids: DataFrame, key: str, flag: str) -> DataFrame:
+    """`rows` with a boolean: whether `ids` (written, one row per id) has the key.
+    Read again and again either way, so a joined table is written once."""
+    marks = ids.select(key, F.lit(True).alias("_mark"))
+    small = ids.count() <= BROADCAST_IDS
+    joined = rows.join(F.broadcast(marks) if small else marks, key, "left")
+    joined = joined.withColumn(flag, F.coalesce("_mark", F.lit(False))).drop("_mark")
+    return joined if small else written(joined, "flagged")
+
+
 # ---------------------------------------------------------------- hashing
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -109,14 +123,19 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def word_spans(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+#: Also apart at ASCII punctuation, for operators on bare words.
+APART = BLANK.copy()
+APART[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
+
+
+def word_spans(texts: pa.Array, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words between blanks: (bytes, start, end, first word of each text + total)."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     if pc.any(pc.match_substring_regex(texts, WIDE_BLANK)).as_py():
         texts = pc.replace_substring_regex(texts, WIDE_BLANK, " ")
     raw, bounds = utf8(texts)
     inside = np.zeros(len(raw) + 1, bool)
-    inside[:-1] = ~BLANK[raw]
+    inside[:-1] = ~blank[raw]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     starts_here = bounds[:-1][bounds[:-1] < len(raw)]
@@ -128,11 +147,13 @@ def word_spans(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return raw, start, end, np.searchsorted(start, bounds)
 
 
-def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def lowered(texts: pa.Array) -> pa.Array:
+    return pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+
+
+def word_hashes(texts: pa.Array, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash per word, and the first word of each text + total."""
-    if lower:
-        texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    raw, start, end, bounds = word_spans(texts)
+    raw, start, end, bounds = word_spans(texts, blank)
     return span_hash(prefix_hash(raw), start, end), bounds
 
 

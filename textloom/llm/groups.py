@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import forget, group_starts, written
 
-BLOCK = 1_024
+BLOCK = 2_048
 UNIT = ("_key", "_a", "_b")
 
 

@@ -64,7 +64,7 @@ def weight_of(values: Mapping[str, int], name: Column) -> Column:
 
 
 def share_out(nodes: DataFrame, parents: Sequence[str], name: str) -> DataFrame:
-    """Add `got`: each node's part of its family's `budget`, by `weight`, at
+    """Nodes with `budget`, `cap` and `weight`: add `got`: each node's part of its family's `budget`, by `weight`, at
     most its `cap`.
 
     Filled in the order of cap per weight, a child is full exactly if its cap
@@ -96,22 +96,19 @@ def share_out(nodes: DataFrame, parents: Sequence[str], name: str) -> DataFrame:
 
 
 def leaf_budgets(
-    leaves: DataFrame, budget: Column | int, epochs: int, weights: Sequence[Mapping[str, int]], levels: Sequence[str]
+    leaves: DataFrame, budget: int, epochs: int, weights: Sequence[Mapping[str, int]], levels: Sequence[str]
 ) -> DataFrame:
-    """(levels..., tokens, got) per leaf, from (levels..., tokens, docs)."""
+    """(levels..., tokens, docs, got) per leaf, from (levels..., tokens, docs)."""
     leaves = leaves.withColumn("cap", F.col("tokens") * epochs)
-    total = leaves.groupBy().agg(F.coalesce(F.sum("cap"), F.lit(0)).alias("all"), F.sum("tokens").alias("t"))
-    budget = F.lit(budget).cast("long") if isinstance(budget, int) else budget
-    above = total.select(F.least(budget, F.col("all")).cast("long").alias("budget"), F.lit(0).alias("_root"))
-    parents: list[str] = ["_root"]
-    leaves = leaves.withColumn("_root", F.lit(0))
+    above, parents = None, []
     for depth, level in enumerate(levels):
         keys = [*parents, level]
         nodes = leaves.groupBy(*keys).agg(F.sum("cap").alias("cap"))
-        nodes = nodes.join(above, parents).withColumn("weight", weight_of(weights[depth], F.col(level)))
+        nodes = nodes.withColumn("budget", F.lit(budget).cast("long")) if above is None else nodes.join(above, parents)
+        nodes = nodes.withColumn("weight", weight_of(weights[depth], F.col(level)))
         above = share_out(nodes, parents, level).select(*keys, F.col("got").alias("budget"))
         parents = keys
-    return leaves.join(above, parents).drop("_root", "cap").withColumnRenamed("budget", "got")
+    return leaves.join(above, parents).drop("cap").withColumnRenamed("budget", "got")
 
 
 def mix(
@@ -145,7 +142,8 @@ def mix(
     )
     leaves = stats.groupBy(*groups).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
     leaves = written(leaves, "leaves")
-    budget = F.expr(f"t div {share[1]} * {share[0]} + t % {share[1]} * {share[0]} div {share[1]}")
+    total = leaves.agg(F.sum("tokens")).first()[0] or 0
+    budget = min(total * share[0] // share[1], total * epochs)
     plan = leaf_budgets(leaves, budget, epochs, weights, groups).filter("got > 0")
 
     # Every leaf takes `whole` epochs in full and a prefix of one more.

@@ -5,49 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import mixing, packing, vantage, warc
+import corpus_pipeline
+from textloom.llm import crossentropy, kneser, mixing, ngram_join, packing, quantised, suffix, toxicity, vantage, warc
 from textloom.llm.common import folder
-
-TOKENIZER = "byte_bpe_50k"
+from textloom.llm.settings import MIX_WEIGHTS, tokenizer_paths, with_domain
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_paths() -> tuple[str, str]:
-    import public_tokenizers
-
-    return public_tokenizers.path(f"{TOKENIZER}.json"), public_tokenizers.path(f"{TOKENIZER}.tiktoken")
-
-
 def op1_vantage_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vantage.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10, factor=1.5)
 
 
-def with_domain(documents: DataFrame) -> DataFrame:
-    """The top of the mixing tree: sources in four families by their number."""
-    number = F.coalesce(F.regexp_extract("source", "([0-9]+)$", 1).cast("int"), F.lit(0))
-    return documents.withColumn("domain", F.concat(F.lit("family"), (number % 4).cast("string")))
+def op2_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.deduplicate(table(spark, sf_dir, "documents"))
 
 
-#: Integer weights by level: domain, language, source; groups not named weigh 1.
-MIX_WEIGHTS = ({"family0": 4, "family1": 3, "family2": 2}, {"en": 3, "de": 2}, {"src0": 2})
+def op3_quantised_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantised.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(with_domain(table(spark, sf_dir, "documents")), weights=MIX_WEIGHTS)
-    return mixed.select(
-        "doc_id",
-        "domain",
-        "lang",
-        "source",
-        "epoch",
-        "n_tokens",
-        "take_tokens",
-        "stream_start",
-        F.md5(F.encode("mixed_text", "UTF-8")).alias("text_md5"),
-    )
+    text = F.md5(F.encode("mixed_text", "UTF-8")).alias("text_md5")
+    tokens = ("n_tokens", "take_tokens", "stream_start")
+    return mixed.select("doc_id", "domain", "lang", "source", "epoch", *tokens, text)
+
+
+def op5_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(documents, model)
+    return scored.select("doc_id", "severity", "severity_grade", "toxic_p", toxicity.rejected().alias("toxic"))
+
+
+def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents")).drop("digest")
+
+
+def op7_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = table(spark, sf_dir, "labels").filter("quality = 1")
+    return crossentropy.score(table(spark, sf_dir, "documents"), target)
 
 
 def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,9 +67,21 @@ def op9_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_paths())
 
 
+def op10_kneser_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    return kneser.classify(table(spark, sf_dir, "documents"), trusted)
+
+
 QUERIES = {
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op1_vantage_search": (op1_vantage_search, None),
+    "op2_suffix_repeats": (op2_suffix_repeats, None),
+    "op3_quantised_duplicates": (op3_quantised_duplicates, None),
     "op4_source_mix": (op4_source_mix, None),
+    "op5_ordinal_toxicity": (op5_ordinal_toxicity, None),
+    "op6_shingle_join": (op6_shingle_join, None),
+    "op7_entropy_difference": (op7_entropy_difference, None),
     "op8_warc_revisits": (op8_warc_revisits, None),
     "op9_mixture_packing": (op9_mixture_packing, None),
+    "op10_kneser_quality": (op10_kneser_quality, None),
 }
