@@ -3,7 +3,7 @@
 Grades of severity 0 to 3 share one weight per feature and are told apart by
 ordered thresholds: P(grade > k) = sigmoid(w x - t_k). The expected severity is
 the sum of these over k. Features are a document's bare lower-case words and
-the first BYTES bytes of each, weighted by log(1 + times); only those are kept
+the first 4, 5 and 6 bytes of each, weighted by log(1 + times); only those are kept
 whose rates among toxic and other training documents differ beyond chance.
 
 Labels that only say toxic or not give the grades 1 to 3 to thirds of the toxic
@@ -30,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import APART, lowered, prefix_hash, sliced, span_hash, word_spans, written
+from textloom.llm.common import APART, lowered, mix, prefix_hash, sliced, span_hash, word_spans, written
 
 TRAIN_MOST = 8_000
 FEATURES_MOST = 1 << 16
-BYTES = 5
+HEADS = (4, 5, 6)
 GRADES = 4
-MARKER = 3.0  # z-score beyond which a feature is kept
+MARKER = 2.5  # z-score beyond which a feature is kept
 SLOTS = 20  # bits of the quick look-up
 
 
@@ -45,8 +45,11 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw, start, end, bounds = word_spans(lowered(texts), APART)
     sums = prefix_hash(raw)
     doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    heads = span_hash(sums, start, np.minimum(end, start + BYTES)) ^ np.uint64(0x5851F42D4C957F2D)
-    return np.concatenate([span_hash(sums, start, end), heads]), np.concatenate([doc, doc]), np.diff(bounds)
+    hashes = [span_hash(sums, start, end)]
+    for size in HEADS:
+        salt = mix(np.array([size], np.uint64))
+        hashes.append(span_hash(sums, start, np.minimum(end, start + size)) ^ salt)
+    return np.concatenate(hashes), np.tile(doc, len(hashes)), np.diff(bounds)
 
 
 def tally(hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,7 +140,14 @@ def grades(toxic: np.ndarray, density: np.ndarray) -> np.ndarray:
 
 
 def regress(
-    doc: np.ndarray, column: np.ndarray, value: np.ndarray, grade: np.ndarray, width: int, ridge: float = 1e-4
+    doc: np.ndarray,
+    column: np.ndarray,
+    value: np.ndarray,
+    grade: np.ndarray,
+    width: int,
+    ridge: float = 1e-5,
+    rate: float = 0.1,
+    rounds: int = 1_000,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and increasing thresholds of greatest penalised likelihood, by
     gradient steps scaled per parameter.
@@ -150,8 +160,7 @@ def regress(
     first = np.log(share / (1 - share))
     theta = np.concatenate([np.zeros(width), first[:1], np.log(np.maximum(np.diff(first), 0.1))])
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    balance = np.where(grade > 0, 0.5 / max((grade > 0).mean(), 1e-9), 0.5 / max((grade == 0).mean(), 1e-9)) / n
-    for step in range(1, 401):
+    for step in range(1, rounds + 1):
         w, cut, steps = theta[:width], theta[width], np.exp(theta[width + 1 :])
         thresholds = np.concatenate([[-np.inf], cut + np.concatenate([[0], np.cumsum(steps)]), [np.inf]])
         score = np.bincount(doc, w[column] * value, n)
@@ -159,7 +168,7 @@ def regress(
         lower = np.where(grade == 0, 0.0, sigmoid(np.clip(thresholds[grade] - score, -40, 40)))
         upper = np.where(grade == GRADES - 1, 1.0, upper)
         p = np.maximum(upper - lower, 1e-12)
-        du, dl = upper * (1 - upper) / p * balance, lower * (1 - lower) / p * balance
+        du, dl = upper * (1 - upper) / p / n, lower * (1 - lower) / p / n
         by_score = du - dl  # gradient of the negative log-likelihood
         by_cut = np.bincount(grade + 1, -du, GRADES + 1) + np.bincount(grade, dl, GRADES + 1)
         by_cut = by_cut[1:GRADES]
@@ -169,7 +178,7 @@ def regress(
         slope[width + 1 :] = [by_cut[k + 1 :].sum() * steps[k] for k in range(gaps)]
         m = 0.9 * m + 0.1 * slope
         v = 0.99 * v + 0.01 * slope**2
-        theta = theta - 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
+        theta = theta - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
     steps = np.exp(theta[width + 1 :])
     return theta[:width], theta[width] + np.concatenate([[0], np.cumsum(steps)])
 
