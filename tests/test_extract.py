@@ -21,6 +21,13 @@ def text_of(spark, html):
         ("<header><nav>x</nav>y</header>keep<aside>z</aside>", "keep"),
         ("keep<nav>never closed <p>x</p>", "keep"),
         ("<nav/>keep", "keep"),
+        ("<div><nav>menu</div><p>keep this</p>", "keep this"),
+        ("<div><nav>menu<ul><li>a<li>b</div>keep", "keep"),
+        ("a<nav>" * 7 + "x" + "</nav>" * 7 + "keep", "a keep"),
+        ("<nav><aside>x</nav>keep</aside> too", "keep too"),
+        ("<p>a<p>b<nav>x</nav><p>c", "a b c"),
+        ("<nav>x<br>y<img src='>'>z</nav>keep</p></nav> on", "keep on"),
+        ("x < 3 <nav>n</nav> y > 2", "x < 3 y > 2"),
         ("<navigation>keep</navigation><header-x>too</header-x>", "keep too"),
         ('<a title="x > y">keep</a>', "keep"),
         ("<p don't>keep</p>", "keep"),
@@ -47,7 +54,7 @@ def test_extraction_drops_empty_results_and_keeps_columns(spark):
     out = ex.extract_text(df)
     assert out.columns == df.columns
     got = {r.id: r.text for r in out.collect()}
-    assert got == {1: "hello world", 3: "a\nb\nc", 6: "x" * 200 + "<div>late</div>"}
+    assert got == {1: "hello world", 3: "a\nb\nc", 6: "x" * 200 + " late"}
 
 
 def test_long_pages_do_not_overflow(spark):

@@ -17,7 +17,7 @@ LONG = "word " * 40
         (" " * 150, "blank"),
         ("\x01" + LONG, "binary"),
         ("a" * 1999 + "\x7f", "binary"),
-        ("a" * 2000 + "\x7f", None),
+        ("a" * 2000 + "\x7f", "binary"),
         ("<b>x</b> " * 30, "html"),
         (LONG + "<b>x</b>", None),
         ("short\n" * 40, "short_lines"),

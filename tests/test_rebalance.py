@@ -58,8 +58,20 @@ def test_result_does_not_depend_on_partitions(spark):
 
 
 @pytest.mark.parametrize("n", [1, 5, 99, 100, 150])
-def test_first_n_by_ranges(spark, monkeypatch, n):
-    monkeypatch.setattr(ordering, "TOP_N_LIMIT", 0)
+def test_first_n_by_ranges(spark, n):
     df = spark.range(100).selectExpr("struct(id % 7 as a, id as b) as ord", "id")
-    got = {r.id for r in ordering.first_n(df, "ord", n, ranges=8).collect()}
+    got = {r.id for r in ordering.first_n(df, "ord", n).collect()}
     assert got == set(sorted(range(100), key=lambda i: (i % 7, i))[:n])
+
+
+def test_first_n_with_nulls_ties_and_repeats(spark):
+    rows = [(None, "a"), (None, "b"), (3, "c"), (3, "d"), (3, "d"), (1, None), (5, "e")]
+    df = spark.createDataFrame(rows, "ord int, text string").repartition(4)
+    for n in range(1, 9):
+        got = ordering.first_n(df, "ord", n)
+        orders = sorted((r.ord is not None, r.ord or 0) for r in got.collect())
+        want = sorted((o is not None, o or 0) for o, _ in rows)
+        # Rows equal in every column stay or go together.
+        assert orders in (want[:n], want[: n + 1]) and len(orders) >= min(n, 7)
+        assert got.rdd.getNumPartitions() == df.rdd.getNumPartitions()
+    assert ordering.first_n(df, "ord", 0) is df

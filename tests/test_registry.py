@@ -6,10 +6,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from textloom.catalog import registry
 
 DIR = "/root/testdata/sf0.001"
 SLOW = {"dedup_counters", "lsh_buckets", "encode_corpus", "compression_fertility"}  # as SQL; kin of others here
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: pair[0] for name, pair in registry.all_queries().items()}
+SQL = {name: pair[1] for name, pair in registry.all_queries().items() if pair[1]}
 
 
 def plain(value):
@@ -33,7 +35,7 @@ def duck():
 
 
 def test_names():
-    assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
     assert len(QUERIES) >= 50
 
 

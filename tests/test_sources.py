@@ -13,6 +13,34 @@ def test_unknown_format_is_refused(spark, tmp_path):
         sd.read_raw(spark, str(tmp_path), "avro-like")
 
 
+@pytest.mark.parametrize("fmt", ["json", "csv", "text"])
+def test_ids_do_not_depend_on_how_files_are_split(spark, tmp_path, fmt):
+    path = str(tmp_path / fmt)
+    rows = [(f"text {i % 50} " + "x" * (i % 90),) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "text string").repartition(2)
+    writer = df.write.option("header", "true") if fmt == "csv" else df.write
+    writer.format(fmt).save(path)
+    found = []
+    for size in ("128m", "20k", "3k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        docs = sd.ingest(sd.read_raw(spark, path, fmt), "s")
+        found.append({(r.id, r.text, r.ord.place) for r in docs.collect()})
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0] == found[1] == found[2] and len({i for i, _, _ in found[0]}) == 3_000
+    by_file = {}
+    for r in docs.collect():
+        by_file.setdefault(r.ord.file, []).append(r.ord.place)
+    assert all(sorted(p) == list(range(len(p))) for p in by_file.values())
+
+
+def test_csv_header_and_missing_text_column(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('content,k\n"one, two",1\nthree,2\n')
+    docs = sd.ingest(sd.read_raw(spark, str(tmp_path), "csv"), "s").orderBy("ord").collect()
+    assert [(r.text, r.meta["k"]) for r in docs] == [("one, two", "1"), ("three", "2")]
+    with pytest.raises(ValueError, match="no text column"):
+        sd.ingest(spark.createDataFrame([(1, "x")], "ord int, body string"), "s")
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "json", "orc"])
 def test_order_and_ids_are_the_same_on_every_read(spark, tmp_path, fmt):
     path = str(tmp_path / fmt)
@@ -51,7 +79,8 @@ def test_shards_hold_unescaped_json_lines(spark, tmp_path):
     assert "é漢 0" in lines[0] and json.loads(lines[0])["meta"] == {"k": "v"}
     back = sh.read_shards(spark, path)
     assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
-    listed = sh.list_shards(spark, path).collect()
+    listed = sh.list_shards(spark, path, counts=True).collect()
+    assert len(sh.list_shards(spark, path).collect()) == 3
     assert [r.docs for r in listed] == [10, 10, 5] and listed == sorted(listed)
 
 

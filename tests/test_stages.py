@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from textloom.config import Settings
 from textloom.operators import language as lg
 from textloom.plans import stages
-from textloom.session import materialize, scratch_root
+from textloom.session import discard, materialize, scratch_root
 from textloom.sources import shards as sh
 from textloom.streaming.shards import tag_new_shards
 
@@ -58,7 +58,11 @@ def test_materialize_cuts_lineage(spark):
     cut = materialize(df, "cut")
     assert "Exchange" not in cut._jdf.queryExecution().toString()
     assert cut.count() == 10
-    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert scratch_root(spark) == named if named else scratch_root(spark).endswith("/_scratch")
+    discard(cut)
+    with pytest.raises(Exception, match="does not exist|No such file|FileNotFound|PATH_NOT_FOUND|FILE_NOT_EXIST"):
+        cut.collect()
 
 
 def test_python_steps_run_once_under_a_filter(spark, corpus, model):

@@ -30,9 +30,9 @@ QUERIES = {
         chain,
         f"""WITH RECURSIVE {COPIED},
             tidy AS (SELECT ord, {sql_tidy("text")} AS text FROM copied WHERE ({REASON}) IS NULL),
-            {MODEL}, {sql_detect("found", "tidy", "ord", "text[1:2000]")},
+            {MODEL}, {sql_detect("found", "tidy", "ord", "text")},
             confident AS (SELECT ord, text, lang, round(conf, 3) AS lang_confidence,
-                                 {sql_domain("lower(text[1:500])")} AS domain
+                                 {sql_domain("lower(text)")} AS domain
                           FROM tidy JOIN found USING (ord) WHERE conf >= 0.8),
             {sql_signatures("confident", "ord")}, {BUCKETS}, {WALK},
             tagged AS (SELECT ord AS id, text, lang, lang_confidence, domain

@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.catalog.common import CONTROL, WS, documents, sql_lines, sql_variants, sql_words, variants
+from textloom.catalog.common import (
+    CONTROL,
+    LINE_BREAK,
+    WS,
+    documents,
+    sql_lines,
+    sql_strip,
+    sql_variants,
+    sql_words,
+    variants,
+)
 from textloom.functions import text as tx
+from textloom.operators import boilerplate as bp
 from textloom.operators import counters as ct
 from textloom.operators import filters as ft
 
@@ -45,7 +56,8 @@ def _damaged_sql(*names: str) -> str:
     return sql_variants({n: _SQL[n] for n in names or _SQL})
 
 
-BINARY = f"regexp_matches(text[1:2000], '{CONTROL}')"
+BINARY = f"regexp_matches(text, '{CONTROL}')"
+HEAD = 2_000  # characters of the opt-in window that one query shows
 TAGS = "len(regexp_extract_all(text, '<[^>]{1,100}>'))"
 HEAVY = f"(len({sql_words('text')}) > 0 AND {TAGS} / len({sql_words('text')}) > 0.1)"
 N_LINES = f"len({sql_lines('text')})"
@@ -56,14 +68,14 @@ REASON = f"""CASE WHEN {BINARY} THEN 'binary' WHEN {HEAVY} THEN 'html'
 
 
 def binary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By the detector's own window, and by the whole text."""
+    """By the whole text, and by a window at its head."""
     d = damaged(spark, sf_dir, "plain", "control_first", "control_last")
     t = F.col("text")
     return d.select(
         "doc_id",
         "variant",
         ft.looks_binary(t).alias("is_binary"),
-        ft.looks_binary(t, None).alias("is_binary_anywhere"),
+        ft.looks_binary(t, HEAD).alias("is_binary_head"),
     )
 
 
@@ -103,10 +115,35 @@ def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row.withColumn("percent", F.round("percent", 6))
 
 
+MIN_DOCS = 5
+
+
+def boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that MIN_DOCS or more documents have."""
+    d = documents(spark, sf_dir)
+    cleaned = bp.drop_repeated_lines(d, bp.repeated_lines(d, MIN_DOCS), "doc_id")
+    return cleaned.select("doc_id", "dropped_lines", F.md5("text").alias("text_md5"))
+
+
 QUERIES = {
+    "boilerplate_lines": (
+        boilerplate,
+        f"""WITH cut AS (SELECT doc_id, text, string_split_regex(text, '{LINE_BREAK}') AS ls FROM documents),
+            places AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS place FROM cut),
+            full_lines AS (SELECT doc_id, place, line, {sql_strip("line")} AS t FROM places
+                           WHERE regexp_matches(line, '[^{WS}]')),
+            repeated AS (SELECT t FROM full_lines GROUP BY t HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
+            gone AS (SELECT doc_id, place FROM full_lines WHERE t IN (SELECT t FROM repeated)),
+            rest AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY place) AS text FROM places
+                     ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+            SELECT doc_id, CAST(coalesce(n, 0) AS INT) AS dropped_lines,
+                   md5(CASE WHEN n IS NULL THEN c.text ELSE coalesce(r.text, '') END) AS text_md5
+            FROM cut c LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) USING (doc_id)
+            LEFT JOIN rest r USING (doc_id)""",
+    ),
     "filter_binary": (
         binary,
-        f"""SELECT doc_id, variant, {BINARY} AS is_binary, regexp_matches(text, '{CONTROL}') AS is_binary_anywhere
+        f"""SELECT doc_id, variant, {BINARY} AS is_binary, regexp_matches(text[1:{HEAD}], '{CONTROL}') AS is_binary_head
             FROM ({_damaged_sql("plain", "control_first", "control_last")})""",
     ),
     "filter_html_ratio": (

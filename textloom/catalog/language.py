@@ -11,8 +11,10 @@ from textloom.catalog.filters import REASON
 from textloom.operators import domain as dm
 from textloom.operators import filters as ft
 from textloom.operators import language as lg
+from textloom.session import materialize
 
-FAR = 600  # characters put before a hint, beyond the domain window
+FAR = 600  # characters put before a hint, beyond the domain window below
+LANG_HEAD, DOMAIN_HEAD = 2_000, 500  # characters of the opt-in windows that two queries show
 
 
 def fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,11 +26,11 @@ def model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By the detector's own window, and by the whole text."""
-    m = fitted(spark, sf_dir).cache()
+    """By the whole text, and by a window at its head."""
+    m = materialize(fitted(spark, sf_dir), "model")
     d = documents(spark, sf_dir)
-    head = lg.detect_language(d, m, key="doc_id").withColumnsRenamed({"lang": "lang_head", "conf": "conf_head"})
-    both = lg.detect_language(head, m, None, key="doc_id")
+    head = lg.detect_language(d, m, LANG_HEAD).withColumnsRenamed({"lang": "lang_head", "conf": "conf_head"})
+    both = lg.detect_language(head, m)
     return both.select(
         "doc_id", "lang_head", F.round("conf_head", 3).alias("conf_head"), "lang", F.round("conf", 3).alias("conf")
     )
@@ -38,7 +40,7 @@ def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct word as a text of its own: short texts are the ones that
     leave the detector in doubt."""
     words = documents(spark, sf_dir).select(F.explode(tx.words(F.col("text"))).alias("text")).distinct()
-    tagged = lg.confident(lg.detect_language(words, fitted(spark, sf_dir).cache(), None, key="text"))
+    tagged = lg.confident(lg.detect_language(words, fitted(spark, sf_dir)))
     return tagged.select(F.col("text").alias("word"), "lang", F.round("conf", 3).alias("lang_confidence"))
 
 
@@ -51,13 +53,13 @@ def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
             named[f"{domain}{i}"] = F.concat(F.lit(f"So: {hint.upper()} "), t)
         named[f"{domain}_far"] = F.concat(F.lit("-" * FAR + hints[0]), t)
     return variants(documents(spark, sf_dir), named).select(
-        "doc_id", "variant", dm.domain_of(t).alias("domain"), dm.domain_of(t, None).alias("domain_anywhere")
+        "doc_id", "variant", dm.domain_of(t).alias("domain"), dm.domain_of(t, DOMAIN_HEAD).alias("domain_head")
     )
 
 
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = fitted(spark, sf_dir).cache()
-    return lg.language_histogram(lg.confident(lg.detect_language(documents(spark, sf_dir), m, key="doc_id")))
+    m = fitted(spark, sf_dir)
+    return lg.language_histogram(lg.confident(lg.detect_language(documents(spark, sf_dir), m)))
 
 
 def source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +122,7 @@ QUERIES = {
     "lang_model": (model, f"WITH {MODEL} SELECT lang, gram, logp FROM model"),
     "lang_detect": (
         detect,
-        f"""WITH {MODEL}, {sql_detect("head", "documents", "doc_id", "text[1:2000]")},
+        f"""WITH {MODEL}, {sql_detect("head", "documents", "doc_id", f"text[1:{LANG_HEAD}]")},
             {sql_detect("whole", "documents", "doc_id", "text")}
             SELECT doc_id, coalesce(h.lang, 'unknown') AS lang_head, round(coalesce(h.conf, 0), 3) AS conf_head,
                    coalesce(w.lang, 'unknown') AS lang, round(coalesce(w.conf, 0), 3) AS conf
@@ -134,19 +136,19 @@ QUERIES = {
     ),
     "domain_tag": (
         domains,
-        f"""SELECT doc_id, variant, {sql_domain("lower(text[1:500])")} AS domain,
-                   {sql_domain("lower(text)")} AS domain_anywhere
+        f"""SELECT doc_id, variant, {sql_domain("lower(text)")} AS domain,
+                   {sql_domain(f"lower(text[1:{DOMAIN_HEAD}])")} AS domain_head
             FROM ({sql_variants(_DOMAIN)})""",
     ),
     "lang_histogram": (
         histogram,
-        f"""WITH {MODEL}, {sql_detect("head", "documents", "doc_id", "text[1:2000]")}
+        f"""WITH {MODEL}, {sql_detect("head", "documents", "doc_id", "text")}
             SELECT lang, count(*) AS docs FROM head WHERE conf >= 0.8
             GROUP BY lang ORDER BY docs DESC, lang LIMIT 15""",
     ),
     "source_counts": (
         source_counts,
-        f"""SELECT source, lang, {sql_domain("lower(text[1:500])")} AS domain, count(*) AS docs
+        f"""SELECT source, lang, {sql_domain("lower(text)")} AS domain, count(*) AS docs
             FROM documents WHERE ({REASON}) IS NULL GROUP BY ALL""",
     ),
 }

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.catalog.common import documents
+from textloom.catalog.language import sql_domain
 from textloom.config import Settings
+from textloom.operators import domain as dm
 from textloom.operators import rebalance as rb
 
 # One language is made to be missing, which puts its documents in "unknown".
@@ -27,7 +29,7 @@ def cap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For targets below, near and above the corpus size."""
-    sizes = rb.group_sizes(tagged(spark, sf_dir)).cache()
+    sizes = rb.group_sizes(tagged(spark, sf_dir))
     parts = [
         rb.quotas(sizes, replace(Settings(), target_docs=t)).withColumn("target", F.lit(t)) for t in TARGETS
     ]
@@ -54,6 +56,15 @@ def rebalanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rb.rebalance(tagged(spark, sf_dir)).select("id", "lang", "position", "shard")
 
 
+def sample_lang_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balanced over pairs of language and domain, the domains put in as hints."""
+    d = documents(spark, sf_dir, "doc_id", "text", "lang").withColumnRenamed("doc_id", "id")
+    hint = F.when(F.col("id") % 6 == 0, "Theorem ").when(F.col("id") % 6 == 1, "Patient ").otherwise("")
+    d = d.select("id", F.nullif("lang", F.lit(MISSING)).alias("lang"), dm.domain_of(F.concat(hint, "text")).alias("domain"))
+    s = replace(Settings(), max_lang_fraction=0.1)
+    return rb.sample(d, rb.quotas(rb.group_sizes(d, "lang", "domain"), s), s).select("id", "lang", "domain")
+
+
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = tagged(spark, sf_dir)
     sizes = rb.group_sizes(d)
@@ -92,6 +103,21 @@ QUERIES = {
         sample_log,
         f"WITH {TAGGED}, {SIZES}, quota AS ({_log(TARGETS[0])}), {sql_picked()} SELECT id, lang FROM picked",
     ),
+    "balanced_sample_lang_domain": (
+        sample_lang_domain,
+        f"""WITH tagged AS (
+              SELECT doc_id AS id, coalesce(nullif(lang, '{MISSING}'), 'unknown') AS lang,
+                     {sql_domain("lower(CASE doc_id % 6 WHEN 0 THEN 'Theorem ' WHEN 1 THEN 'Patient ' ELSE '' END || text)")}
+                     AS domain
+              FROM documents),
+            sizes AS (SELECT lang, domain, count(*) AS docs FROM tagged GROUP BY ALL),
+            quota AS (SELECT lang, domain, CAST(least(docs,
+                round_even(CAST((SELECT sum(docs) FROM sizes) AS DOUBLE) * 0.1::DOUBLE, 0)) AS BIGINT) AS quota FROM sizes)
+            SELECT id, lang, domain FROM (
+              SELECT id, t.lang, t.domain, quota,
+                     row_number() OVER (PARTITION BY t.lang, t.domain ORDER BY md5('42:' || id)) AS r
+              FROM tagged t JOIN quota q ON t.lang = q.lang AND t.domain = q.domain) WHERE r <= quota""",
+    ),
     "shuffled_order": (shuffled, f"WITH {TAGGED} {sql_positions('tagged', 'id', 100)}"),
     "rebalanced": (
         rebalanced,

@@ -81,14 +81,14 @@ def encode_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = bt.train(d, VOCAB)
     pair = be.encode_pair(tx.strip(F.col("text")), F.col("lang"), model)
     coded = d.select("doc_id", pair.alias("p"))
-    return coded.select(
-        "doc_id",
-        (F.size("p.ids") == F.size("p.type_ids")).alias("aligned"),
-        F.array_position("p.ids", 1).alias("first_bos"),
-        F.size(F.filter("p.ids", lambda x: x == 2)).alias("n_eos"),
-        F.array_join(F.array_distinct("p.type_ids"), ",").alias("types"),
-        F.element_at("p.ids", -1).alias("last_id"),
-    )
+    types = _joined(F.col("p.type_ids")).alias("type_ids_md5")
+    return coded.select("doc_id", _joined(F.col("p.ids")).alias("ids_md5"), types)
+
+
+def probe_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of the fixed sentence, one row each."""
+    model = bt.train(documents(spark, sf_dir), VOCAB)
+    return vl.probe_tokens(spark, model)
 
 
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +114,15 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.withColumns({c: F.round(c, 6) for c in ("compression_ratio", "fertility")})
 
 
+def metrics_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same metrics for every language of the corpus."""
+    d = documents(spark, sf_dir, "doc_id", "text", "lang")
+    model = bt.train(d, VOCAB)
+    texts = d.select("lang", tx.strip(F.col("text")).alias("text")).filter(F.col("text") != "")
+    m = vl.text_metrics(texts, model, "lang")
+    return m.withColumns({c: F.round(c, 6) for c in ("compression_ratio", "fertility")})
+
+
 def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = documents(spark, sf_dir)
     return vl.validation_results(d, "doc_id", bt.train(d, VOCAB))
@@ -177,6 +186,35 @@ def _merges(size: int) -> str:
 
 _FINAL = """final AS (SELECT word, w FROM walk WHERE step = (SELECT max(step) FROM walk)),
     coded AS (SELECT doc_id, string_agg(w, '' ORDER BY pos) AS w FROM places JOIN final USING (word) GROUP BY doc_id)"""
+# Words of given strings by the merges found, one merge after the other.
+_STRINGS = f"""found_merges AS (SELECT DISTINCT step, p FROM walk WHERE step > 0),
+    string_bytes AS (SELECT label, word, pos, unnest(bs) AS byte, generate_subscripts(bs, 1) AS place FROM (
+        SELECT label, ws[pos] AS word, pos,
+               list_transform(regexp_extract_all(hex(encode(ws[pos])), '..'), lambda h: ('0x' || h)::INT) AS bs
+        FROM (SELECT label, ws, unnest(range(1, len(ws) + 1)) AS pos FROM strings))),
+    applied(step, label, pos, w) AS (
+      SELECT 0, label, pos, string_agg(chr({BASE} + coalesce(id, 0)), '' ORDER BY place)
+      FROM string_bytes LEFT JOIN alphabet USING (byte) GROUP BY label, pos
+      UNION ALL
+      SELECT a.step + 1, label, pos,
+             replace(w, p, chr(CAST({BASE} + 4 + (SELECT count(*) FROM alphabet) + a.step + 1 AS INT)))
+      FROM applied a JOIN found_merges m ON m.step = a.step + 1),
+    string_ids AS (SELECT label, string_agg(w, '' ORDER BY pos) AS w FROM applied
+                   WHERE step = (SELECT max(step) FROM applied) GROUP BY label)"""
+# The visible form of every token: a merged one is its two parts joined.
+_TOKENS = f"""built(step, tokens) AS (
+      SELECT 0, ['<unk>', '<s>', '</s>', '<pad>', '<mask>'] || (SELECT list(token ORDER BY id) FROM alphabet)
+      UNION ALL
+      SELECT b.step + 1, list_append(tokens, tokens[unicode(p[1]) - {BASE} + 1] || tokens[unicode(p[2]) - {BASE} + 1])
+      FROM built b JOIN (SELECT DISTINCT step, p FROM walk WHERE step > 0) m ON m.step = b.step + 1),
+    vocabulary AS (SELECT CAST(unnest(range(len(tokens))) AS INT) AS id, unnest(tokens) AS token FROM built
+                   WHERE step = (SELECT max(step) FROM built))"""
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 _HEAD = "SELECT 0 AS id, '<unk>' AS token UNION ALL VALUES (1, '<s>'), (2, '</s>'), (3, '<pad>'), (4, '<mask>')"
 _SYMBOLS = f"list_transform(string_split(w, ''), lambda s: unicode(s) - {BASE})"
 
@@ -203,7 +241,15 @@ QUERIES = {
         f"""SELECT {VOCAB} AS vocab_size, {VOCAB} AS vocab_size_requested, 2 AS min_frequency,
                    '<unk> <s> </s> <pad> <mask>' AS special_tokens, 'run_001' AS run_id""",
     ),
-    "vocabulary_saved": (saved, None),
+    "vocabulary_saved": (saved, f"WITH RECURSIVE {_walk(VOCAB)}, {_TOKENS} SELECT id, token FROM vocabulary"),
+    "probe_sentence": (
+        probe_sentence,
+        f"""WITH RECURSIVE {_walk(VOCAB)}, {_TOKENS},
+            strings AS (SELECT 'probe' AS label, {_cut(_sql_text(vl.PROBE_SENTENCE))} AS ws), {_STRINGS},
+            ids AS (SELECT [1] || {_SYMBOLS} || [2] AS ids FROM string_ids)
+            SELECT CAST(i - 1 AS INT) AS place, CAST(ids[i] AS INT) AS id, token
+            FROM (SELECT ids, unnest(range(1, len(ids) + 1)) AS i FROM ids) JOIN vocabulary ON id = ids[i]""",
+    ),
     "special_tokens": (special_tokens, _HEAD),
     "encode_corpus": (
         encode,
@@ -213,8 +259,14 @@ QUERIES = {
     ),
     "encode_pairs": (
         encode_pairs,
-        """SELECT doc_id, true AS aligned, 1 AS first_bos, 2 AS n_eos, '0,1' AS types, 2 AS last_id
-           FROM documents""",
+        f"""WITH RECURSIVE {_walk(VOCAB)}, {_FINAL},
+            strings AS (SELECT DISTINCT lang AS label, {_cut("lang")} AS ws FROM documents), {_STRINGS},
+            sides AS (SELECT doc_id, [1] || {_SYMBOLS.replace("(w,", "(coalesce(c.w, ''),")} || [2] AS a,
+                             {_SYMBOLS.replace("(w,", "(s.w,")} || [2] AS b
+                      FROM documents LEFT JOIN coded c USING (doc_id) JOIN string_ids s ON s.label = lang)
+            SELECT doc_id, md5(array_to_string(a || b, ',')) AS ids_md5,
+                   md5(array_to_string(list_transform(a, lambda x: 0) || list_transform(b, lambda x: 1), ','))
+                   AS type_ids_md5 FROM sides""",
     ),
     "decode_roundtrip": (decoded, "SELECT doc_id, md5(text) AS text_md5 FROM documents"),
     "probe_roundtrip": (
@@ -231,5 +283,28 @@ QUERIES = {
                    round(sum(length(w) + 2) / greatest(sum(len({sql_words("t")})), 1), 6) AS fertility
             FROM texts JOIN coded USING (doc_id)""",
     ),
-    "validation_results": (validation, None),
+    "fertility_by_lang": (
+        metrics_by_lang,
+        f"""WITH RECURSIVE {_walk(VOCAB)}, {_FINAL}
+            SELECT lang, count(*) AS docs, CAST(sum(length(t)) AS BIGINT) AS chars,
+                   CAST(sum(len({sql_words("t")})) AS BIGINT) AS words, CAST(sum(length(w) + 2) AS BIGINT) AS tokens,
+                   round(sum(length(t)) / greatest(sum(length(w) + 2), 1), 6) AS compression_ratio,
+                   round(sum(length(w) + 2) / greatest(sum(len({sql_words("t")})), 1), 6) AS fertility
+            FROM texts JOIN coded USING (doc_id) JOIN documents USING (doc_id) GROUP BY lang""",
+    ),
+    # A probe comes back whole exactly if the alphabet has all of its bytes.
+    "validation_results": (
+        validation,
+        f"""WITH RECURSIVE {_walk(VOCAB)}, {_FINAL},
+            probes AS (SELECT unnest([{", ".join(map(_sql_text, vl.PROBES.values()))}]) AS t),
+            lost AS (SELECT count(DISTINCT t) AS n FROM (
+                SELECT t, unnest(list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: ('0x' || h)::INT))
+                AS byte FROM probes) ANTI JOIN alphabet USING (byte))
+            SELECT CAST(5 + (SELECT count(*) FROM alphabet) + (SELECT max(step) FROM walk) AS INT) AS vocab_size,
+                   CAST((SELECT n FROM lost) AS INT) AS roundtrip_failures,
+                   round(sum(length(t)) / greatest(sum(length(w) + 2), 1), 3) AS compression_ratio,
+                   round(sum(length(w) + 2) / greatest(sum(len({sql_words("t")})), 1), 3) AS fertility,
+                   CAST(count(*) AS INT) AS docs_sampled
+            FROM texts JOIN coded USING (doc_id)""",
+    ),
 }

@@ -28,13 +28,12 @@ class Settings:
 
     vocab_size: int = 32_000
     min_frequency: int = 2
-    validation_docs: int = 1_000
-
-    # How much of a text each detector looks at. These windows are part of
-    # what the detectors compute; None looks at the whole text.
-    binary_window: int | None = 2_000
-    sniff_window: int | None = 200
-    lang_window: int | None = 2_000
-    domain_window: int | None = 500
+    validation_docs: int = 0  # 0 validates on all documents
+
+    # How many characters of a text each detector looks at; None: all of them.
+    binary_window: int | None = None
+    sniff_window: int | None = None
+    lang_window: int | None = None
+    domain_window: int | None = None
 
     run_id: str = "run_001"

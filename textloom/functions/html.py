@@ -1,10 +1,10 @@
-"""HTML to text with built-in regular expressions.
+"""HTML to text with built-in expressions.
 
 Comments, scripts and styles go first, in one leftmost-first pass, because a
-script may hold tags and comment marks inside strings. Then the page furniture
-elements go, innermost first: each pass removes the elements that hold none of
-their own kind, so `NESTING` passes resolve that many levels of same-name
-nesting. An element that is never closed is dropped to the end of the text.
+script may hold tags and comment marks inside strings. Then the text is cut
+once at every tag, and one walk over the pieces with a stack of open elements
+finds what lies inside page furniture, at any depth: an element ends with its
+own end tag, or with that of an element around it if it was never closed.
 """
 
 from __future__ import annotations
@@ -22,16 +22,15 @@ from textloom.functions import text as tx
 SIGNALS = ("<html", "<body", "<div", "<p>", "<span", "<table")
 RAW_ELEMENTS = ("script", "style")
 FURNITURE = ("nav", "footer", "header", "aside")
-NESTING = 3
+#: Elements without an end tag, and those that their next sibling ends.
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
+IMPLIED = ("p", "li", "dt", "dd", "tr", "td", "th", "option", "thead", "tbody", "tfoot")
 
 _OPEN_END = r"(?=[\s/>])[^>]*(?<!/)>"
 _CLOSE_END = r"(?=[\s/>])[^>]*>"
 _RAW = "|".join(RAW_ELEMENTS)
-_BLOCK = "|".join(FURNITURE)
-
 RAW_PASS = rf"(?is)<!--.*?(?:-->|\z)|<({_RAW}){_OPEN_END}.*?(?:</\1{_CLOSE_END}|\z)"
-INNERMOST_PASS = rf"(?is)<({_BLOCK}){_OPEN_END}(?:(?!<\1[\s/>]).)*?</\1{_CLOSE_END}"
-UNCLOSED_PASS = rf"(?is)<({_BLOCK}){_OPEN_END}.*?(?:</\1{_CLOSE_END}|\z)"
+TAG_NAME = r"^</?([a-zA-Z][^\s/>]*)"
 # A '>' inside a quoted attribute value does not end the tag.
 TAG_PASS = (
     r"""(?s)</?[a-zA-Z](?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+>"""
@@ -39,7 +38,7 @@ TAG_PASS = (
 )
 
 
-def looks_like_html(text: Column, window: int | None = 200) -> Column:
+def looks_like_html(text: Column, window: int | None = None) -> Column:
     sample = F.lower(tx.head(text, window))
     found = F.lit(False)
     for signal in SIGNALS:
@@ -67,19 +66,85 @@ def unescape_entities(text: Column) -> Column:
     return F.coalesce(unescape(F.when(F.contains(text, F.lit("&")), text)), text)
 
 
-def strip_markup(text: Column) -> Column:
-    out = F.regexp_replace(text, RAW_PASS, " ")
-    for _ in range(NESTING):
-        out = F.regexp_replace(out, INNERMOST_PASS, " ")
-    out = F.regexp_replace(out, UNCLOSED_PASS, " ")
-    return F.regexp_replace(out, TAG_PASS, " ")
+def _furniture_spans(pieces: Column) -> Column:
+    """Ranges of pieces [since, until) inside furniture; each piece after the
+    first starts with a tag."""
+    tags = F.transform(
+        pieces,
+        lambda p, i: F.struct(
+            i.alias("at"),
+            F.lower(F.regexp_extract(p, TAG_NAME, 1)).alias("name"),
+            F.startswith(p, F.lit("</")).alias("ends"),
+            F.rlike(p, F.lit(r"(?s)^<[^>]*/>")).alias("empty"),
+        ),
+    )
+    tags = F.filter(tags, lambda t: (t["name"] != "") & ~t["name"].isin(*VOID))
+    span = "struct<since:int,until:int>"
+    start = F.struct(
+        F.array().cast("array<string>").alias("open"),
+        F.lit(-1).alias("depth"),
+        F.lit(0).alias("since"),
+        F.array().cast(f"array<{span}>").alias("spans"),
+    )
+
+    def state(open_: Column, depth: Column, since: Column, spans: Column) -> Column:
+        return F.struct(open_.alias("open"), depth.alias("depth"), since.alias("since"), spans.alias("spans"))
+
+    def opened(s: Column, t: Column) -> Column:
+        hides = (s["depth"] < 0) & t["name"].isin(*FURNITURE)
+        again = t["name"].isin(*IMPLIED) & F.coalesce(F.try_element_at(s["open"], F.lit(-1)) == t["name"], F.lit(False))
+        deeper = F.when(again, s["open"]).otherwise(F.array_append(s["open"], t["name"]))
+        depth = F.when(hides, F.size(s["open"])).otherwise(s["depth"])
+        pushed = state(deeper, depth, F.when(hides, t["at"]).otherwise(s["since"]), s["spans"])
+        return F.when(t["empty"] & t["name"].isin(*FURNITURE), s).otherwise(pushed)
+
+    def ended(s: Column, t: Column) -> Column:
+        back = F.array_position(F.reverse(s["open"]), t["name"]).cast("int")
+        left = F.size(s["open"]) - back
+        shown = (s["depth"] >= left) & (s["depth"] >= 0)
+        new = F.struct(s["since"].alias("since"), t["at"].alias("until"))
+        closed = state(
+            F.slice(s["open"], F.lit(1), left),
+            F.when(shown, F.lit(-1)).otherwise(s["depth"]),
+            s["since"],
+            F.when(shown, F.array_append(s["spans"], new)).otherwise(s["spans"]),
+        )
+        return F.when(back > 0, closed).otherwise(s)
+
+    last = F.struct(F.lit(0).alias("since"), F.size(pieces).alias("until"))
+
+    def finish(s: Column) -> Column:
+        rest = F.struct(s["since"].alias("since"), last["until"].alias("until"))
+        return F.when(s["depth"] >= 0, F.array_append(s["spans"], rest)).otherwise(s["spans"])
+
+    return F.aggregate(tags, start, lambda s, t: F.when(t["ends"], ended(s, t)).otherwise(opened(s, t)), finish)
+
+
+def drop_furniture(text: Column) -> Column:
+    """The text without furniture elements, each replaced by a blank."""
+
+    def cut(pieces: Column) -> Column:
+        def shown(spans: Column) -> Column:
+            # A hidden piece leaves nothing, a range of them one blank.
+            def keep(p: Column, i: Column) -> Column:
+                hidden = F.exists(spans, lambda s: (s["since"] <= i) & (i < s["until"]))
+                return F.when(hidden, F.lit(" ")).otherwise(p)
+
+            return F.array_join(F.transform(pieces, keep), "")
+
+        return tx.bind(_furniture_spans(pieces), shown)
+
+    some = text.rlike(rf"(?i)<(?:{'|'.join(FURNITURE)})[\s/>]")
+    return F.when(some, tx.bind(F.split(text, r"(?=</?[a-zA-Z])", -1), cut)).otherwise(text)
 
 
 def html_to_text(df: DataFrame, column: str) -> DataFrame:
     """Replace an HTML column by its text. One projection per step, so that no
     step is computed once per use of its result."""
     return (
-        df.withColumn(column, strip_markup(F.col(column)))
+        df.withColumn(column, F.regexp_replace(F.col(column), RAW_PASS, " "))
+        .withColumn(column, drop_furniture(F.col(column)))
+        .withColumn(column, F.regexp_replace(F.col(column), TAG_PASS, " "))
         .withColumn(column, unescape_entities(F.col(column)))
         .withColumn(column, tx.collapse(F.col(column)))
     )

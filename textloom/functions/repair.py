@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import reduce
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -54,18 +54,13 @@ UTF8_PAIR = r"[\xc2-\xf4][\x80-\xbf]"
 SUSPECT = rf"[\x80-\x9f]|[\xc2-\xf4][\xa0-\xbf{CP1252}]"
 
 
+@lru_cache
 def width_table() -> dict[str, str]:
-    """Full- and half-width forms with their normal-width character.
-
-    The rule: the ideographic space, and everything in the half- and full-width
-    block that compatibility normalisation changes.
-    """
-    table = {"\u3000": " "}
-    for point in range(0xFF01, 0xFFF0):
-        normal = unicodedata.normalize("NFKC", chr(point))
-        if normal != chr(point):
-            table[chr(point)] = normal
-    return table
+    """Characters whose Unicode width class is full or half, with their
+    compatibility form where it is another character."""
+    classed = [c for c in map(chr, range(0x10000)) if unicodedata.east_asian_width(c) in ("F", "H")]
+    forms = {c: unicodedata.normalize("NFKC", c) for c in classed}
+    return {c: form for c, form in forms.items() if form != c}
 
 
 def _swap(text: Column, table: dict[str, str], present: str) -> Column:

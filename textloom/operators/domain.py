@@ -18,7 +18,7 @@ HINTS = {
 DEFAULT = "web"
 
 
-def domain_of(text: Column, window: int | None = 500) -> Column:
+def domain_of(text: Column, window: int | None = None) -> Column:
     sample = F.lower(tx.head(tx.or_empty(text), window))
     tag = F.lit(DEFAULT)
     for domain, hints in reversed(HINTS.items()):

@@ -13,7 +13,7 @@ CONTROL = r"[\x00-\x08\x0e-\x1f\x7f-\x9f]"
 TAG = r"<[^>]{1,100}>"
 
 
-def looks_binary(text: Column, window: int | None = 2_000) -> Column:
+def looks_binary(text: Column, window: int | None = None) -> Column:
     return tx.head(text, window).rlike(CONTROL)
 
 

@@ -8,11 +8,15 @@ the order of addition. Applying the model adds them up per text.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.config import Settings
 from textloom.functions import text as tx
@@ -23,22 +27,7 @@ SCALE = 1_000_000  # log-probabilities are whole millionths
 GRAM_SIZES = (1, 2, 3)
 UNKNOWN = "unknown"
 COUNT_TEXTS = 500  # texts whose grams are counted in one go
-# A model below this many table cells (four bytes each) travels to the tasks;
-# a bigger one is joined.
-BROADCAST_CELLS = 32_000_000
-
-
-def grams(text: Column) -> Column:
-    """All 1-, 2- and 3-grams, each built from the shorter ones."""
-
-    def longer(grams: Column, one: Column, size: int) -> Column:
-        n = F.greatest(F.size(one) - size + 1, F.lit(0))
-        return F.zip_with(F.slice(grams, 1, n), F.slice(one, size, n), lambda a, b: F.concat(a, b))
-
-    return tx.bind(
-        tx.chars(text),
-        lambda one: tx.bind(longer(one, one, 2), lambda two: F.concat(one, two, longer(two, one, 3))),
-    )
+MOST_GRAMS = 20_000_000  # of a model that goes to every task; a larger one is refused
 
 
 def _packed(text: str) -> np.ndarray:
@@ -97,76 +86,83 @@ def fit(df: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:
     return expanded.select("lang", "gram", F.round(F.log(share) * SCALE).cast("bigint").alias("logp"))
 
 
-def _posterior(scores: np.ndarray) -> np.ndarray:
-    p = np.exp((scores - scores.max()) / SCALE)
-    return p / p.sum()
+@dataclass(frozen=True)
+class Scorer:
+    """A model as arrays: sorted gram keys, one least log-probability per
+    language, and per gram what some languages have above theirs."""
+
+    langs: list[str]
+    least: np.ndarray
+    keys: np.ndarray
+    bounds: np.ndarray  # of each gram's entries
+    where: np.ndarray  # language of an entry
+    more: np.ndarray  # its log-probability above the least
+
+    def best(self, text: str | None) -> tuple[str, float]:
+        """Language and posterior; sums are whole numbers, so exact."""
+        found = _packed(text) if text else self.keys[:0]
+        if not len(found) or not len(self.keys):
+            return UNKNOWN, 0.0
+        at = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
+        at, times = np.unique(at[self.keys[at] == found], return_counts=True)
+        if not len(at):
+            return UNKNOWN, 0.0
+        size = self.bounds[at + 1] - self.bounds[at]
+        entry = np.repeat(self.bounds[at] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        scores = self.least * int(times.sum())
+        np.add.at(scores, self.where[entry], self.more[entry] * np.repeat(times, size))
+        p = np.exp((scores - scores.max()) / SCALE)
+        return self.langs[int(p.argmax())], float(p.max() / p.sum())
+
+
+@F.pandas_udf(T.LongType())
+def _gram_key(grams: pd.Series) -> pd.Series:
+    return grams.map(lambda g: int(_packed(g)[-1]))
+
+
+def scorer(model: DataFrame) -> Scorer:
+    """Packed on the executors, one row per gram; languages that never saw a
+    gram take no space."""
+    least = {r["lang"]: r["least"] for r in model.groupBy("lang").agg(F.min("logp").alias("least")).collect()}
+    langs = sorted(least)
+    if not langs:
+        none = np.zeros(0, np.int64)
+        return Scorer([], none, none, np.zeros(1, np.int64), none, none)
+    number = F.create_map(*[F.lit(x) for i, lang in enumerate(langs) for x in (lang, i)])
+    base = F.create_map(*[F.lit(x) for lang in langs for x in (lang, least[lang])])
+    entry = F.struct(number[F.col("lang")].alias("where"), (F.col("logp") - base[F.col("lang")]).alias("more"))
+    rows = model.groupBy("gram").agg(F.filter(F.collect_list(entry), lambda e: e["more"] > 0).alias("entries"))
+    rows = rows.select(
+        _gram_key("gram").alias("key"), F.col("entries.where").alias("where"), F.col("entries.more").alias("more")
+    )
+    table = rows.limit(MOST_GRAMS + 1).toArrow().combine_chunks()
+    if table.num_rows > MOST_GRAMS:
+        raise ValueError(f"a language model of more than {MOST_GRAMS} grams")
+    table = table.take(pa.array(np.argsort(table.column("key").to_numpy()))).combine_chunks()
+    lists = table.column("where").combine_chunks()
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    return Scorer(
+        langs,
+        np.array([least[lang] for lang in langs], np.int64),
+        table.column("key").to_numpy(),
+        np.concatenate([[0], np.cumsum(sizes)]),
+        lists.flatten().to_numpy().astype(np.int64),
+        table.column("more").combine_chunks().flatten().to_numpy().astype(np.int64),
+    )
 
 
-def _tag_in_tasks(df: DataFrame, model: pd.DataFrame, text: Column) -> DataFrame:
-    langs = sorted(model["lang"].unique())
-    table = model.pivot(index="gram", columns="lang", values="logp")[langs]
-    keys = np.array([_packed(g)[-1] for g in table.index], dtype=np.int64)
-    order = np.argsort(keys)
-    shared = df.sparkSession.sparkContext.broadcast(
-        (langs, keys[order], table.to_numpy(dtype=np.int32)[order])
-    )
+def detect_language(df: DataFrame, model: DataFrame, window: int | None = None, column: str = "text") -> DataFrame:
+    """Add `lang` and the unrounded `conf`; a text without known grams is
+    `unknown` with 0.0. Narrow, for tables and streams alike."""
+    shared = df.sparkSession.sparkContext.broadcast(scorer(model))
 
     @F.pandas_udf("lang string, conf double")
     def tag(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        langs, keys, table = shared.value
         for texts in batches:
-            rows = []
-            for t in texts:
-                found = _packed(t) if t else keys[:0]
-                at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-                at, times = np.unique(at[keys[at] == found], return_counts=True)
-                if len(at) == 0:
-                    rows.append((UNKNOWN, 0.0))
-                    continue
-                p = _posterior(times @ table[at].astype(np.int64))
-                rows.append((langs[int(p.argmax())], float(p.max())))
-            yield pd.DataFrame(rows, columns=["lang", "conf"])
+            yield pd.DataFrame([shared.value.best(t) for t in texts], columns=["lang", "conf"])
 
     # Marked so that the confidence gate is not pushed below the scoring.
-    return df.withColumn("_tag", tag.asNondeterministic()(text))
-
-
-def _tag_by_join(df: DataFrame, model: DataFrame, text: Column, key: str) -> DataFrame:
-    """The same scores as a join: grams are counted per text first, then meet
-    the model, then add up per (text, language)."""
-    counted = (
-        df.select(key, F.explode(grams(text)).alias("gram")).groupBy(key, "gram").agg(F.count(F.lit(1)).alias("n"))
-    )
-    scores = counted.join(model, "gram").groupBy(key, "lang").agg(F.sum(F.col("n") * F.col("logp")).alias("score"))
-    per_text = Window.partitionBy(key)  # one row per language in each group
-    weight = F.exp((F.col("score") - F.max("score").over(per_text)) / SCALE)
-    best = (
-        scores.withColumn("conf", weight)
-        .withColumn("conf", F.col("conf") / F.sum("conf").over(per_text))
-        .groupBy(key)
-        .agg(F.min_by("lang", F.struct(-F.col("score"), F.col("lang"))).alias("lang"), F.max("conf").alias("conf"))
-        .select(key, F.struct("lang", "conf").alias("_tag"))
-    )
-    unknown = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("conf"))
-    return df.join(best, key, "left").withColumn("_tag", F.coalesce("_tag", unknown))
-
-
-def detect_language(
-    df: DataFrame,
-    model: DataFrame,
-    window: int | None = 2_000,
-    column: str = "text",
-    key: str = "id",
-    broadcast_cells: int = BROADCAST_CELLS,
-) -> DataFrame:
-    """Add `lang` and the unrounded `conf`; a text without known grams is
-    `unknown` with 0.0."""
-    text = tx.head(F.col(column), window)
-    cells = model.count()
-    if 0 < cells <= broadcast_cells:
-        tagged = _tag_in_tasks(df, model.toPandas(), text)
-    else:
-        tagged = _tag_by_join(df, model, text, key)
+    tagged = df.withColumn("_tag", tag.asNondeterministic()(tx.head(F.col(column), window)))
     return tagged.withColumn("lang", F.col("_tag.lang")).withColumn("conf", F.col("_tag.conf")).drop("_tag")
 
 

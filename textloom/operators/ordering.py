@@ -5,49 +5,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from textloom.session import materialize
+from textloom.session import discard, materialize
 
-# Up to here Spark's own top-n (a heap per task, merged once) is the cheap way.
-TOP_N_LIMIT = 100_000
 
+def first_n(df: DataFrame, order: str, n: int) -> DataFrame:
+    """The first n rows by `order`; n = 0 keeps all.
 
-def first_n(df: DataFrame, order: str, n: int, ranges: int = 4_096) -> DataFrame:
-    """The n rows with the smallest `order` (a unique column); n = 0 keeps all.
-
-    Beyond TOP_N_LIMIT only the order column moves: it is range-partitioned and
-    written once, the ranges are counted, and one cut value inside a single
-    range decides. The documents themselves are filtered in place.
+    Nulls come first. Rows of equal order are told apart by a hash of all their
+    columns; only rows equal in every column stay or go together. One path at
+    every size: only the sort key moves, range-partitioned and written once;
+    the ranges are counted, one cut value inside a single range decides, and
+    the rows are filtered where they are, in the partitions they are in.
     """
     if n <= 0:
         return df
-    if n <= TOP_N_LIMIT:
-        return df.orderBy(order).limit(n)
-    keys = materialize(
-        df.select(order)
-        .repartitionByRange(ranges, order)
-        .withColumn("_range", F.spark_partition_id()),
-        "order",
-    )
-    counts = keys.groupBy("_range").count()
-    before = F.sum("count").over(Window.orderBy("_range")) - F.col("count")
-    edge = (  # at most `ranges` rows
+    kinds = dict(df.dtypes)
+    parts = [F.col(f"`{c}`") if not kinds[c].startswith("map") else F.map_entries(f"`{c}`") for c in df.columns]
+    key = F.struct(F.col(order).alias("by"), F.xxhash64(*parts).alias("tie"))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = df.select(key.alias("key")).repartitionByRange(ranges, "key")
+    keys = materialize(keys.withColumn("range", F.spark_partition_id()), "order")
+    counts = keys.groupBy("range").count()  # at most `ranges` rows
+    before = F.sum("count").over(Window.orderBy("range")) - F.col("count")
+    edge = (
         counts.withColumn("before", before)
         .filter((F.col("before") < n) & (F.col("before") + F.col("count") >= n))
         .first()
     )
     if edge is None:
+        discard(keys)
         return df
-    rank = F.row_number().over(Window.orderBy(order))
-    cut = (
-        keys.filter(F.col("_range") == edge["_range"])
-        .withColumn("_rank", rank)
-        .filter(F.col("_rank") == n - edge["before"])
-        .first()
-    )
-    return df.filter(F.col(order) <= _literal(cut[order]).cast(df.schema[order].dataType))
+    rank = F.row_number().over(Window.orderBy("key"))
+    one = keys.filter(F.col("range") == edge["range"]).withColumn("rank", rank)
+    cut = one.filter(F.col("rank") == n - edge["before"]).first()["key"]
+    discard(keys)
+    limit = F.struct(_literal(cut["by"], kinds[order]).alias("by"), F.lit(cut["tie"]).alias("tie"))
+    return df.filter(key <= limit)
 
 
-def _literal(value) -> Column:
+def _literal(value, kind: str) -> Column:
     if isinstance(value, Row):
-        return F.struct(*[_literal(v).alias(k) for k, v in value.asDict().items()])
-    return F.lit(value)
+        fields = F.struct(*[_literal(v, "").alias(k) for k, v in value.asDict().items()])
+        return fields.cast(kind) if kind else fields
+    return F.lit(value).cast(kind) if kind else F.lit(value)

@@ -12,27 +12,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.config import Settings
-from textloom.session import materialize
+from textloom.session import discard, materialize
 
 BUCKET_DIGITS = 4  # 65,536 buckets of the hash range
-MAX_BROADCAST_GROUPS = 50_000
 UNKNOWN = "unknown"
 
 
-def group_of(lang: str = "lang") -> Column:
-    return F.coalesce(F.col(lang), F.lit(UNKNOWN))
+GROUPS = ("lang",)  # what a corpus is balanced by, unless said otherwise
 
 
-def group_sizes(df: DataFrame, lang: str = "lang") -> DataFrame:
-    """(lang, docs): one row per language."""
-    return df.groupBy(group_of(lang).alias("lang")).agg(F.count(F.lit(1)).alias("docs"))
+def group_of(column: str = "lang") -> Column:
+    return F.coalesce(F.col(column), F.lit(UNKNOWN))
+
+
+def group_sizes(df: DataFrame, *groups: str) -> DataFrame:
+    """(groups..., docs): one row per group, by language unless told."""
+    return df.groupBy(*[group_of(c).alias(c) for c in groups or GROUPS]).agg(F.count(F.lit(1)).alias("docs"))
+
+
+def groups_of(sizes: DataFrame) -> list[str]:
+    return [c for c in sizes.columns if c not in ("docs", "quota")]
 
 
 def quotas(sizes: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """(lang, docs, quota). Without a target every group is capped at a share of
+    """(groups..., docs, quota). Without a target every group is capped at a share of
     the corpus; with one, groups get log-smoothed shares of the target, capped.
 
-    `sizes` has one row per language, so the window over all of it is small.
+    `sizes` has one row per group, so the window over all of it is small.
     Halves round to even.
     """
     everything = Window.partitionBy()
@@ -49,36 +55,42 @@ def seeded_hash(seed: int, key: str = "id") -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-def _cuts(hashed: DataFrame, quota: DataFrame, few: bool) -> DataFrame:
-    """(lang, cut): the largest hash each group keeps. Groups without a row
+def _cuts(hashed: DataFrame, quota: DataFrame, groups: list[str]) -> DataFrame:
+    """(groups..., cut): the largest hash each group keeps. Groups without a row
     here keep nothing."""
     digits = F.substring("_hash", 1, BUCKET_DIGITS)
-    counts = hashed.groupBy("lang", digits.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = hashed.groupBy(*groups, digits.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
     # At most 65,536 rows per group in this window, however large the group.
-    upto = F.sum("_n").over(Window.partitionBy("lang").orderBy("_bucket"))
+    upto = F.sum("_n").over(Window.partitionBy(*groups).orderBy("_bucket"))
     edge = (
         counts.withColumn("_upto", upto)
-        .join(quota.select("lang", "quota"), "lang")
+        .join(quota.select(*groups, "quota"), groups)
         .filter((F.col("_upto") - F.col("_n") < F.col("quota")) & (F.col("_upto") >= F.col("quota")))
-        .select("lang", "_bucket", (F.col("quota") - F.col("_upto") + F.col("_n")).alias("_need"))
+        .select(*groups, "_bucket", (F.col("quota") - F.col("_upto") + F.col("_n")).alias("_need"))
     )
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_hash"))
+    rank = F.row_number().over(Window.partitionBy(*groups).orderBy("_hash"))
     return (
         hashed.withColumn("_bucket", digits)
-        .join(F.broadcast(edge) if few else edge, ["lang", "_bucket"])
+        .join(edge, [*groups, "_bucket"])
         .withColumn("_rank", rank)
         .filter("_rank = _need")
-        .select("lang", F.col("_hash").alias("cut"))
+        .select(*groups, F.col("_hash").alias("cut"))
     )
 
 
 def sample(df: DataFrame, quota: DataFrame, s: Settings = Settings(), key: str = "id") -> DataFrame:
-    """Exactly `quota` documents per group (all of them where it is the size)."""
-    quota = materialize(quota, "quota")  # a row per group, read several times
-    hashed = df.withColumn("lang", group_of()).withColumn("_hash", seeded_hash(s.random_seed, key))
-    few = quota.count() <= MAX_BROADCAST_GROUPS
-    cuts = materialize(_cuts(hashed.select("lang", "_hash"), quota, few), "cuts")
-    picked = hashed.join(F.broadcast(cuts) if few else cuts, "lang")
+    """Exactly `quota` documents per group (all of them where it is the size).
+
+    The written tables of quotas and cuts have a row per group; Spark sends
+    them to all tasks where their size allows it and shuffles otherwise, with
+    the same rows. Documents without a group count as `unknown`.
+    """
+    groups = groups_of(quota)
+    quota = materialize(quota, "quota")
+    hashed = df.withColumns({c: group_of(c) for c in groups}).withColumn("_hash", seeded_hash(s.random_seed, key))
+    cuts = materialize(_cuts(hashed.select(*groups, "_hash"), quota, groups), "cuts")
+    discard(quota)
+    picked = hashed.join(cuts, groups)
     return picked.filter(F.col("_hash") <= F.col("cut")).drop("_hash", "cut")
 
 
@@ -105,11 +117,12 @@ def shuffled(df: DataFrame, s: Settings = Settings(), key: str = "id") -> DataFr
 
 
 def balance_report(before: DataFrame, after: DataFrame) -> DataFrame:
-    """(lang, docs, sampled) per group, before and after sampling."""
-    kept = group_sizes(after).withColumnRenamed("docs", "sampled")
-    return before.select("lang", "docs").join(kept, "lang", "left").fillna(0, ["sampled"])
+    """(groups..., docs, sampled) per group, before and after sampling."""
+    groups = groups_of(before)
+    kept = group_sizes(after, *groups).withColumnRenamed("docs", "sampled")
+    return before.select(*groups, "docs").join(kept, groups, "left").fillna(0, ["sampled"])
 
 
-def rebalance(df: DataFrame, s: Settings = Settings(), key: str = "id") -> DataFrame:
-    quota = quotas(group_sizes(df), s)
+def rebalance(df: DataFrame, s: Settings = Settings(), key: str = "id", groups: tuple[str, ...] = GROUPS) -> DataFrame:
+    quota = quotas(group_sizes(df, *groups), s)
     return shuffled(sample(df, quota, s, key), s, key)

@@ -36,12 +36,21 @@ def roundtrip(df: DataFrame, model: Vocabulary, column: str = "text") -> DataFra
     return encoded.withColumns({"n_tokens": F.size("_ids"), "ok": same}).drop("_ids")
 
 
-def validation_sample(df: DataFrame, order: str, n: int = 1_000, column: str = "text") -> DataFrame:
-    """(order, text) of the first n non-blank documents, texts trimmed."""
+def validation_sample(df: DataFrame, order: str, n: int = 0, column: str = "text") -> DataFrame:
+    """(order, text) of the first n non-blank documents (0: of all), texts trimmed."""
     trimmed = df.select(order, tx.strip(tx.or_empty(F.col(column))).alias("text"))
     return first_n(trimmed.filter(F.col("text") != ""), order, n)
 
 
+def probe_tokens(spark: SparkSession, model: Vocabulary, sentence: str = PROBE_SENTENCE) -> DataFrame:
+    """(place, id, token) of a sentence, <s> and </s> included."""
+    one = spark.createDataFrame([(sentence,)], "text string").select(be.encode(F.col("text"), model).alias("ids"))
+    both = one.withColumn("tokens", be.token_strings(F.col("ids"), model))
+    return both.select(F.posexplode(F.arrays_zip("ids", "tokens")).alias("place", "t")).select(
+        "place", F.col("t.ids").alias("id"), F.col("t.tokens").alias("token")
+    )
+
+
 def text_metrics(df: DataFrame, model: Vocabulary, *groups: str, column: str = "text") -> DataFrame:
     """Pooled compression (characters per token) and fertility (tokens per
     word): one encoding and one aggregate for both. Tokens include <s> and </s>."""

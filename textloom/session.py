@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,17 +24,15 @@ def local_session(cores: int | str = 8, memory: str = "12g") -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts, as named by spark.checkpoint.dir.
 
-    Only a local master may fall back to a temporary folder: on a cluster it
-    would be lost together with the machine that holds it.
+    Where it is unset, a local master gets a fixed folder below the warehouse,
+    which is shared by definition; a cluster has to name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="textloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return root.rstrip("/")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -45,3 +42,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that a later one has replaced, or that no plan
+    still to be run reads."""
+    for df in tables:
+        spark = df.sparkSession
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

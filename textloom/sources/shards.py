@@ -28,7 +28,11 @@ def read_shards(spark: SparkSession, path: str, schema: str = DOCUMENT) -> DataF
     return spark.read.schema(schema).json(path)
 
 
-def list_shards(spark: SparkSession, path: str, schema: str = DOCUMENT) -> DataFrame:
-    """(shard, docs), sorted by file name."""
+def list_shards(spark: SparkSession, path: str, schema: str = DOCUMENT, counts: bool = False) -> DataFrame:
+    """Shards by file name; `docs` of each only with counts=True, which has to
+    read the shards, while the names come from the file listing."""
+    if not counts:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json.gz").load(path)
+        return files.select(F.col("path").alias("shard"), "length").orderBy("shard")
     named = read_shards(spark, path, schema).select(F.col("_metadata.file_path").alias("shard"))
     return named.groupBy("shard").agg(F.count(F.lit(1)).alias("docs")).orderBy("shard")
