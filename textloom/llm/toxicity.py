@@ -4,7 +4,7 @@ Grades of severity 0 to 3 share one weight per feature and are told apart by
 ordered thresholds: P(grade > k) = sigmoid(w x - t_k). The expected severity is
 the sum of these over k. Features are a document's bare lower-case words and
 the first 4, 5 and 6 bytes of each, weighted by log(1 + times); only those are kept
-whose rates among toxic and other training documents differ beyond chance.
+that toxic training documents have more often than others, beyond chance.
 
 Labels that only say toxic or not give the grades 1 to 3 to thirds of the toxic
 training documents, by the share of their words that are marker words.
@@ -27,12 +27,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import APART, lowered, mix, prefix_hash, sliced, span_hash, word_spans, written
+from textloom.llm.common import APART, forget, lowered, mix, prefix_hash, sliced, span_hash, word_spans, written
 
-TRAIN_MOST = 8_000
+TRAIN_MOST = 5_000
 FEATURES_MOST = 1 << 16
 HEADS = (4, 5, 6)
 GRADES = 4
@@ -114,21 +115,39 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = TRAIN_MOST) -> Mode
     rate = (F.col("a") + F.col("b") + 1) / (toxic + clean + 2)
     gap = (F.col("a") + 0.5) / (toxic + 1) - (F.col("b") + 0.5) / (clean + 1)
     z = gap / F.sqrt(rate * (1 - rate) * (1 / toxic + 1 / clean))
-    strong = seen.withColumn("z", z).filter((F.abs("z") >= MARKER) & (F.col("a") + F.col("b") >= 3))
-    strong = strong.orderBy(F.abs("z").desc(), "feature").limit(FEATURES_MOST)
-    chosen = rows.join(F.broadcast(strong.select("feature", "z")), "feature").toPandas()
-
-    everyone = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("words").alias("words")).toPandas()
-    everyone = everyone.sort_values("doc_id").reset_index(drop=True)
-    names = np.sort(chosen["feature"].unique().astype(np.int64).view(np.uint64))
-    doc = np.searchsorted(everyone["doc_id"].to_numpy(), chosen["doc_id"].to_numpy())
-    column = np.searchsorted(names, chosen["feature"].to_numpy().astype(np.int64).view(np.uint64))
-    marks = np.where(chosen["z"] > 0, chosen["times"], 0)
-    density = np.bincount(doc, marks, len(everyone)) / np.maximum(everyone["words"].to_numpy(), 1)
-    grade = grades(everyone["toxic"].to_numpy(), density)
-    value = np.log1p(chosen["times"].to_numpy())
-    weights, thresholds = regress(doc, column, value, grade, len(names))
-    return Model(names, weights, thresholds)
+    strong = seen.withColumn("z", z).filter((F.col("z") >= MARKER) & (F.col("a") + F.col("b") >= 3))
+    strong = strong.orderBy(F.desc("z"), "feature").limit(FEATURES_MOST).select("feature")
+    marks = rows.join(F.broadcast(strong), "feature").select("doc_id", "feature", "times")
+    everyone = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("words").alias("words"))
+    # Some hundred thousand rows of the bounded sample: one task fits them.
+    both = everyone.select("doc_id", "toxic", "words", *(F.lit(None).cast("long").alias(c) for c in ("feature", "times")))
+    both = both.unionByName(marks, allowMissingColumns=True).coalesce(1)
+    fitted = both.mapInArrow(fit_rows, "features binary, weights binary, thresholds binary").first()
+    forget(rows)
+    return Model(
+        np.frombuffer(fitted["features"], np.uint64),
+        np.frombuffer(fitted["weights"], np.float64),
+        np.frombuffer(fitted["thresholds"], np.float64),
+    )
+
+
+def fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, toxic, words, feature, times), one row per document without a
+    feature and one per marker feature of it, to one row: the model."""
+    table = pa.Table.from_batches(batches)
+    head = pc.is_null(table.column("feature"))
+    everyone = table.filter(head).sort_by("doc_id")
+    marks = table.filter(pc.invert(head)).sort_by([("doc_id", "ascending"), ("feature", "ascending")])
+    doc = np.searchsorted(everyone.column("doc_id").to_numpy(), marks.column("doc_id").to_numpy())
+    feature = marks.column("feature").to_numpy().astype(np.int64).view(np.uint64)
+    names, column = np.unique(feature, return_inverse=True)
+    times = marks.column("times").to_numpy()
+    n = everyone.num_rows
+    density = np.bincount(doc, times, n) / np.maximum(everyone.column("words").to_numpy(), 1)
+    grade = grades(everyone.column("toxic").to_numpy(), density)
+    weights, thresholds = regress(doc, column, np.log1p(times), grade, len(names))
+    blobs = [pa.array([x.tobytes()], pa.binary()) for x in (names, weights, thresholds)]
+    yield pa.RecordBatch.from_arrays(blobs, ["features", "weights", "thresholds"])
 
 
 def grades(toxic: np.ndarray, density: np.ndarray) -> np.ndarray:
