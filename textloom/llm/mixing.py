@@ -123,22 +123,23 @@ def mix(
 ) -> DataFrame:
     """`documents` with `epoch` (from 0), `n_tokens`, `take_tokens`, `stream_start`
     (tokens of its leaf's stream before it) and `mixed_text` for every taken
-    row; a document comes once per epoch that takes it.
+    row (columns of these names are replaced); a document comes once per epoch
+    that takes it.
 
     The budget is share[0] / share[1] of all tokens. weights: per level, integer
     weights by group name.
     """
     names = {c: f"_g{i}" for i, c in enumerate(levels)}
     groups = list(names.values())
-    reserved = ("_row", "n_tokens", "epoch", "take_tokens", "stream_start", "mixed_text")
-    documents = documents.drop(*(c for c in reserved if c in documents.columns))
-    counted = documents.withColumn("n_tokens", token_count(F.col(text_col))).filter("n_tokens > 0")
-    rows = written(counted.withColumn("_row", F.monotonically_increasing_id()), "counted")
+    added = ("epoch", "n_tokens", "take_tokens", "stream_start", "mixed_text")
+    counted = documents.select(F.struct("*").alias("doc"), token_count(F.col(text_col)).alias("n_tokens"))
+    rows = counted.filter("n_tokens > 0").withColumn("_row", F.monotonically_increasing_id())
+    rows = written(rows, "counted")
     stats = rows.select(
         "_row",
         "n_tokens",
-        *[F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(g) for c, g in names.items()],
-        F.coalesce(F.col(id_col).cast("string"), F.lit(NONE)).alias("_id"),
+        *[F.coalesce(F.col(f"doc.`{c}`").cast("string"), F.lit(NONE)).alias(g) for c, g in names.items()],
+        F.coalesce(F.col(f"doc.`{id_col}`").cast("string"), F.lit(NONE)).alias("_id"),
     )
     leaves = stats.groupBy(*groups).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
     leaves = written(leaves, "leaves")
@@ -177,5 +178,8 @@ def mix(
             (F.col("_start") + F.col("epoch") * F.col("tokens")).alias("stream_start"),
         )
     )
-    cut = F.when(F.col("take_tokens") < F.col("n_tokens"), token_prefix(F.col(text_col), F.col("take_tokens")))
-    return rows.drop("n_tokens").join(taken, "_row").withColumn("mixed_text", cut.otherwise(F.col(text_col))).drop("_row")
+    text = F.col(f"doc.`{text_col}`")
+    cut = F.when(F.col("take_tokens") < F.col("n_tokens"), token_prefix(text, F.col("take_tokens")))
+    out = rows.drop("n_tokens").join(taken, "_row").withColumn("mixed_text", cut.otherwise(text))
+    own = [F.col(f"doc.`{c}`").alias(c) for c in documents.columns if c not in added]
+    return out.select(*own, *added)
