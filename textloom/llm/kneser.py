@@ -41,7 +41,7 @@ from textloom.llm.common import (
     written,
 )
 
-TRAIN_MOST = 4_000
+TRAIN_MOST = 1_500
 QUANTILE = 0.98
 LEAST = 50
 BIT_TABLE = 26  # bits of its size: 8 MB
@@ -82,7 +82,7 @@ def events(texts: pa.Array) -> tuple[np.ndarray, ...]:
 
 def trigram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text) to (w, v, uv, vw, uvw, begins, n): distinct trigrams of a batch."""
-    for batch in sliced(batches, "text", 16 << 20):
+    for batch in sliced(batches, "text", 4 << 20):
         w, v, u, _, _ = events(batch.column("text"))
         uv, vw = bigram(u, v), bigram(v, w)
         uvw = trigram(uv, w)
@@ -165,28 +165,31 @@ def train(texts: DataFrame) -> Trained:
 
 
 def slot(keys: np.ndarray) -> np.ndarray:
-    return (mix(keys ^ np.uint64(0xA5A5A5A5)) >> np.uint64(64 - BIT_TABLE)).astype(np.int64)
+    """A key's place in the bit table: its upper bits, as keys are mixed."""
+    return (keys >> np.uint64(64 - BIT_TABLE)).astype(np.int64)
 
 
 def bit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys, dealt by the upper bits of their slot, to pieces of the bit table."""
-    for batch in batches:
-        bits = np.unique(slot(batch.column("key").to_numpy().view(np.uint64)))
+    """(piece, key) sorted by piece to (piece, bits): 8 KB of the table each."""
+    for table in whole_groups(batches, ["piece"], 1 << 16):
+        bits = np.unique(slot(table.column("key").to_numpy().view(np.uint64)))
         for piece, at in postings.split(bits >> 16):
-            table = np.zeros(1 << 16, bool)
-            table[bits[at] & 0xFFFF] = True
+            part = np.zeros(1 << 16, bool)
+            part[bits[at] & 0xFFFF] = True
             yield pa.RecordBatch.from_arrays(
-                [pa.array([piece], pa.int64()), pa.array([np.packbits(table).tobytes()])], ["piece", "bits"]
+                [pa.array([piece], pa.int64()), pa.array([np.packbits(part).tobytes()])], ["piece", "bits"]
             )
 
 
 def bit_table(gains: DataFrame) -> np.ndarray:
-    """Which slots the model's n-grams fall into (a fixed number of bits)."""
+    """Which slots the model's n-grams fall into (a fixed number of bits), put
+    together from its pieces, each made by one task."""
     table = np.zeros((1 << BIT_TABLE) // 8, np.uint8)
-    # As many pieces as tasks times 1,024 at most, 8 KB each.
-    for row in gains.select("key").coalesce(16).mapInArrow(bit_rows, "piece long, bits binary").toLocalIterator():
+    piece = F.shiftrightunsigned("key", 64 - BIT_TABLE + 16).alias("piece")
+    dealt = gains.select(piece, "key").repartition("piece").sortWithinPartitions("piece")
+    for row in dealt.mapInArrow(bit_rows, "piece long, bits binary").collect():  # 8 MB in all
         at = row["piece"] << 13
-        table[at : at + (1 << 13)] |= np.frombuffer(row["bits"], np.uint8)
+        table[at : at + (1 << 13)] = np.frombuffer(row["bits"], np.uint8)
     return table
 
 
@@ -233,7 +236,7 @@ def score_parcels(model: Trained, table: np.ndarray, hot: tuple[np.ndarray, np.n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = postings.batch_ids()
-        for batch in sliced(batches, "text", 16 << 20):
+        for batch in sliced(batches, "text", 4 << 20):
             number = next(numbers)
             w, v, u, doc, tokens = events(batch.column("text"))
             place, known = find(words, w)
