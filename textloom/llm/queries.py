@@ -6,7 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from textloom.llm import crossentropy, kneser, mixing, ngram_join, packing, quantised, suffix, toxicity, vantage, warc
+from textloom.llm import (
+    crossentropy,
+    kneser,
+    mixing,
+    ngram_join,
+    oracles,
+    packing,
+    quantised,
+    suffix,
+    toxicity,
+    vantage,
+    warc,
+)
 from textloom.llm.common import folder
 from textloom.llm.settings import MIX_WEIGHTS, tokenizer_paths, with_domain
 
@@ -76,12 +88,12 @@ QUERIES = {
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op1_vantage_search": (op1_vantage_search, None),
     "op2_suffix_repeats": (op2_suffix_repeats, None),
-    "op3_quantised_duplicates": (op3_quantised_duplicates, None),
-    "op4_source_mix": (op4_source_mix, None),
+    "op3_quantised_duplicates": (op3_quantised_duplicates, oracles.COSINE),
+    "op4_source_mix": (op4_source_mix, oracles.mix_sql()),
     "op5_ordinal_toxicity": (op5_ordinal_toxicity, None),
-    "op6_shingle_join": (op6_shingle_join, None),
+    "op6_shingle_join": (op6_shingle_join, oracles.SHINGLES),
     "op7_entropy_difference": (op7_entropy_difference, None),
-    "op8_warc_revisits": (op8_warc_revisits, None),
+    "op8_warc_revisits": (op8_warc_revisits, oracles.WARC),
     "op9_mixture_packing": (op9_mixture_packing, None),
     "op10_kneser_quality": (op10_kneser_quality, None),
 }
