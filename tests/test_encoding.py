@@ -18,6 +18,9 @@ def fixed(spark, text):
         ("plain ASCII text", "plain ASCII text"),
         ("naïve café à la carte", "naïve café à la carte"),
         ("schÃ¶n", "schön"),
+        ("Ã©tÃ© — naïve", "été — naïve"),
+        ("naïve Ã© donâ€™t 漢", "naïve é don't 漢"),
+        ("CAFÉ” naïve 漢", 'CAFÉ" naïve 漢'),
         ("itâ€™s", "it's"),
         ("ÃƒÂ©", "é"),
         ("ok ☃ line\ncafÃ©", "ok ☃ line\ncafé"),

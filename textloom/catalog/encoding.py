@@ -48,6 +48,18 @@ def mojibake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _md5(d)
 
 
+GOOD = " — naïve 漢"  # put at the end of every line
+
+
+def mojibake_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged lines that also hold good accents and other characters."""
+    t = F.col("text")
+    named = {"plain": t, "latin1": _latin1(t), "cp1252": _cp1252(t)}
+    named = {n: F.concat(F.replace(d, F.lit("\n"), F.lit(f"{GOOD}\n")), F.lit(GOOD)) for n, d in named.items()}
+    d = variants(documents(spark, sf_dir), named)
+    return _md5(d.withColumn("text", rp.repair_mojibake(F.col("text"))))
+
+
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a tag in the last line, that line keeps its references."""
     coded = _swapped(F.col("text"), NAMED)
@@ -146,6 +158,10 @@ _RECOVERED_SQL = " UNION ALL ".join(
 )
 
 QUERIES = {
+    "mojibake_mixed": (
+        mojibake_mixed,
+        _answer(dict.fromkeys(("plain", "latin1", "cp1252"), f"replace(text, chr(10), '{GOOD}' || chr(10)) || '{GOOD}'")),
+    ),
     "mojibake_repair": (mojibake, _answer(dict.fromkeys(("plain", "latin1", "cp1252", "twice"), "text"))),
     "entities": (
         references,

@@ -54,6 +54,12 @@ UTF8_PAIR = r"[\xc2-\xf4][\x80-\xbf]"
 SUSPECT = rf"[\x80-\x9f]|[\xc2-\xf4][\xa0-\xbf{CP1252}]"
 
 
+# What the commonest two- and three-byte characters look like after a wrong
+# decoding: the marks of C2, C3 and E2, and the bytes that may follow them.
+FOLLOWING = rf"[\x80-\xbf{CP1252}]"
+DAMAGED_RUN = rf"(?:[\xc2\xc3]{FOLLOWING}|\xe2{FOLLOWING}{{2}})+"
+
+
 @lru_cache
 def width_table() -> dict[str, str]:
     """Characters whose Unicode width class is full or half, with their
@@ -75,18 +81,32 @@ def _swap(text: Column, table: dict[str, str], present: str) -> Column:
     return F.when(plain.rlike(present), swapped).otherwise(plain)
 
 
+def _decoded(shown: Column) -> Column:
+    """The text whose UTF-8 bytes are shown, null if they are not valid."""
+    return F.try_validate_utf8(F.encode(F.translate(shown, CP1252, C1), "ISO-8859-1").cast("string"))
+
+
+def _repair_runs(line: Column) -> Column:
+    """Damaged runs between good characters; what is no valid run stays."""
+    found = F.regexp_extract_all(line, F.lit(f"({DAMAGED_RUN})"), F.lit(1))
+    fixed = F.transform(found, lambda run: F.coalesce(_decoded(run), run))
+    between = F.split(line, DAMAGED_RUN, -1)
+    return F.array_join(F.zip_with(between, fixed, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+
+
 def _repair_line(line: Column) -> Column:
     """Bytes that were UTF-8 but were read as Latin-1 or Windows-1252.
 
-    Going back to bytes is possible only if every character has one; the result
-    counts only if those bytes are valid UTF-8. A line in plain Latin-1 keeps
-    its text, except that C1 controls become what Windows-1252 shows for them.
+    A line goes back to bytes as a whole if every character has one and they
+    are valid UTF-8. A line that also holds good accents or other characters is
+    repaired run by run. A line in plain Latin-1 keeps its text, except that C1
+    controls become what Windows-1252 shows for them.
     """
     as_latin1 = F.translate(line, CP1252, C1)
     has_bytes = ~as_latin1.rlike(r"[^\x00-\xff]")
-    decoded = F.try_validate_utf8(F.encode(as_latin1, "ISO-8859-1").cast("string"))
-    repaired = F.when(has_bytes & as_latin1.rlike(UTF8_PAIR), decoded)
-    return F.coalesce(repaired, F.translate(line, C1, CP1252))
+    repaired = F.when(has_bytes & as_latin1.rlike(UTF8_PAIR), _decoded(line))
+    runs = F.when(line.rlike(DAMAGED_RUN), F.translate(_repair_runs(line), C1, CP1252))
+    return F.coalesce(repaired, runs, F.translate(line, C1, CP1252))
 
 
 def repair_mojibake(text: Column) -> Column:
