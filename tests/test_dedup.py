@@ -17,13 +17,16 @@ def random_bands(seed, docs=60, bands=4, values=25):
     return [(o, [f"{b}:{draw.randrange(values)}" for b in range(bands)]) for o in draw.sample(range(1000), docs)]
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_same_as_the_walk(spark, seed):
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("most", [0, 40, 200_000])  # all in rounds, mixed, all walked
+def test_same_as_the_walk(spark, monkeypatch, seed, most):
+    monkeypatch.setattr(dd, "WALK_MOST", most)
     bands = random_bands(seed)
     assert dropped(spark, bands, 1 + seed) == {o for o, _ in bands} - set(models.first_kept(bands))
 
 
 def test_hot_bands_are_salted_and_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(dd, "WALK_MOST", 0)
     monkeypatch.setattr(dd, "HOT_FLOOR", 3)
     bands = random_bands(9, values=6)
     assert dropped(spark, bands) == {o for o, _ in bands} - set(models.first_kept(bands))
@@ -33,6 +36,23 @@ def test_a_chain_keeps_both_ends(spark):
     assert dropped(spark, [(1, ["a", "x"]), (2, ["a", "b"]), (3, ["y", "b"])]) == {2}
 
 
+def test_a_chain_of_a_thousand_takes_few_rounds(spark, monkeypatch):
+    written = []
+    real = dd.materialize
+    monkeypatch.setattr(dd, "materialize", lambda df, name: written.append(name) or real(df, name))
+    bands = [(i, [f"{i}", f"{i + 1}"]) for i in range(1_000)]
+    assert dropped(spark, bands) == set(range(1, 1_000, 2))
+    assert len(written) <= 8
+
+
+def test_orders_that_are_structs(spark):
+    rows = [((f, i), [f"{i}".encode(), f"{i + 1}".encode()]) for i in range(30) for f in "ab"]
+    df = spark.createDataFrame(rows, "ord struct<file:string,place:int>, keys array<binary>")
+    got = {(r.ord.file, r.ord.place) for r in dd.dropped_documents(df, "ord").collect()}
+    want = {o for o, _ in rows} - set(models.first_kept(rows))
+    assert got == want
+
+
 def test_all_equal_and_empty(spark):
     df = spark.createDataFrame([(i, "same text here") for i in range(50)], "ord bigint, text string")
     assert [r.ord for r in dd.deduplicate(df, "ord").collect()] == [0]

@@ -8,6 +8,10 @@ find without ever listing pairs:
 * a document that is the first undecided one in every band it has is kept;
 * an undecided document that shares a band with a kept one is dropped.
 
+Rounds alone would take one for two documents of a chain, so documents are
+first split into connected components, which decide themselves: all but very
+large ones are walked in order, each in one task.
+
 A chain A~B~C keeps A and C, exactly as the walk does.
 """
 
@@ -19,12 +23,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.config import Settings
 from textloom.functions import text as tx
-from textloom.session import materialize
+from textloom.operators.components import components
+from textloom.session import discard, materialize
 
 # Fixed values of the hash family: a Mersenne prime modulus, 32-bit results,
 # and the seed the coefficients are drawn with.
@@ -33,6 +39,7 @@ MASK = (1 << 32) - 1
 FAMILY_SEED = 1
 
 SALTS = 64  # tasks that share one hot band
+WALK_MOST = 200_000  # band rows of a component that one task walks
 HOT_FLOOR = 100_000  # rows one task takes without any help
 
 
@@ -176,6 +183,8 @@ def dropped_documents(keys: DataFrame, order: str) -> DataFrame:
     rows = _band_rows(distinct, order)
     shared = rows.groupBy("key").agg(size).filter("_n > 1")
     undecided = materialize(_in_bands(rows, shared, order, total).select(order, "key"), "round")
+    walked, undecided = _walk_components(undecided, order)
+    dropped = dropped.union(walked)
     while not undecided.isEmpty():
         heads = undecided.groupBy("key").agg(F.min(order).alias("_head"), size)
         # Kept: the first one in every one of its remaining bands.
@@ -188,8 +197,56 @@ def dropped_documents(keys: DataFrame, order: str) -> DataFrame:
         decided = met.groupBy(order).agg(F.max(F.col(order) == F.col("_head")).alias("_kept"))
         decided = materialize(decided, "decided")
         dropped = dropped.union(decided.filter(~F.col("_kept")).select(order))
-        undecided = materialize(undecided.join(decided, order, "left_anti"), "round")
-    return materialize(dropped, "dropped")
+        left = materialize(undecided.join(decided, order, "left_anti"), "round")
+        discard(undecided)
+        undecided = left
+    out = materialize(dropped, "dropped")
+    discard(keys, distinct, undecided)
+    return out
+
+
+def _walk_components(undecided: DataFrame, order: str, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(order of dropped documents, what is left for the rounds).
+
+    Documents that share bands, directly or by way of others, form components
+    that decide themselves. Components are dealt out over tasks and walked in
+    order there, so a chain of any length within one costs one pass; those with
+    more than `most` rows, which one task should not take, stay in the rounds.
+    """
+    most = WALK_MOST if most is None else most
+    heads = undecided.groupBy("key").agg(F.min(order).alias("_head"))
+    links = undecided.join(heads, "key").select(F.col("_head").alias("u"), F.col(order).alias("v"))
+    found = components(links).withColumnsRenamed({"id": order, "component": "_component"})
+    # A document whose bands' other holders are none links with nothing: kept.
+    placed = materialize(undecided.join(found, order), "placed")
+    sizes = placed.groupBy("_component").agg(F.count(F.lit(1)).alias("_rows"))
+    kind = undecided.schema[order].dataType.simpleString()
+    small = placed.join(sizes.filter(F.col("_rows") <= most), "_component").groupBy("_component", order)
+    small = small.agg(F.collect_list("key").alias("keys"))
+    dealt = small.repartition("_component").sortWithinPartitions("_component", order).select("_component", order, "keys")
+    walked = materialize(dealt.mapInArrow(_walk, f"`{order}` {kind}"), "walked")
+    large = sizes.filter(F.col("_rows") > most).select("_component")
+    rest = materialize(placed.join(large, "_component", "left_semi").select(order, "key"), "round")
+    discard(placed, undecided)
+    return walked, rest
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(component, order, keys) sorted by the first two to the dropped orders."""
+    taken: set[bytes] = set()
+    component = None
+    for batch in batches:
+        lost = []
+        rows = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)
+        for i, (here, keys) in enumerate(rows):
+            if here != component:
+                component, taken = here, set()
+            if taken.isdisjoint(keys):
+                taken.update(keys)
+            else:
+                lost.append(i)
+        name = batch.schema.names[1]
+        yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(lost, pa.int64()))], [name])
 
 
 def deduplicate(df: DataFrame, order: str, s: Settings = Settings(), column: str = "text") -> DataFrame:
