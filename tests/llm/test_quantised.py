@@ -83,12 +83,6 @@ def test_rotation_balances_bits():
     assert np.allclose(projections[0].T @ projections[0], np.eye(64))
 
 
-def test_components_of_chains_and_stars(spark):
-    edges = [(i, i + 1) for i in range(1_000, 1_200)] + [(5, i) for i in range(6, 60)] + [(3, 3), (2, 1), (1, 2)]
-    got = {r["id"]: r["component"] for r in groups.components(spark.createDataFrame(edges, "u long, v long")).collect()}
-    assert got == {**{i: 1_000 for i in range(1_000, 1_201)}, **{i: 5 for i in range(5, 60)}, 1: 1, 2: 1}
-
-
 def test_forest_and_pairs():
     moved, root = groups.forest(np.array([4, 2, 7]), np.array([2, 1, 8]), 10)
     assert dict(zip(moved.tolist(), root.tolist())) == {2: 1, 4: 1, 8: 7}

@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.session import discard as forget  # noqa: F401  used through this module
 from textloom.session import scratch_root
 
 
@@ -31,15 +32,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def forget(*tables: DataFrame) -> None:
-    """Delete written tables that a later one has replaced."""
-    for df in tables:
-        spark = df.sparkSession
-        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -82,7 +74,7 @@ class Powers:
     @classmethod
     def get(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls._up) < n:
-            size = max(n, 2 * len(cls._up))
+            size = -(-n // (1 << 20)) << 20
             for name, base in (("_up", BASE), ("_down", BASE_INVERSE)):
                 steps = np.full(size, base, np.uint64)
                 steps[0] = 1
@@ -94,7 +86,11 @@ def prefix_hash(symbols: np.ndarray) -> np.ndarray:
     """Running polynomial sums; `span_hash` turns them into hashes of spans."""
     up, _ = Powers.get(len(symbols) + 1)
     sums = np.zeros(len(symbols) + 1, np.uint64)
-    np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * up[: len(symbols)], out=sums[1:])
+    terms = sums[1:]
+    terms += symbols.astype(np.uint64, copy=False)
+    terms += np.uint64(1)
+    terms *= up[: len(symbols)]
+    np.cumsum(terms, out=terms)
     return sums
 
 
@@ -190,7 +186,8 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = 16 << 20
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 20_000) -> Iterator[pa.Table]:
-    """Batches sorted by `keys` as tables that never split a group."""
+    """Batches sorted by `keys` as tables of about `rows` rows that never split a
+    group."""
     held: list[pa.RecordBatch] = []
     n = 0
     for batch in batches:
@@ -201,13 +198,24 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int =
         if n < rows:
             continue
         table = pa.Table.from_batches(held)
-        cut = int(group_starts(table, keys)[-1])
-        if cut:
-            yield table.slice(0, cut)
-        held = table.slice(cut).to_batches()
-        n = table.num_rows - cut
+        cuts = _cuts(group_starts(table, keys), rows)
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield table.slice(a, b - a)
+        held = table.slice(cuts[-1]).to_batches()
+        n = table.num_rows - cuts[-1]
     if held:
-        yield pa.Table.from_batches(held)
+        table = pa.Table.from_batches(held)
+        cuts = [*_cuts(group_starts(table, keys), rows), table.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield table.slice(a, b - a)
+
+
+def _cuts(starts: np.ndarray, rows: int) -> list[int]:
+    """Starts about `rows` apart, the first and the last one included."""
+    part = starts // rows
+    first = np.append(True, part[1:] != part[:-1])
+    first[-1] = True
+    return starts[first].tolist()
 
 
 def group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:

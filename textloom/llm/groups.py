@@ -1,4 +1,4 @@
-"""Pairs inside groups without listing them, and connected components.
+"""Pairs inside groups without listing them.
 
 Rows that share a key are compared inside tasks. A key that many rows share is
 dealt into blocks of about `BLOCK` rows, and each two blocks are one unit of
@@ -15,7 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import forget, group_starts, written
+from textloom.llm.common import group_starts
+from textloom.operators.components import components  # noqa: F401  used through this module
 
 BLOCK = 2_048
 UNIT = ("_key", "_a", "_b")
@@ -92,39 +93,3 @@ def forest(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray
             root = up
     moved = np.flatnonzero(root != np.arange(n))
     return moved, root[moved]
-
-
-def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
-    """(id, component): the smallest id that links lead to, for every linked id.
-
-    Each round hooks every node to its smallest neighbour, follows that pointer
-    once more, and contracts the edges; components halve at least, chains and
-    stars included. Each round is a written table, and replaces the last one.
-    """
-
-    def tidy(df: DataFrame) -> DataFrame:
-        a, b = F.least("u", "v"), F.greatest("u", "v")
-        return df.select(a.alias("u"), b.alias("v")).filter("u < v").distinct()
-
-    live = written(tidy(edges.select(F.col(u).alias("u"), F.col(v).alias("v"))), "edges")
-    labels = None
-    while not live.isEmpty():
-        both = live.unionByName(live.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        parent = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("p"))
-        parent = written(parent, "parents")
-        upper = parent.select(F.col("u").alias("p"), F.col("p").alias("pp"))
-        jumped = written(parent.join(upper, "p").select("u", F.col("pp").alias("p")), "jumped")
-        if labels is None:
-            new = written(jumped.select(F.col("u").alias("id"), F.col("p").alias("component")), "labels")
-        else:
-            moved = labels.join(jumped.withColumnRenamed("u", "component"), "component", "left")
-            new = written(moved.select("id", F.coalesce("p", "component").alias("component")), "labels")
-        a = jumped.select("u", F.col("p").alias("a"))
-        b = jumped.select(F.col("u").alias("v"), F.col("p").alias("b"))
-        left = tidy(live.join(a, "u").join(b, "v").select(F.col("a").alias("u"), F.col("b").alias("v")))
-        left = written(left, "edges")
-        forget(live, parent, jumped, *([labels] if labels is not None else []))
-        live, labels = left, new
-    if labels is None:
-        labels = live.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    return labels
