@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from textloom.functions import html as hx
 from textloom.operators import extract as ex
