@@ -17,8 +17,8 @@ which also starts anywhere else. Equal strings have to meet in one task:
   share that many bytes. An interval of two or more occurrences is a repeat.
 
 An anchor that very many contexts share is dealt over several tasks; each
-reports the hash of every interval it has, and intervals that two tasks have
-are repeats too. So nothing grows with one passage's number of copies.
+reports the hashes of the intervals it has, packed by shards of the hash, and
+intervals that two tasks have are repeats too. So nothing grows with one passage's number of copies.
 
 Defined cases: null and empty texts have 0 bytes and keep the hash of the empty
 string; texts shorter than `length` are never touched; rows that repeat an id
@@ -34,7 +34,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +41,7 @@ from textloom.llm.common import (
     forget,
     mix,
     prefix_hash,
+    shuffle_partitions,
     sliced,
     span_hash,
     utf8,
@@ -51,14 +51,14 @@ from textloom.llm.common import (
 
 LENGTH = 400
 GRAM = 32
-SLICE = 4 << 20  # bytes looked at together
+SLICE = 1 << 20  # bytes looked at together
 PLACE = 24  # bits of a place within a slice
 SHARED_MOST = 2_048  # contexts of one anchor that one task takes
-POOL = 6_000  # contexts indexed together
+POOL = 1_500  # contexts indexed together
 
 ANCHORS = "tkey binary, place long, first long, last long, anchor long"
 CONTEXTS = "anchor long, cid binary, context binary, tkey binary, first long, starts long"
-FOUND = "cid binary, since long, until long, h1 long, h2 long"
+FOUND = "cid binary, since long, until long, shard int, strings binary"
 
 
 # ------------------------------------------------------------- anchors
@@ -121,7 +121,7 @@ def slices(raw: np.ndarray, bounds: np.ndarray, length: int) -> Iterator[tuple[n
 
 def find_anchors(length: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", 4 << 20):
             raw, bounds = utf8(batch.column("text"))
             keys = batch.column("tkey")
             for piece, cuts, first, offset in slices(raw, bounds, length):
@@ -255,6 +255,8 @@ def repeats(contexts: list[bytes], weights: np.ndarray, length: int) -> tuple[np
 
 def runs(owner: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Neighbouring offsets of one context as (context, since, until)."""
+    if not len(owner):
+        return owner, offset, offset
     by = np.lexsort((offset, owner))
     owner, offset = owner[by], offset[by]
     new = np.ones(len(owner), bool)
@@ -264,11 +266,23 @@ def runs(owner: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return owner[head], offset[head], offset[tail] + 1
 
 
-def index(length: int) -> Callable:
+#: A string of an anchor that is dealt over several tasks: its hash, a context
+#: and an offset that have it, and whether it is known to repeat.
+STRING = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("cid", "S16"), ("since", "<i8"), ("again", "?")])
+
+
+def string_hashes(contexts: list[bytes], owner: np.ndarray, offset: np.ndarray, length: int) -> list[np.ndarray]:
+    """Two independent 64-bit hashes of the strings at (owner, offset)."""
+    raw = np.frombuffer(b"".join(contexts), np.uint8)
+    begin = np.concatenate([[0], np.cumsum([len(c) for c in contexts])])[owner] + offset
+    salted = (prefix_hash(mix(raw.astype(np.uint64) + np.uint64(salt))) for salt in (1_000, 2_000))
+    return [span_hash(sums, begin, begin + length) for sums in salted]
+
+
+def index(length: int, shards: int) -> Callable:
     """(anchor, part, parts, cid, context, n) sorted by anchor and part to FOUND:
-    runs of repeated starts of each context (h1, h2 null); and for anchors dealt
-    over several tasks one row per string, with its hash, and with an owner
-    (cid, since) where it has not been found to repeat yet."""
+    runs of repeated starts of each context (shard null); and for anchors dealt
+    over several tasks their distinct strings, packed by shards of the hash."""
     names = [c.split()[0] for c in FOUND.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,35 +294,43 @@ def index(length: int) -> Callable:
             owner, offset, interval, total = repeats(contexts, weights, length)
             again = total > 1
             who, since, until = runs(owner[again], offset[again])
-            empty = pa.nulls(len(who), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [cids.take(pa.array(who)), pa.array(since), pa.array(until), empty, empty], names
-            )
+            none = [pa.nulls(len(who), pa.int32()), pa.nulls(len(who), pa.binary())]
+            yield pa.RecordBatch.from_arrays([cids.take(pa.array(who)), pa.array(since), pa.array(until), *none], names)
             dealt = parts[owner] > 1
             if dealt.any():
                 owner, offset, interval, again = owner[dealt], offset[dealt], interval[dealt], again[dealt]
                 _, one = np.unique(interval, return_index=True)
-                owner, offset, again = owner[one], offset[one], again[one]
-                raw = np.frombuffer(b"".join(contexts), np.uint8)
-                base = np.concatenate([[0], np.cumsum([len(c) for c in contexts])])[owner] + offset
-                hashes = []
-                for salt in (1_000, 2_000):
-                    sums = prefix_hash(mix(raw.astype(np.uint64) + np.uint64(salt)))
-                    hashes.append(span_hash(sums, base, base + length).view(np.int64))
-                mask = pa.array(again)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pc.if_else(mask, pa.scalar(None, pa.binary()), cids.take(pa.array(owner))),
-                        pa.array(offset),
-                        pa.array(offset + 1),
-                        *map(pa.array, hashes),
-                    ],
-                    names,
-                )
+                owner, offset = owner[one], offset[one]
+                strings = np.empty(len(one), STRING)
+                strings["h1"], strings["h2"] = string_hashes(contexts, owner, offset, length)
+                strings["cid"] = np.array(cids.to_pylist(), "S16")[owner]
+                strings["since"], strings["again"] = offset, again[one]
+                shard = (strings["h1"] >> np.uint64(33)).astype(np.int64) % shards
+                order = np.argsort(shard, kind="stable")
+                cuts = np.flatnonzero(np.diff(shard[order])) + 1
+                packed = [(int(shard[at[0]]), strings[at].tobytes()) for at in np.split(order, cuts)]
+                blank = [pa.nulls(len(packed), k) for k in (pa.binary(), pa.int64(), pa.int64())]
+                numbers, blobs = zip(*packed, strict=True)
+                yield pa.RecordBatch.from_arrays([*blank, pa.array(numbers, pa.int32()), pa.array(blobs)], names)
 
     return run
 
 
+def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, strings) sorted by shard to (cid, since, until): strings that two
+    tasks have, where a task did not know them to repeat."""
+    for table in whole_groups(batches, ["shard"], 1):
+        strings = np.frombuffer(b"".join(table.column("strings").to_pylist()), STRING)
+        order = np.lexsort((strings["h2"], strings["h1"]))
+        strings = strings[order]
+        same = (strings["h1"][1:] == strings["h1"][:-1]) & (strings["h2"][1:] == strings["h2"][:-1])
+        met = np.append(same, False) | np.append(False, same)
+        strings = strings[met & ~strings["again"]]
+        cids = pa.array([c.ljust(16, b"\0") for c in strings["cid"].tolist()], pa.binary())
+        since = strings["since"].astype(np.int64)
+        yield pa.RecordBatch.from_arrays([cids, pa.array(since), pa.array(since + 1)], ["cid", "since", "until"])
+
+
 # ------------------------------------------------------------- the result
 
 
@@ -364,7 +386,9 @@ def deduplicate(
     spots = docs.select("tkey", "text").mapInArrow(find_anchors(length), ANCHORS)
     spots = spots.groupBy("tkey", "place").agg(*[F.first(c).alias(c) for c in ("first", "last", "anchor")])
     spots = written(spots, "anchors")
+    # Written, so that the join after it may split an anchor that very many texts have.
     twice = spots.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    twice = written(twice, "shared-anchors")
     shared = spots.join(twice, "anchor").groupBy("tkey")
     shared = shared.agg(F.collect_list(F.struct("first", "last", "anchor")).alias("spots"))
 
@@ -377,19 +401,28 @@ def deduplicate(
     contexts = concerned.filter("spots is not null").select("tkey", "text", "spots")
     contexts = written(contexts.mapInArrow(cut_contexts(length), CONTEXTS), "contexts")
     forget(spots)
-    pool = contexts.groupBy("anchor", "cid").agg(F.first("context").alias("context"), F.count(F.lit(1)).alias("n"))
-    sizes = contexts.groupBy("anchor").agg(F.approx_count_distinct("cid").alias("_n"))
+    pool = contexts.groupBy("anchor", "cid").agg(
+        F.first("context").alias("context"), F.first("starts").alias("starts"), F.count(F.lit(1)).alias("n")
+    )
+    pool = written(pool, "pool")
+    sizes = pool.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n"))
     parts = F.ceil(F.col("_n") / SHARED_MOST).cast("int").alias("parts")
-    pool = pool.join(sizes.select("anchor", parts), "anchor")
-    pool = pool.withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
-    pool = pool.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
-    found = written(pool.mapInArrow(index(length), FOUND), "found")
-
-    many = found.filter("h1 is not null").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    across = found.filter("cid is not null").join(many, ["h1", "h2"]).select("cid", "since", "until")
-    repeated = found.filter("h1 is null").select("cid", "since", "until").unionByName(across)
+    work = pool.drop("starts").join(sizes.filter("_n > 1").select("anchor", parts), "anchor")
+    work = work.withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
+    work = work.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
+    shards = shuffle_partitions(documents.sparkSession)
+    found = written(work.mapInArrow(index(length, shards), FOUND), "found")
+    # The one context of an anchor is one interval at every start; it repeats
+    # if the context does.
+    alone = pool.filter("n > 1").join(sizes.filter("_n = 1"), "anchor")
+    alone = alone.select("cid", F.lit(0).cast("long").alias("since"), F.col("starts").alias("until"))
+
+    dealt = found.filter("shard is not null").select("shard", "strings").repartition("shard")
+    met = dealt.sortWithinPartitions("shard").mapInArrow(across, "cid binary, since long, until long")
+    repeated = found.filter("shard is null").select("cid", "since", "until").unionByName(met).unionByName(alone)
     spans = contexts.select("cid", "tkey", "first").join(repeated, "cid")
-    spans = spans.select("tkey", (F.col("first") + F.col("since")).alias("since"), (F.col("first") + F.col("until")).alias("until"))
+    ends = [(F.col("first") + F.col(c)).alias(c) for c in ("since", "until")]
+    spans = spans.select("tkey", *ends)
     spans = spans.groupBy("tkey").agg(F.collect_list(F.struct("since", "until")).alias("spans"))
 
     # A text with copies repeats from its first byte to its last.
