@@ -93,6 +93,14 @@ def test_thresholds_by_language(spark):
     assert len({r["threshold"] for r in got if r["lang"] in ("en", "de")}) == 2
 
 
+def test_all_trusted_documents_outside_the_held_out_share_are_counted(spark):
+    n = 12_000
+    docs = spark.range(n).selectExpr("id as doc_id", "'en' as lang", "concat('only', id, ' of them') as text")
+    got = kneser.classify(docs, docs.select("doc_id")).select("loss").toPandas()["loss"].to_numpy()
+    learnt = got < (got.min() + got.max()) / 2  # a word of its own, known where the document was read
+    assert len(got) == n and abs(learnt.sum() - 10_000) < 300
+
+
 def test_no_trusted_and_empty(spark):
     none = spark.createDataFrame([], "doc_id long")
     got = kneser.classify(odd.documents(spark), none).collect()

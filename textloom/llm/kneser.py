@@ -4,16 +4,17 @@ The model is trained on trusted documents. Documents are scored by their mean
 loss per event (words and the end), and kept up to a quantile, by language, of
 the losses of trusted documents that the model was not trained on.
 
-Counts, discounts, continuation counts and back-off weights are grouped and
-joined as DataFrames keyed by n-gram hashes. In back-off form the log
-probability of a document is a sum over its n-grams: words and their back-off
-weights (of a bounded vocabulary, broadcast), and the gains of seen bigrams and
-trigrams. Those are looked up by sharded joins with the counts (see postings);
-a bit table of all n-grams of the model keeps what the model has never seen
-from being sent at all, and hot n-grams are broadcast.
-
-The model is fitted on at most TRAIN_MOST trusted documents, drawn by a hash of
-the id, a documented bound; every document is scored, whole. Defined cases: a
+The model is counted over all trusted documents outside the held-out share.
+Trigram counts stay packed in shards of their last bigram (as in op7), are
+handed on once to the shards of their first bigram, where what follows a context
+is known, and are looked up there: in back-off form the log probability of a
+document is a sum over its n-grams, of words and their back-off weights and of
+the gains of seen bigrams and trigrams, so all values stay sharded (see
+postings). A bit table, of a size set by the count up to a bound, keeps most of
+what the model has never seen from being sent, and hot n-grams are broadcast.
+
+Held out by a hash of the id are HELD_MOST trusted documents, but at most a half
+and at least a tenth of all; every document is scored, whole. Defined cases: a
 null or empty text is the end alone; null languages are a group of their own;
 a language with fewer than LEAST held-out trusted documents takes the quantile
 of all languages together, and with none at all everything is kept; repeated
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 
 from textloom.llm import postings
 from textloom.llm.common import (
+    BROADCAST_IDS,
+    forget,
     group_starts,
     lowered,
     mix,
@@ -41,10 +44,10 @@ from textloom.llm.common import (
     written,
 )
 
-TRAIN_MOST = 1_500
+HELD_MOST = 2_000
 QUANTILE = 0.98
 LEAST = 50
-BIT_TABLE = 26  # bits of its size: 8 MB
+BIT_TABLE = 1 << 27  # bits at most: 16 MB; it only saves sending, at any size
 HOT_SHARE = 20_000
 KIND = "<u8"
 BEGIN = np.uint64(0x0B0E0B0E0B0E0B0E)
@@ -80,21 +83,100 @@ def events(texts: pa.Array) -> tuple[np.ndarray, ...]:
     return w, v, u, doc, tokens
 
 
-def trigram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text) to (w, v, uv, vw, uvw, begins, n): distinct trigrams of a batch."""
-    for batch in sliced(batches, "text", 4 << 20):
-        w, v, u, _, _ = events(batch.column("text"))
-        uv, vw = bigram(u, v), bigram(v, w)
-        uvw = trigram(uv, w)
-        names, at, n = np.unique(uvw, return_index=True, return_counts=True)
-        columns = [x[at].view(np.int64) for x in (w, v, uv, vw)] + [names.view(np.int64)]
-        arrays = [*map(pa.array, columns), pa.array(v[at] == BEGIN), pa.array(n)]
-        yield pa.RecordBatch.from_arrays(arrays, ["w", "v", "uv", "vw", "uvw", "begins", "n"])
+#: A trigram's count, the upper bit set where the bigram it ends with is new.
+NEW = np.uint32(1 << 31)
 
 
-def discounts(counts: DataFrame) -> list[float]:
+def packed(v: np.ndarray, w: np.ndarray, uv: np.ndarray, n: np.ndarray) -> tuple[bytes, bytes, bytes, int]:
+    """Trigrams, rows to be added up, as the blobs of a parcel: sorted by their
+    last bigram, whose words are written once; and how many are distinct."""
+    vw = bigram(v, w)
+    order = np.lexsort((uv, vw))
+    vw, uv, n = vw[order], uv[order], n[order]
+    new = np.append(True, vw[1:] != vw[:-1])[: len(vw)]
+    head = np.flatnonzero(new | np.append(True, uv[1:] != uv[:-1])[: len(uv)])
+    first = order[new]
+    counts = np.add.reduceat(n, head).astype("<u4") if len(head) else np.zeros(0, "<u4")
+    counts[new[head]] |= NEW
+    return uv[head].tobytes(), np.stack([v[first], w[first]], axis=1).tobytes(), counts.tobytes(), len(head)
+
+
+def unpacked(keys: np.ndarray, pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(v, w) of each bigram; which one, uv and the count of each trigram."""
+    owner = np.cumsum(counts >= NEW) - 1
+    return pairs.reshape(-1, 2)[:, 0], pairs.reshape(-1, 2)[:, 1], owner, keys, (counts & ~NEW).astype(np.int64)
+
+
+def blobs(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, ...]:
+    kinds = (("keys", KIND), ("a", KIND), ("b", "<u4"))
+    return unpacked(*(np.frombuffer(batch.column(c)[row].as_buffer(), k) for c, k in kinds))
+
+
+def trigram_parcels(shards: int) -> Callable:
+    """(text) to the distinct trigrams of a batch, by shards of their last bigram."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = postings.batch_ids()
+        for batch in sliced(batches, "text", 4 << 20):
+            number = next(numbers)
+            w, v, u, _, _ = events(batch.column("text"))
+            uv = bigram(u, v)
+            rows: list[list] = [[], [], [], [], [], []]
+            for shard, at in postings.split(postings.shard_of(bigram(v, w), shards)):
+                three = packed(v[at], w[at], uv[at], np.ones(len(at), np.int64))
+                for column, value in zip(rows, (shard, 1, number, *three[:3]), strict=True):
+                    column.append(value)
+            yield postings.parcel(rows)
+
+    return run
+
+
+def sum_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parcels of trigrams, sorted by shard, to one row (role 0) per shard."""
+    for shard, part in by_shards(batches):
+        each = [blobs(batch, row) for batch in part.to_batches() for row in range(batch.num_rows)]
+        v, w = (np.concatenate([x[k][x[2]] for x in each]) for k in (0, 1))
+        uv, n = (np.concatenate([x[k] for x in each]) for k in (3, 4))
+        yield postings.parcel([[shard], [0], [0], *([x] for x in packed(v, w, uv, n)[:3])])
+
+
+def by_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    for table in whole_groups(batches, ["shard"], 1):
+        starts = group_starts(table, ["shard"])
+        for a, b in zip(starts, np.append(starts[1:], table.num_rows), strict=True):
+            yield table.column("shard")[int(a)].as_py(), table.slice(a, b - a)
+
+
+def bigram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Summed trigrams to (vw, v, w, c, own), a row per bigram. Below the highest
+    order a count is in how many contexts it was seen; what begins a text has
+    one context only and keeps its own count."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            v, w, owner, _, n = blobs(batch, row)
+            kinds = np.bincount(owner, minlength=len(v))
+            own = np.bincount(owner, n, len(v)).astype(np.int64)
+            columns = [x.view(np.int64) for x in (bigram(v, w), np.ascontiguousarray(v), np.ascontiguousarray(w))]
+            columns += [np.where(v == BEGIN, own, kinds), own]
+            whole = pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["vw", "v", "w", "c", "own"])
+            yield from (whole.slice(at, 1 << 16) for at in range(0, len(v), 1 << 16))
+
+
+def trigram_stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many trigrams of a shard were seen 1 to 4 times, all, and occurrences."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            n = blobs(batch, row)[4]
+            values = [*(int((n == k).sum()) for k in (1, 2, 3, 4)), len(n), int(n.sum())]
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in values], [*"1234", "kinds", "total"])
+
+
+def seen(counts: DataFrame) -> list[int]:
+    return [r or 0 for r in counts.agg(*[F.count_if(F.col("c") == k) for k in (1, 2, 3, 4)]).first()]
+
+
+def discounts(n: list[int]) -> list[float]:
     """D1, D2, D3+ from how many n-grams were seen 1 to 4 times."""
-    n = [r or 0 for r in counts.agg(*[F.count_if(F.col("c") == k) for k in (1, 2, 3, 4)]).first()]
     if not n[0] or not n[1]:
         return [0.5, 0.5, 0.5]
     y = n[0] / (n[0] + 2 * n[1])
@@ -114,120 +196,189 @@ def context_weights(counts: DataFrame, context: str, d: list[float]) -> DataFram
     return grouped.select(context, "total", (F.col("_left") / F.col("total")).alias("left"))
 
 
+def value_parcels(role: int, shards: int) -> Callable:
+    """(key, a, b) to a parcel per shard and batch, 64 bits each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, a, b = (batch.column(c).to_numpy() for c in ("key", "a", "b"))
+            rows: list[list] = [[], [], [], [], [], []]
+            for shard, at in postings.split(postings.shard_of(keys.view(np.uint64), shards)):
+                values = (shard, role, 0, keys[at].tobytes(), a[at].tobytes(), b[at].tobytes())
+                for column, value in zip(rows, values, strict=True):
+                    column.append(value)
+            yield postings.parcel(rows)
+
+    return run
+
+
+#: A trigram on its way to the shard of its first bigram: its key, its count, and
+#: (count - discount) / P of the lower order.
+THREE = np.dtype([("key", "<u8"), ("n", "<i8"), ("over", "<f8")])
+
+
+def hand_on(d: list[float], shards: int) -> Callable:
+    """A shard's trigrams (role 0) and the values of its bigrams (role 1: P and
+    gain) to the gains of the bigrams (role 2) and to THREE (role 3) by the shard
+    of the first bigram."""
+    less = np.array([0.0, *d])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, part in by_shards(batches):
+            roles = part.column("role").to_numpy()
+            at = int(np.argmin(roles))
+            v, w, owner, uv, n = blobs(part.slice(at, 1).combine_chunks().to_batches()[0], 0)
+            values = part.filter(pa.array(roles == 1))
+            keys = postings.gathered(values.column("keys"), KIND)
+            order = np.argsort(keys)
+            place = order[np.searchsorted(keys, bigram(v, w), sorter=order)]
+            p2, gain2 = (postings.gathered(values.column(c), "<f8")[place] for c in ("a", "b"))
+            own = np.bincount(owner, n, len(v)).astype("<i8")
+            rows: list[list] = [[shard], [2], [0], [keys[place].tobytes()], [gain2.tobytes()], [own.tobytes()]]
+            three = np.empty(len(n), THREE)
+            three["key"], three["n"] = trigram(uv, w[owner]), n
+            three["over"] = (n - less[np.minimum(n, 3)]) / p2[owner]
+            for to, some in postings.split(postings.shard_of(uv, shards)):
+                values = (to, 3, shard, uv[some].tobytes(), three[some].tobytes(), b"")
+                for column, value in zip(rows, values, strict=True):
+                    column.append(value)
+            yield postings.parcel(rows)
+
+    return run
+
+
+def gain_shards(d: list[float], region: int) -> Callable:
+    """What hand_on and the words (role 2) give a shard to its row of the model
+    (role 0: keys, gains, occurrences) and its region of the bit table (role 1)."""
+    less = np.array([0.0, *d])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, part in by_shards(batches):
+            roles = part.column("role").to_numpy()
+            lower, upper = (part.filter(pa.array(roles == r)) for r in (2, 3))
+            uv, three = postings.gathered(upper.column("keys"), KIND), postings.gathered(upper.column("a"), THREE)
+            contexts, owner = np.unique(uv, return_inverse=True)
+            left = np.bincount(owner, less[np.minimum(three["n"], 3)], len(contexts))
+            total = np.bincount(owner, three["n"], len(contexts))
+            # A bigram's gain, and its weight as the context of the word after it.
+            keys = [postings.gathered(lower.column("keys"), KIND), contexts, three["key"]]
+            gain = [postings.gathered(lower.column("a"), "<f8"), np.log(left / total), np.log1p(three["over"] / left[owner])]
+            n = [postings.gathered(lower.column("b"), "<i8"), np.zeros(len(contexts), np.int64), three["n"]]
+            names, place = np.unique(np.concatenate(keys), return_inverse=True)
+            gains = np.bincount(place, np.concatenate(gain), len(names)).astype("<f8")
+            counts = np.bincount(place, np.concatenate(n), len(names)).astype("<i8")
+            yield postings.parcel([[shard], [0], [0], [names.tobytes()], [gains.tobytes()], [counts.tobytes()]])
+            bits = np.zeros(region, bool)
+            bits[slot(names, region)] = True
+            yield postings.parcel([[shard], [1], [0], [np.packbits(bits).tobytes()], [b""], [b""]])
+
+    return run
+
+
+def slot(keys: np.ndarray, region: int) -> np.ndarray:
+    """A key's place in its shard's region of the bit table."""
+    return (keys >> np.uint64(20)).astype(np.int64) % region
+
+
 class Trained:
-    """The broadcast part of the model, and the table of n-gram gains."""
+    """The table of values in shards, and the few numbers every task gets."""
 
-    def __init__(self, gains: DataFrame, words, log_word, log_left, unknown: float, start: float) -> None:
-        self.gains = gains  # (key, gain, n), bigrams and trigrams
-        self.words, self.log_word, self.log_left = words, log_word, log_left
+    def __init__(self, table: DataFrame, shards: int, region: int, occurrences: int, unknown: float, start: float) -> None:
+        self.gains = table.filter("role = 0")  # PARCEL: keys, gains and occurrences of words and n-grams
+        self.bits = table.filter("role = 1")  # PARCEL: each shard's region of the bit table
+        self.shards, self.region, self.occurrences = shards, region, occurrences
         self.unknown, self.start = unknown, start
 
 
 def train(texts: DataFrame) -> Trained:
-    """texts: one column, `text`, of a bounded number of documents."""
-    rows = texts.mapInArrow(trigram_rows, "w long, v long, uv long, vw long, uvw long, begins boolean, n long")
-    keys = ["uvw", "uv", "vw", "v", "w", "begins"]
-    three = written(rows.groupBy(*keys).agg(F.sum("n").alias("c")), "trigrams")
-    # Below the highest order a count is in how many contexts it was seen;
-    # what begins a text has one context only and keeps its own count.
-    two = three.groupBy("vw", "v", "w", "begins").agg(F.sum("c").alias("own"), F.count(F.lit(1)).alias("kinds"))
-    two = written(two.withColumn("c", F.when(F.col("begins"), F.col("own")).otherwise(F.col("kinds"))), "bigrams")
-    one = written(two.groupBy("w").agg(F.count(F.lit(1)).alias("c")), "unigrams")
-    d3, d2, d1 = discounts(three), discounts(two), discounts(one)
+    """texts: one column, `text`."""
+    shards = shuffle_partitions(texts.sparkSession)
+    three = postings.by_shard(texts.mapInArrow(trigram_parcels(shards), postings.PARCEL))
+    three = written(three.mapInArrow(sum_trigrams, postings.PARCEL), "trigrams")
+    numbers = [*"1234", "kinds", "total"]
+    stats = three.mapInArrow(trigram_stats, ", ".join(f"`{c}` long" for c in numbers))
+    *often, kinds3, occurrences = (x or 0 for x in stats.agg(*[F.sum(f"`{c}`") for c in numbers]).first())
+    two = written(three.mapInArrow(bigram_rows, "vw long, v long, w long, c long, own long"), "bigrams")
+    one = written(two.groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.sum("own").alias("own")), "unigrams")
+    d3, d2, d1 = discounts(often), discounts(seen(two)), discounts(seen(one))
 
     whole = one.agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("kinds")).first()
     total, kinds = whole["c"] or 1, (whole["kinds"] or 0) + 1  # and the unknown word
     mass = one.agg(F.sum(discount(d1)).alias("m")).first()["m"] or total
     base = mass / total / kinds
-    p1 = one.select("w", ((F.col("c") - discount(d1)) / total + base).alias("p1"))
+    unknown = float(np.log(base))
+    p1 = one.select("w", "own", ((F.col("c") - discount(d1)) / total + base).alias("p1"))
     left2 = context_weights(two, "v", d2).withColumnsRenamed({"total": "total2", "left": "left2"})
-    left3 = context_weights(three, "uv", d3).withColumnsRenamed({"total": "total3", "left": "left3"})
-    p2 = two.join(p1, "w").join(left2, "v")
+    left2 = written(left2, "contexts")
+    p2 = two.join(p1.drop("own"), "w").join(left2, "v")
     p2 = p2.withColumn("p2", (F.col("c") - discount(d2)) / F.col("total2") + F.col("left2") * F.col("p1"))
-    p2 = written(p2.select("vw", "v", "w", "p1", "p2", "left2", "own"), "bigram-values")
-    p3 = three.join(p2.select("vw", "p2"), "vw").join(left3, "uv")
-    high = (F.col("c") - discount(d3)) / F.col("total3") + F.col("left3") * F.col("p2")
-    gain3 = p3.select(F.col("uvw").alias("key"), F.log(high / (F.col("left3") * F.col("p2"))).alias("gain"), F.col("c").alias("n"))
-    # A bigram's gain, and its weight as the context of the word after it.
-    onward = left3.select(F.col("uv").alias("vw"), F.log("left3").alias("onward"))
-    gain2 = F.log(F.col("p2") / (F.col("left2") * F.col("p1"))) + F.coalesce("onward", F.lit(0.0))
-    gain2 = p2.join(onward, "vw", "left").select(F.col("vw").alias("key"), gain2.alias("gain"), F.col("own").alias("n"))
-    gains = written(gain2.unionByName(gain3), "gains")
-
-    words = p1.join(left2.select(F.col("v").alias("w"), "left2"), "w", "full").toPandas()
-    hashes = words["w"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    log_word = np.log(words["p1"].fillna(base).to_numpy())[order]
-    log_left = np.log(words["left2"].fillna(1.0).to_numpy())[order]
-    begin = left3.filter(F.col("uv") == int(bigram(np.array([BEGIN]), np.array([BEGIN])).view(np.int64)[0])).first()
-    start = float(np.log(begin["left3"])) if begin else 0.0
-    return Trained(gains, hashes[order], log_word, log_left, float(np.log(base)), start)
-
-
-def slot(keys: np.ndarray) -> np.ndarray:
-    """A key's place in the bit table: its upper bits, as keys are mixed."""
-    return (keys >> np.uint64(64 - BIT_TABLE)).astype(np.int64)
-
-
-def bit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(piece, key) sorted by piece to (piece, bits): 8 KB of the table each."""
-    for table in whole_groups(batches, ["piece"], 1 << 16):
-        bits = np.unique(slot(table.column("key").to_numpy().view(np.uint64)))
-        for piece, at in postings.split(bits >> 16):
-            part = np.zeros(1 << 16, bool)
-            part[bits[at] & 0xFFFF] = True
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([piece], pa.int64()), pa.array([np.packbits(part).tobytes()])], ["piece", "bits"]
-            )
+    gain2 = F.log(F.col("p2") / (F.col("left2") * F.col("p1")))
+    p2 = p2.select(F.col("vw").alias("key"), F.col("p2").alias("a"), gain2.alias("b"))
+    p2 = p2.mapInArrow(value_parcels(1, shards), postings.PARCEL)
+
+    # A word's own loss over an unknown one's, and its weight as a context.
+    words = p1.join(left2.select(F.col("v").alias("w"), "left2"), "w", "full")
+    weight = F.log(F.coalesce("p1", F.lit(base))) - unknown + F.log(F.coalesce("left2", F.lit(1.0)))
+    words = words.select(F.col("w").alias("key"), weight.alias("a"), F.coalesce("own", F.lit(0)).cast("long").alias("b"))
+    words = words.mapInArrow(value_parcels(2, shards), postings.PARCEL)
+
+    slots = min(BIT_TABLE, 8 * (kinds3 + two.count() + kinds))
+    region = max(8, slots // shards // 8 * 8)
+    handed = postings.by_shard(three.unionByName(p2)).mapInArrow(hand_on(d3, shards), postings.PARCEL)
+    table = postings.by_shard(handed.unionByName(words)).mapInArrow(gain_shards(d3, region), postings.PARCEL)
+    table = written(table, "gains")
+    # The end of every text, and the begins before it, are the same for all.
+    end, begin = (int(np.array([k]).view(np.int64)[0]) for k in (END, BEGIN))
+    last = p1.filter(F.col("w") == end).first()
+    first = left2.filter(F.col("v") == begin).first()
+    start = (float(np.log(last["p1"])) if last else unknown) + (float(np.log(first["left2"])) if first else 0.0)
+    before = bigram(np.array([BEGIN]), np.array([BEGIN]))
+    home = int(postings.shard_of(before, shards)[0])
+    for row in table.filter((F.col("role") == 0) & (F.col("shard") == home)).mapInArrow(chosen(before), HOT).collect():
+        start += row["gain"]
+    forget(three, two, one, left2)
+    return Trained(table, shards, region, 3 * occurrences, unknown, start)
+
+
+HOT = "key long, gain double, n long"
+
+
+def model_rows(pick: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                kinds = (("keys", KIND), ("a", "<f8"), ("b", "<i8"))
+                keys, gain, n = (np.frombuffer(batch.column(c)[row].as_buffer(), k) for c, k in kinds)
+                some = pick(keys, n)
+                columns = [keys[some].view(np.int64), gain[some], n[some]]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["key", "gain", "n"])
 
+    return run
 
-def bit_table(gains: DataFrame) -> np.ndarray:
-    """Which slots the model's n-grams fall into (a fixed number of bits), put
-    together from its pieces, each made by one task."""
-    table = np.zeros((1 << BIT_TABLE) // 8, np.uint8)
-    piece = F.shiftrightunsigned("key", 64 - BIT_TABLE + 16).alias("piece")
-    dealt = gains.select(piece, "key").repartition("piece").sortWithinPartitions("piece")
-    for row in dealt.mapInArrow(bit_rows, "piece long, bits binary").collect():  # 8 MB in all
-        at = row["piece"] << 13
-        table[at : at + (1 << 13)] = np.frombuffer(row["bits"], np.uint8)
-    return table
 
+def chosen(wanted: np.ndarray) -> Callable:
+    return model_rows(lambda keys, n: np.isin(keys, wanted))
 
-def model_parcels(shards: int) -> Callable:
-    """(key, gain) to one parcel per shard and batch, values as 64-bit floats."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("key").to_numpy().view(np.uint64)
-            gain = batch.column("gain").to_numpy()
-            rows: list[list] = [[], [], [], [], [], []]
-            for shard, at in postings.split(postings.shard_of(keys, shards)):
-                for column, value in zip(rows, (shard, 0, 0, keys[at].tobytes(), gain[at].tobytes(), b""), strict=True):
-                    column.append(value)
-            yield postings.parcel(rows)
+def more_than(most: int) -> Callable:
+    return model_rows(lambda keys, n: n > most)
 
-    return run
 
-
-def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The model parcels of each shard as one, sorted by key; the gain as bits."""
-    for table in whole_groups(batches, ["shard"], 1):
-        starts = group_starts(table, ["shard"])
-        for a, b in zip(starts, np.append(starts[1:], table.num_rows), strict=True):
-            part = table.slice(a, b - a)
-            keys = postings.gathered(part.column("keys"), KIND)
-            order = np.argsort(keys)
-            gain = postings.gathered(part.column("a"), "<i8")[order]
-            shard = part.column("shard")[0].as_py()
-            yield postings.parcel([[shard], [0], [0], [keys[order].tobytes()], [gain.tobytes()], [gain.tobytes()]])
+def bit_table(model: Trained) -> np.ndarray:
+    """Which slots the model's keys fall into, a region per shard."""
+    table = np.zeros(model.shards * model.region // 8, np.uint8)
+    for row in model.bits.select("shard", "keys").toLocalIterator():  # BIT_TABLE bits in all
+        at = row["shard"] * model.region // 8
+        table[at : at + model.region // 8] = np.frombuffer(row["keys"], np.uint8)
+    return table
 
 
 def gain_values(keys: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a.view(np.float64), np.zeros(len(keys))
 
 
-def score_parcels(model: Trained, table: np.ndarray, hot: tuple[np.ndarray, np.ndarray], shards: int) -> Callable:
-    words, log_word, log_left, unknown, start = model.words, model.log_word, model.log_left, model.unknown, model.start
+def score_parcels(model: Trained, table: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> Callable:
+    unknown, start, shards, region = model.unknown, model.start, model.shards, model.region
     hot_keys, hot_gain = hot
 
     def find(names: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,18 +390,16 @@ def score_parcels(model: Trained, table: np.ndarray, hot: tuple[np.ndarray, np.n
         for batch in sliced(batches, "text", 4 << 20):
             number = next(numbers)
             w, v, u, doc, tokens = events(batch.column("text"))
-            place, known = find(words, w)
-            each = np.where(known, log_word[place] if len(words) else 0.0, unknown)
-            place, known = find(words, v)
-            each += np.where(known, log_left[place] if len(words) else 0.0, 0.0)
-            vw = bigram(v, w)
-            keys = np.concatenate([vw, trigram(bigram(u, v), w)])
-            owner = np.concatenate([doc, doc])
-            at = slot(keys)
+            inner = np.flatnonzero(w != END)
+            vw, uv = bigram(v, w), bigram(u, v)
+            keys = np.concatenate([w[inner], vw, trigram(uv, w)])
+            homes = np.concatenate([postings.shard_of(w[inner], shards), *(postings.shard_of(x, shards) for x in (vw, uv))])
+            owner = np.concatenate([doc[inner], doc, doc])
+            at = homes * region + slot(keys, region)
             maybe = np.flatnonzero(table[at >> 3] & (np.uint8(128) >> (at & 7).astype(np.uint8)))
-            keys, owner = keys[maybe], owner[maybe]
+            keys, owner, homes = keys[maybe], owner[maybe], homes[maybe]
             place, known = find(hot_keys, keys)
-            own = np.bincount(doc, each, batch.num_rows) + start
+            own = unknown * tokens + start
             own += np.bincount(owner[known], hot_gain[place[known]], batch.num_rows)
             rows = batch.drop_columns(["text"]).append_column("tokens", pa.array(tokens))
             sink = pa.BufferOutputStream()
@@ -261,7 +410,7 @@ def score_parcels(model: Trained, table: np.ndarray, hot: tuple[np.ndarray, np.n
                 [[shard], [2], [number], [sink.getvalue().to_pybytes()], [own.astype("<f8").tobytes()], [b""]]
             )
             if not known.all():
-                yield postings.posting_parcels(keys[~known], owner[~known], shards, number, KIND)
+                yield postings.posting_parcels(keys[~known], owner[~known], shards, number, KIND, homes[~known])
 
     return run
 
@@ -279,17 +428,13 @@ def mean_losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def losses(documents: DataFrame, model: Trained) -> DataFrame:
     """(doc_id, lang, n_tokens, loss) of (doc_id, lang, text)."""
-    spark = documents.sparkSession
-    shards = shuffle_partitions(spark)
-    total = model.gains.agg(F.sum("n")).first()[0] or 0
-    hot = model.gains.filter(F.col("n") > max(1, total // HOT_SHARE)).toPandas()  # at most HOT_SHARE rows
+    most = max(1, model.occurrences // HOT_SHARE)
+    hot = model.gains.mapInArrow(more_than(most), HOT).toPandas()  # at most HOT_SHARE rows
     hot_keys = hot["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hot_keys)
     hot_pair = (hot_keys[order], hot["gain"].to_numpy(np.float64)[order])
-    gains = model.gains.mapInArrow(model_parcels(shards), postings.PARCEL)
-    gains = gains.repartition("shard").sortWithinPartitions("shard").mapInArrow(merged, postings.PARCEL)
-    sent = documents.mapInArrow(score_parcels(model, bit_table(model.gains), hot_pair, shards), postings.PARCEL)
-    work = postings.by_shard(written(gains, "gain-shards").unionByName(sent))
+    sent = documents.mapInArrow(score_parcels(model, bit_table(model), hot_pair), postings.PARCEL)
+    work = postings.by_shard(model.gains.unionByName(sent))
     sums = work.mapInArrow(postings.add_up(KIND, gain_values), postings.SUMS)
     schema = "doc_id long, lang string, n_tokens long, loss double"
     return postings.by_batch(sums).mapInArrow(mean_losses, schema)
@@ -299,7 +444,7 @@ def classify(
     documents: DataFrame,
     trusted: DataFrame,
     quantile: float = QUANTILE,
-    most: int = TRAIN_MOST,
+    held_most: int = HELD_MOST,
     id_col: str = "doc_id",
     lang_col: str = "lang",
     text_col: str = "text",
@@ -313,12 +458,14 @@ def classify(
     )
     ids = trusted.select(F.col(id_col).cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
     ids = written(ids, "trusted-ids")
-    share = min(0.5, most / max(1, ids.count()))
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) < int(share * (1 << 30))
-    model = train(docs.join(F.broadcast(ids.filter(drawn)), "doc_id").select("text"))  # about `most` ids
+    n_ids = ids.count()
+    share = min(0.5, max(0.1, held_most / max(1, n_ids)))
+    held_out = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) < int(share * (1 << 30))
+    learnt = ids.filter(~held_out)
+    model = train(docs.join(F.broadcast(learnt) if n_ids <= BROADCAST_IDS else learnt, "doc_id").select("text"))
 
     scored = written(losses(docs, model), "losses")
-    held = scored.join(ids.filter(~drawn), "doc_id")
+    held = scored.join(ids.filter(held_out), "doc_id")
     cut = F.percentile_approx("loss", quantile, 10_000)
     by_lang = held.groupBy("lang").agg(cut.alias("own"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST)
     overall = held.agg(cut).first()[0]

@@ -61,14 +61,19 @@ def count_parcels(keys: np.ndarray, second: np.ndarray, shards: int, batch: int,
     return parcel(rows)
 
 
-def posting_parcels(keys: np.ndarray, docs: np.ndarray, shards: int, batch: int, kind: str) -> pa.RecordBatch:
-    """Distinct keys with their counts, and the documents of each, by shard."""
+def posting_parcels(
+    keys: np.ndarray, docs: np.ndarray, shards: int, batch: int, kind: str, homes: np.ndarray | None = None
+) -> pa.RecordBatch:
+    """Distinct keys with their counts, and the documents of each, by shard;
+    homes: the shard of each key, where it is not the key's own."""
     order = np.argsort(keys, kind="stable")
+    homes = shard_of(keys, shards) if homes is None else homes
+    homes = homes[order]
     keys, docs = keys[order], docs[order].astype("<u2")
     head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
     counts = np.diff(np.append(head, len(keys)))
     rows = [[], [], [], [], [], []]
-    for shard, at in split(shard_of(keys[head], shards)):
+    for shard, at in split(homes[head]):
         c = counts[at]
         spots = np.repeat(head[at], c) + np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
         values = (shard, 1, batch, keys[head[at]].astype(kind).tobytes(), c.astype("<u4").tobytes(), docs[spots].tobytes())
