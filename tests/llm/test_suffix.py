@@ -75,6 +75,22 @@ def test_slices_of_long_texts(monkeypatch):
     assert starts == want
 
 
+def test_repeats_across_slice_edges(spark, monkeypatch):
+    """Long texts whose repeated passages lie over, and start or end near, every edge."""
+    monkeypatch.setattr(suffix, "SLICE", 1_000)
+    draw = np.random.default_rng(5)
+    fresh = lambda n: "".join(chr(97 + c) for c in draw.integers(0, 26, n))
+    rows = []
+    for i, size in enumerate((50, 60, 75, 90, 98, 120)):
+        text, others = fresh(5_300), []
+        for edge in (1_000, 2_000, 3_000, 4_000, 5_000):
+            at = edge - size + int(draw.integers(0, size + 50))
+            others.append(fresh(70) + text[at : at + size] + fresh(70))
+        rows += [(100 * i, text, "", "", 0), *((100 * i + k + 1, t, "", "", 0) for k, t in enumerate(others))]
+    rows.append((900, rows[0][1], "", "", 0))
+    assert order(found(suffix.deduplicate(odd.documents(spark, rows), 50))) == order(expected(rows, 50))
+
+
 def test_intervals_match_sorting():
     draw = np.random.default_rng(4)
     contexts = [bytes(draw.integers(97, 99, n).astype(np.uint8)) for n in (30, 40, 50, 60)]

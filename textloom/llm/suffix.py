@@ -103,28 +103,31 @@ def anchors(raw: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarra
     return doc, where[head] - base, start[head] - base, start[tail] - base, hashes[where[head]].view(np.int64)
 
 
-def slices(raw: np.ndarray, bounds: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+def slices(
+    raw: np.ndarray, bounds: np.ndarray, length: int, size: int | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
     """(bytes, bounds, first text, offset in it): whole texts together up to
-    SLICE bytes; a longer one in parts that overlap by length - 1 bytes."""
+    `size` (SLICE) bytes; a longer one in parts that overlap by length - 1 bytes."""
+    size = size or SLICE
     at, n = 0, len(bounds) - 1
     while at < n:
-        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + SLICE, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + size, "right")) - 1)
         part = raw[bounds[at] : bounds[to]]
-        if to == at + 1 and len(part) > SLICE:
-            for cut in range(0, len(part) - length + 1, SLICE):
-                piece = part[cut : cut + SLICE + length - 1]
+        if to == at + 1 and len(part) > size:
+            for cut in range(0, len(part) - length + 1, size):
+                piece = part[cut : cut + size + length - 1]
                 yield piece, np.array([0, len(piece)]), at, cut
         else:
             yield part, bounds[at : to + 1] - bounds[at], at, 0
         at = to
 
 
-def find_anchors(length: int) -> Callable:
+def find_anchors(length: int, size: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", 4 << 20):
             raw, bounds = utf8(batch.column("text"))
             keys = batch.column("tkey")
-            for piece, cuts, first, offset in slices(raw, bounds, length):
+            for piece, cuts, first, offset in slices(raw, bounds, length, size):
                 doc, *numbers, hashes = anchors(piece, cuts, length)
                 columns = [keys.take(pa.array(doc + first)), *(pa.array(x + offset) for x in numbers), pa.array(hashes)]
                 yield pa.RecordBatch.from_arrays(columns, ["tkey", "place", "first", "last", "anchor"])
@@ -383,8 +386,11 @@ def deduplicate(
     copies = docs.filter(F.col("n_bytes") >= length).groupBy("tkey")
     copies = written(copies.agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")), "texts")
 
-    spots = docs.select("tkey", "text").mapInArrow(find_anchors(length), ANCHORS)
-    spots = spots.groupBy("tkey", "place").agg(*[F.first(c).alias(c) for c in ("first", "last", "anchor")])
+    spots = docs.select("tkey", "text").mapInArrow(find_anchors(length, SLICE), ANCHORS)
+    # Equal texts have equal rows; an anchor whose windows a slice's edge parts has two, one run together.
+    spots = spots.groupBy("tkey", "place").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.first("anchor").alias("anchor")
+    )
     spots = written(spots, "anchors")
     # Written, so that the join after it may split an anchor that very many texts have.
     twice = spots.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
