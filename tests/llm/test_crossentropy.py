@@ -70,6 +70,18 @@ def test_against_dictionaries(spark, monkeypatch, hot):
     assert max(inside) < min(outside)
 
 
+@pytest.mark.parametrize("most, hot", [(20, 20_000), (20, 50), (0, 50)])
+def test_words_beyond_the_broadcast_ones_count(spark, monkeypatch, most, hot):
+    """All words seen twice in the target are told apart, also those that do not fit."""
+    monkeypatch.setattr(crossentropy, "VOCABULARY_MOST", most)
+    monkeypatch.setattr(crossentropy, "HOT_SHARE", hot)
+    rows = corpus() + [r for r in odd.ROWS if r[0] != 7]
+    target = {i for i in range(0, 120, 2)} | {2, 8, 205, 210}
+    ids = spark.createDataFrame([(i,) for i in target], "doc_id long")
+    got = found(crossentropy.score(odd.documents(spark, rows).repartition(4), ids))
+    close(got, plain([r[:2] for r in rows], target, 10_000))
+
+
 def test_long_text_no_target_and_empty(spark):
     got = found(crossentropy.score(odd.documents(spark), spark.createDataFrame([], "doc_id long")))
     assert len(got) == len(odd.ROWS) and all(math.isfinite(x) for g in got for x in g[2:])
