@@ -134,6 +134,18 @@ def test_same_vocabulary_and_ids_as_a_public_trainer(spark, docs, model):
     assert list(shown) == other.encode(rows[4][1]).tokens
 
 
+def test_the_larger_query_trains_the_size_of_the_job(spark, monkeypatch):
+    from textloom.catalog import vocabulary
+    from textloom.config import Settings
+
+    asked = []
+    stop = lambda spark, sf_dir, size: asked.append(size) or bt.Vocabulary([])
+    monkeypatch.setattr(vocabulary, "_trained", stop)
+    monkeypatch.setattr(bt.Vocabulary, "merge_table", lambda self, spark: None)
+    vocabulary.train_larger(spark, "")
+    assert asked == [Settings().vocab_size]
+
+
 def test_roundtrip_of_the_probes(spark, model, full):
     probes = vl.probe_texts(spark)
     assert all(r.ok for r in vl.roundtrip(probes, full).collect())

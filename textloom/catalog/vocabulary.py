@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.catalog.common import documents, sql_strip, sql_words
+from textloom.config import Settings
 from textloom.functions import text as tx
 from textloom.operators import bpe_encode as be
 from textloom.operators import bpe_train as bt
@@ -15,7 +16,7 @@ from textloom.operators import validate as vl
 from textloom.session import scratch_root
 
 VOCAB = 256  # tokens the queries train
-LARGER = 500
+LARGER = Settings().vocab_size  # 32,000, the size of the job
 BASE = 0x4E00  # SQL writes symbol k as the character BASE + k
 
 
