@@ -30,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.llm.common import APART, forget, lowered, mix, prefix_hash, sliced, span_hash, word_spans, written
 
@@ -121,7 +122,7 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = TRAIN_MOST) -> Mode
     everyone = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("words").alias("words"))
     # Some hundred thousand rows of the bounded sample: one task fits them.
     both = everyone.select("doc_id", "toxic", "words", *(F.lit(None).cast("long").alias(c) for c in ("feature", "times")))
-    both = both.unionByName(marks, allowMissingColumns=True).coalesce(1)
+    both = both.unionByName(marks, allowMissingColumns=True).repartition(1)
     fitted = both.mapInArrow(fit_rows, "features binary, weights binary, thresholds binary").first()
     forget(rows)
     return Model(
@@ -230,8 +231,8 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     `severity_grade` (the likeliest); columns of these names are replaced."""
     own = ("severity", "toxic_p", "severity_grade")
     docs = documents.drop(*(c for c in own if c in documents.columns)).withColumn("text", F.col("text").cast("string"))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(scorer(model), f"{types}, severity double, toxic_p double, severity_grade int")
+    schema = T.StructType(docs.schema.fields[:]).add("severity", "double").add("toxic_p", "double")
+    return docs.mapInArrow(scorer(model), schema.add("severity_grade", "integer"))
 
 
 def rejected() -> Column:
