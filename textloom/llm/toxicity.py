@@ -15,7 +15,7 @@ and the weights (at most FEATURES_MOST) are small enough to broadcast. Every
 document is scored, whole.
 
 Defined cases: a null or empty text has no features and gets the severity of an
-empty document; labels that are null, or of documents that do not exist, are
+empty document and none is fitted on; labels that are null, or of documents that do not exist, are
 left out; repeated labels count once each; without toxic labels nothing is
 toxic (severity 0); columns other than id and text are not looked at.
 """
@@ -64,14 +64,41 @@ def tally(hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return doc[head], hashes[head], np.diff(np.append(head, len(doc)))
 
 
+FEATURE_ROWS = "doc_id long, toxic int, words long, features array<long>, times array<int>"
+
+
+def lists(doc: np.ndarray, n: int, values: np.ndarray) -> pa.Array:
+    """Values sorted by text as one list a text."""
+    bounds = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))
+
+
 def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, toxic, text) to (doc_id, toxic, words, feature, times)."""
+    """(doc_id, toxic, text) to FEATURE_ROWS."""
     for batch in sliced(batches, "text", 2 << 20):
         hashes, doc, words = features(batch.column("text"))
         doc, hashes, times = tally(hashes, doc)
-        columns = [batch.column(c).take(pa.array(doc)) for c in ("doc_id", "toxic")]
-        columns += [pa.array(words[doc]), pa.array(hashes.view(np.int64)), pa.array(times)]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "words", "feature", "times"])
+        columns = [batch.column("doc_id"), batch.column("toxic"), pa.array(words)]
+        columns += [lists(doc, batch.num_rows, x) for x in (hashes.view(np.int64), times.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "words", "features", "times"])
+
+
+def marked(names: np.ndarray) -> Callable:
+    """FEATURE_ROWS to the same with only the features of `names`, as places in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = batch.column("features")
+            hashes = each.flatten().to_numpy().view(np.uint64)
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(each.offsets.to_numpy()))
+            place = np.minimum(np.searchsorted(names, hashes), max(len(names) - 1, 0))
+            hit = names[place] == hashes if len(names) else np.zeros(len(hashes), bool)
+            times = batch.column("times").flatten().to_numpy()
+            columns = [batch.column(c) for c in ("doc_id", "toxic", "words")]
+            columns += [lists(doc[hit], batch.num_rows, x[hit].astype(np.int32)) for x in (place, times)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "words", "features", "times"])
+
+    return run
 
 
 @dataclass(frozen=True)
@@ -104,51 +131,48 @@ def training_rows(documents: DataFrame, labels: DataFrame, most: int = TRAIN_MOS
 
 def fit(documents: DataFrame, labels: DataFrame, most: int = TRAIN_MOST) -> Model:
     rows = training_rows(documents, labels, most).select("doc_id", "toxic", "text")
-    schema = "doc_id long, toxic int, words long, feature long, times long"
-    rows = written(rows.mapInArrow(feature_rows, schema), "toxic-features")
+    rows = written(rows.mapInArrow(feature_rows, FEATURE_ROWS).filter("words > 0"), "toxic-features")
     kinds = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.countDistinct("doc_id").alias("n")).collect()}
     if len(kinds) < 2:
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.full(GRADES - 1, 50.0))
     toxic, clean = F.lit(float(kinds[1])), F.lit(float(kinds[0]))
-    seen = rows.groupBy("feature").agg(
+    seen = rows.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(
         F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b")
     )
     rate = (F.col("a") + F.col("b") + 1) / (toxic + clean + 2)
     gap = (F.col("a") + 0.5) / (toxic + 1) - (F.col("b") + 0.5) / (clean + 1)
     z = gap / F.sqrt(rate * (1 - rate) * (1 / toxic + 1 / clean))
     strong = seen.withColumn("z", z).filter((F.col("z") >= MARKER) & (F.col("a") + F.col("b") >= 3))
-    strong = strong.orderBy(F.desc("z"), "feature").limit(FEATURES_MOST).select("feature")
-    marks = rows.join(F.broadcast(strong), "feature").select("doc_id", "feature", "times")
-    everyone = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("words").alias("words"))
-    # Some hundred thousand rows of the bounded sample: one task fits them.
-    both = everyone.select("doc_id", "toxic", "words", *(F.lit(None).cast("long").alias(c) for c in ("feature", "times")))
-    both = both.unionByName(marks, allowMissingColumns=True).repartition(1)
-    fitted = both.mapInArrow(fit_rows, "features binary, weights binary, thresholds binary").first()
+    strong = strong.orderBy(F.desc("z"), "feature").limit(FEATURES_MOST).select("feature").collect()
+    names = np.sort(np.array([r["feature"] for r in strong], np.int64).view(np.uint64))
+    # Some thousand rows of the bounded sample: one task fits them.
+    marks = rows.mapInArrow(marked(names), FEATURE_ROWS.replace("<long>", "<int>")).repartition(1)
+    fitted = marks.mapInArrow(fit_rows(len(names)), "weights binary, thresholds binary").first()
     forget(rows)
     return Model(
-        np.frombuffer(fitted["features"], np.uint64),
+        names,
         np.frombuffer(fitted["weights"], np.float64),
         np.frombuffer(fitted["thresholds"], np.float64),
     )
 
 
-def fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, toxic, words, feature, times), one row per document without a
-    feature and one per marker feature of it, to one row: the model."""
-    table = pa.Table.from_batches(batches)
-    head = pc.is_null(table.column("feature"))
-    everyone = table.filter(head).sort_by("doc_id")
-    marks = table.filter(pc.invert(head)).sort_by([("doc_id", "ascending"), ("feature", "ascending")])
-    doc = np.searchsorted(everyone.column("doc_id").to_numpy(), marks.column("doc_id").to_numpy())
-    feature = marks.column("feature").to_numpy().astype(np.int64).view(np.uint64)
-    names, column = np.unique(feature, return_inverse=True)
-    times = marks.column("times").to_numpy()
-    n = everyone.num_rows
-    density = np.bincount(doc, times, n) / np.maximum(everyone.column("words").to_numpy(), 1)
-    grade = grades(everyone.column("toxic").to_numpy(), density)
-    weights, thresholds = regress(doc, column, np.log1p(times), grade, len(names))
-    blobs = [pa.array([x.tobytes()], pa.binary()) for x in (names, weights, thresholds)]
-    yield pa.RecordBatch.from_arrays(blobs, ["features", "weights", "thresholds"])
+def fit_rows(width: int) -> Callable:
+    """Marked feature rows of all training documents to one row: the model."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches)
+        table = table.take(pc.sort_indices(table.select(["doc_id", "toxic"]), [("doc_id", "ascending"), ("toxic", "ascending")]))
+        each = table.column("features").combine_chunks()
+        doc = np.repeat(np.arange(len(each), dtype=np.int32), np.diff(each.offsets.to_numpy()))
+        column = each.flatten().to_numpy()
+        times = table.column("times").combine_chunks().flatten().to_numpy()
+        toxic, words = table.column("toxic").to_numpy(), table.column("words").to_numpy()
+        density = np.bincount(doc, times, len(words)) / np.maximum(words, 1)
+        weights, thresholds = regress(doc, column, np.log1p(times), grades(toxic, density), width)
+        blobs = [pa.array([x.tobytes()], pa.binary()) for x in (weights, thresholds)]
+        yield pa.RecordBatch.from_arrays(blobs, ["weights", "thresholds"])
+
+    return run
 
 
 def grades(toxic: np.ndarray, density: np.ndarray) -> np.ndarray:
