@@ -16,7 +16,7 @@ document is scored, whole.
 
 Defined cases: a null or empty text has no features and gets the severity of an
 empty document and none is fitted on; labels that are null, or of documents that do not exist, are
-left out; repeated labels count once each; without toxic labels nothing is
+left out; of several labels of a document the worst counts; without toxic labels nothing is
 toxic (severity 0); columns other than id and text are not looked at.
 """
 
@@ -119,7 +119,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def training_rows(documents: DataFrame, labels: DataFrame, most: int = TRAIN_MOST) -> DataFrame:
     """(doc_id, toxic, text) of at most about `most` labelled documents a kind."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    known = known.filter("doc_id is not null and toxic in (0, 1)").distinct()
+    known = known.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     share = F.lit(0).cast("long")
     for kind, n in sizes.items():
@@ -161,13 +161,18 @@ def fit_rows(width: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(batches)
-        table = table.take(pc.sort_indices(table.select(["doc_id", "toxic"]), [("doc_id", "ascending"), ("toxic", "ascending")]))
+        # Rows that repeat an id are one document here, as its label is one.
+        ids, row = np.unique(table.column("doc_id").to_numpy(), return_inverse=True)
+        toxic, words = np.zeros(len(ids), np.int64), np.ones(len(ids), np.int64)
+        np.maximum.at(toxic, row, table.column("toxic").to_numpy())
+        np.maximum.at(words, row, table.column("words").to_numpy())
         each = table.column("features").combine_chunks()
-        doc = np.repeat(np.arange(len(each), dtype=np.int32), np.diff(each.offsets.to_numpy()))
+        doc = np.repeat(row, np.diff(each.offsets.to_numpy()))
         column = each.flatten().to_numpy()
         times = table.column("times").combine_chunks().flatten().to_numpy()
-        toxic, words = table.column("toxic").to_numpy(), table.column("words").to_numpy()
-        density = np.bincount(doc, times, len(words)) / np.maximum(words, 1)
+        by = np.lexsort((times, column, doc))  # one order of summands, whatever the tasks
+        doc, column, times = doc[by], column[by], times[by]
+        density = np.bincount(doc, times, len(words)) / words
         weights, thresholds = regress(doc, column, np.log1p(times), grades(toxic, density), width)
         blobs = [pa.array([x.tobytes()], pa.binary()) for x in (weights, thresholds)]
         yield pa.RecordBatch.from_arrays(blobs, ["weights", "thresholds"])
