@@ -106,3 +106,101 @@ def mix_sql(weights=MIX_WEIGHTS, share: tuple[int, int] = (1, 2), epochs: int =
            md5(CASE WHEN take = n THEN text ELSE text[1:length(array_to_string(cut[1:list_filter(
                range(1, len(cut) + 1), lambda i: cut[i] <> '')[CAST(take AS INT)]], ' '))] END) AS text_md5
     FROM taken"""
+
+
+_CODED = "coalesce(strlen({0}) || ':' || {0}, '-')"
+_CHECKSUM = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ord(x))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+        lambda v, i: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
+
+
+def _grown(name: str, height: int) -> str:
+    """CTEs name1 ... name{height}: runs of 16 nodes become one; a lone node stays."""
+    return "".join(f""",
+    {name}{k + 1} AS (SELECT tree, idx // 16 AS idx, (n + 15) // 16 AS n, n AS below, list(digest ORDER BY idx) AS children,
+        CASE WHEN n = 1 THEN min(digest) ELSE sha256(string_agg(digest, '' ORDER BY idx)) END AS digest
+        FROM {name}{k} GROUP BY tree, idx // 16, n)""" for k in range(height))
+
+
+def _folded(name: str, height: int, source: str, given: str) -> str:
+    """CTEs given1 ... given{height}: one path segment more each."""
+    out, above = "", source
+    for k in range(1, height + 1):
+        out += f""",
+    {given}{k} AS (SELECT d.* EXCLUDE (idx, cur, sib), d.idx // 16 AS idx,
+        CASE WHEN below = 1 THEN cur ELSE sha256(array_to_string(children[1:d.idx % 16], '') || cur
+            || array_to_string(children[d.idx % 16 + 2:], '')) END AS cur,
+        sib || CASE WHEN below = 1 THEN '' ELSE array_to_string(children[1:d.idx % 16], '')
+            || array_to_string(children[d.idx % 16 + 2:], '') END AS sib
+        FROM {above} d JOIN {name}{k} g ON g.tree = d.tree AND g.idx = d.idx // 16)"""
+        above = f"{given}{k}"
+    return out
+
+
+def merkle_sql(lower: int = 5, upper: int = 4) -> str:
+    """For at most 16 ** lower rows a source and 16 ** upper sources."""
+    fields = [_CODED.format(f"CAST({c} AS VARCHAR)") for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = lambda text: f"sha256({' || '.join([*fields, _CODED.format(text)])})"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+    WITH hashed AS (SELECT *, {leaf('text')} AS leaf, {leaf(low)} AS lowered, {_CHECKSUM} % 5 = 0 AS picked FROM documents),
+    leaves AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+                      count(*) OVER (PARTITION BY source) AS n,
+                      row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM hashed),
+    lower0 AS (SELECT tree, idx, n, leaf AS digest FROM leaves){_grown('lower', lower)},
+    upper0 AS (SELECT 0 AS tree, tree AS idx, count(*) OVER () AS n, digest FROM lower{lower}){_grown('upper', upper)},
+    asked AS (SELECT doc_id, leaf, tree, idx, CASE WHEN picked THEN lowered ELSE leaf END AS cur, '' AS sib FROM leaves)
+    {_folded('lower', lower, 'asked', 'a')},
+    entered AS (SELECT a.* EXCLUDE (tree, idx), 0 AS tree, a.tree AS idx, g.digest AS subroot
+                FROM a{lower} a JOIN lower{lower} g ON g.tree = a.tree){_folded('upper', upper, 'entered', 'b')}
+    SELECT doc_id, leaf, subroot, g.digest AS root, sha256(sib) AS proof_sha256, cur AS folded_root, cur = g.digest AS verified
+    FROM b{upper} b JOIN upper{upper} g ON g.tree = b.tree"""
+
+
+_SPACE = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
+
+RULES = f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws,
+                 list_filter(string_split(text, chr(10)), lambda x: translate(x, {_SPACE}, '') <> '') AS ls FROM d),
+    grams AS (SELECT r, unnest(range(1, len(ws) - 6)) AS i, unnest(list_transform(range(1, len(ws) - 6),
+                  lambda i: array_to_string(ws[i:i + 7], ' '))) AS g FROM w WHERE len(ws) >= 8),
+    twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM grams) WHERE c > 1),
+    reached AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY r),
+    m AS (SELECT doc_id, len(ws) AS n_words, length(translate(text, {_SPACE}, '')) AS word_chars,
+                 length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
+                 len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(ls) AS n_lines,
+                 length(regexp_replace(text, '[^\\p{{Lu}}]', '', 'g')) AS n_upper,
+                 len(list_filter(ls, lambda x: ends_with(x, '...') OR ends_with(x, '…'))) AS n_ellipsis,
+                 len(list_filter(ls, lambda x: regexp_matches(ltrim(x, ' '), '^[-*•][\\x20\\x09-\\x0D]'))) AS n_bullets,
+                 len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_echoes
+          FROM w LEFT JOIN reached USING (r)),
+    f AS (SELECT *, (n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
+        + 8 * (2 * word_chars < 5 * n_words)::INT + 16 * (word_chars > 12 * n_words)::INT
+        + 32 * (100 * n_dup_lines > 30 * n_lines)::INT + 64 * (100 * n_upper > 15 * word_chars)::INT
+        + 128 * (100 * n_ellipsis > 30 * n_lines)::INT + 256 * (100 * n_bullets > 90 * n_lines)::INT
+        + 512 * (100 * n_echoes > 20 * n_words)::INT AS failed FROM m)
+    SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+           CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+           CAST(n_repeat_words AS BIGINT) AS n_repeat_words, CAST(failed AS BIGINT) AS failed,
+           failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM f"""
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+RANKING = f"""
+    WITH d AS (SELECT r, doc_id, unnest(ts) AS t, len(ts)::BIGINT AS n
+               FROM (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents)),
+    q AS (SELECT item, item_id, unnest(ts) AS t
+          FROM (SELECT row_number() OVER () AS item, item_id, {_TERMS} AS ts FROM benchmark)),
+    tf AS (SELECT r, doc_id, t, n, count(*) AS tf FROM d GROUP BY ALL),
+    total AS (SELECT count(DISTINCT r) AS nd, count(*) AS l FROM d),
+    df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+    weights AS (SELECT t, CAST(floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w FROM df, total),
+    times AS (SELECT item, item_id, t, count(*) AS times FROM q GROUP BY ALL),
+    scored AS (SELECT item, item_id, r, doc_id, CAST(sum(times * w * ((1000000000 * tf)
+                   // (1000 * tf + 8 * (25 + (75 * n * nd) // l)))) AS BIGINT) AS score
+               FROM times JOIN tf USING (t) JOIN weights USING (t), total GROUP BY ALL),
+    placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id, r) AS INT) AS rank
+               FROM scored WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10"""

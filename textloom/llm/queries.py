@@ -9,11 +9,14 @@ import corpus_pipeline
 from textloom.llm import (
     crossentropy,
     kneser,
+    merkle,
     mixing,
     ngram_join,
     oracles,
     packing,
     quantised,
+    ranking,
+    rules,
     suffix,
     toxicity,
     vantage,
@@ -84,6 +87,18 @@ def op10_kneser_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser.classify(table(spark, sf_dir, "documents"), trusted)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op13_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op1_vantage_search": (op1_vantage_search, None),
@@ -96,4 +111,7 @@ QUERIES = {
     "op8_warc_revisits": (op8_warc_revisits, oracles.WARC),
     "op9_mixture_packing": (op9_mixture_packing, None),
     "op10_kneser_quality": (op10_kneser_quality, None),
+    "op11_merkle_manifest": (op11_merkle_manifest, oracles.merkle_sql()),
+    "op12_rule_ledger": (op12_rule_ledger, oracles.RULES),
+    "op13_reversed_search": (op13_reversed_search, oracles.RANKING),
 }
