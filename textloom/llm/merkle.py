@@ -177,6 +177,7 @@ def descend(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
     asked = spark.range(1).select(
         F.lit(0).cast("long").alias("idx"), F.lit(manifest.root).alias("digest"), F.array().cast(SEGMENTS).alias("path")
     )
+    asked = written(asked, "asked")
     for k in reversed(range(manifest.upper.height)):
         wanted = None
         if requests is not None:
