@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import models
+from textloom.config import Settings
 from textloom.operators import dedup as dd
 
 
@@ -90,3 +91,84 @@ def test_banding_for_the_default_threshold():
 def test_exact_copies(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, "b")], "ord bigint, text string")
     assert {r.ord: r.is_copy for r in dd.exact_copies(df, "ord").collect()} == {1: False, 2: False, 3: True}
+
+
+def near_corpus(seed, docs=50):
+    """Texts around a few themes, so that buckets hold near and not so near ones."""
+    draw = random.Random(seed)
+    themes = [[f"t{t}w{i}" for i in range(60)] for t in range(5)]
+    rows = []
+    for o in draw.sample(range(1_000), docs):
+        words = list(draw.choice(themes))
+        for _ in range(draw.randrange(0, 5)):
+            words[draw.randrange(60)] = f"x{draw.randrange(20)}"
+        rows.append((o, " ".join(words[: draw.randrange(3, 61)] if draw.random() < 0.2 else words)))
+    return rows + [(2_000 + i, None if i else "") for i in range(3)]
+
+
+def shingle_set(text, size=5):
+    w = (text or "").split()
+    return {" ".join(w[i : i + size]) for i in range(max(1, len(w) - size + 1))}
+
+
+def similarity(a, b):
+    a, b = shingle_set(a), shingle_set(b)
+    return len(a & b) / len(a | b)
+
+
+def bucketed(spark, rows, s):
+    df = spark.createDataFrame(rows, "ord bigint, text string").repartition(3)
+    return df, {r["ord"]: set(r["keys"]) for r in dd.with_band_keys(df, "ord", s).collect()}
+
+
+LOOSE = Settings(minhash_threshold=0.4, minhash_perms=64)
+
+
+@pytest.mark.parametrize("part", [3, 1_024])
+def test_candidates_are_compared_with_the_first_of_each_bucket(spark, monkeypatch, part):
+    monkeypatch.setattr(dd, "PART_MEMBERS", part)
+    rows = near_corpus(1)
+    df, keys = bucketed(spark, rows, LOOSE)
+    text = dict(rows)
+    firsts = {}
+    for o in sorted(keys):
+        for k in keys[o]:
+            firsts.setdefault(k, o)
+    want = {(firsts[k], o) for o in keys for k in keys[o] if firsts[k] != o}
+    got = {(r["head"], r["ord"]): r["jaccard"] for r in dd.candidate_jaccard(df, "ord", LOOSE).collect()}
+    assert got == {p: similarity(text[p[0]], text[p[1]]) for p in want} and len(want) > 50
+    row = dd.lsh_precision(dd.candidate_jaccard(df, "ord", LOOSE), 0.4).first()
+    near = sum(j >= 0.4 for j in got.values())
+    assert (row.candidates, row.near, row.precision) == (len(got), near, near / len(got))
+    assert 0 < near < len(got)
+
+
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("most", [0, 400, 4_000_000])  # all in rounds, mixed, all walked
+def test_verified_rule_is_the_walk_with_a_check(spark, monkeypatch, seed, most):
+    monkeypatch.setattr(dd, "WALK_SHINGLES", most)
+    rows = near_corpus(seed)
+    df, keys = bucketed(spark, rows, LOOSE)
+    text, kept = dict(rows), []
+    for o in sorted(text):
+        if not any(keys[o] & keys[k] and similarity(text[o], text[k]) >= 0.4 for k in kept):
+            kept.append(o)
+    got = {r.ord for r in dd.deduplicate(df, "ord", LOOSE, verify=True).collect()}
+    assert got == set(kept) and 5 < len(kept) < len(rows)
+    assert got >= {r.ord for r in dd.deduplicate(df, "ord", LOOSE).collect()}
+    assert dd.deduplicate(df.limit(0), "ord", verify=True).count() == 0
+
+
+def test_signatures_of_a_batch_are_those_of_each_text():
+    import hashlib
+
+    import numpy as np
+    import pyarrow as pa
+
+    texts = ["", " \n", "a", "a b c d", "a\u2003b\x85c d  e\tf g", "é " * 700, *(t or "" for _, t in near_corpus(3))]
+    a, b = dd.coefficients(128)
+    got = np.concatenate([dd._signatures(p, 5, a, b) for p in dd._slices(pa.array(texts, pa.large_string()))])
+    for row, text in zip(got, texts):
+        base = [int.from_bytes(hashlib.sha1(x.encode()).digest()[:4], "little") for x in shingle_set(text)]
+        want = [min(((int(p) * h + int(q)) % (1 << 64)) % dd.PRIME & dd.MASK for h in base) for p, q in zip(a, b)]
+        assert row.tolist() == want

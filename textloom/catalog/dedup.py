@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.catalog.common import WS, documents, sql_words
+from textloom.config import Settings
 from textloom.functions import text as tx
 from textloom.operators import counters as ct
 from textloom.operators import dedup as dd
@@ -54,6 +55,29 @@ def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row.withColumnRenamed("docs_out", "removed").withColumn("percent", F.round("percent", 6))
 
 
+def compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dd.candidate_jaccard(copied(spark, sf_dir), "ord")
+
+
+def precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over copies and, as candidates of middling likeness, every document's
+    first two thirds of words."""
+    return dd.lsh_precision(dd.candidate_jaccard(halved(spark, sf_dir), "ord", LOOSE), LOOSE.minhash_threshold)
+
+
+def verified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dd.deduplicate(halved(spark, sf_dir), "ord", LOOSE, verify=True).select("ord", F.md5("text").alias("text_md5"))
+
+
+#: Few values a band: many candidates that are not near, for the verified rule.
+LOOSE = Settings(minhash_threshold=0.6, minhash_perms=32)
+
+
+def halved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ord, text): every document, and its first two thirds of words."""
+    part = tx.bind(tx.words(F.col("text")), lambda w: F.array_join(F.slice(w, 1, F.ceil(F.size(w) * 2 / 3).cast("int")), " "))
+    each = documents(spark, sf_dir).select("doc_id", F.posexplode(F.array(F.col("text"), part)).alias("copy", "text"))
+    return each.select((F.col("doc_id") * 2 + F.col("copy")).alias("ord"), "text")
 
 
 def _cut(text: str) -> str:
@@ -79,11 +103,11 @@ def sql_shingles(source: str, key: str) -> str:
       UNION ALL SELECT {key}, '' FROM {source} WHERE len({sql_words("text")}) = 0"""
 
 
-def sql_signatures(source: str, key: str) -> str:
+def sql_signatures(source: str, key: str, perms: int = 128) -> str:
     """CTEs ending in `signed`: (key, j, v), the j-th value of each signature.
 
     The coefficients are 61-bit random draws, stated as values."""
-    a, b = dd.coefficients(128)
+    a, b = dd.coefficients(perms)
     values = ", ".join(f"({j}, {int(x)}::HUGEINT, {int(y)}::HUGEINT)" for j, (x, y) in enumerate(zip(a, b)))
     return f"""
     family(j, a, b) AS (VALUES {values}),
@@ -96,9 +120,54 @@ def sql_signatures(source: str, key: str) -> str:
       FROM hashed CROSS JOIN family GROUP BY {key}, j)"""
 
 
-BUCKETS = """buckets AS (
-    SELECT ord, j // 16 AS band, md5((j // 16) || ',' || string_agg(v, ',' ORDER BY j)) AS key
-    FROM signed GROUP BY ord, j // 16)"""
+
+
+def sql_buckets(bands: int, rows: int) -> str:
+    return f"""buckets AS (
+    SELECT ord, j // {rows} AS band, md5((j // {rows}) || ',' || string_agg(v, ',' ORDER BY j)) AS key
+    FROM signed WHERE j < {bands * rows} GROUP BY ord, j // {rows})"""
+
+
+BUCKETS = sql_buckets(8, 16)
+
+HALVED = f"""copied AS (
+    SELECT doc_id * 2 AS ord, text FROM documents
+    UNION ALL SELECT doc_id * 2 + 1, array_to_string({sql_words("text")}[1:CAST(ceil(len({sql_words("text")}) * 2 / 3) AS INT)], ' ')
+    FROM documents)"""
+
+
+def sql_pairs(which: str) -> str:
+    """CTEs ending in `compared`: (head, ord, common, total, jaccard) of the pairs."""
+    return f"""
+    grams AS ({sql_shingles("copied", "ord")}),
+    sizes AS (SELECT ord, count(*) AS size FROM grams GROUP BY ord),
+    pairs AS ({which}),
+    met AS (SELECT head, p.ord, count(*) AS common FROM pairs p JOIN grams a ON a.ord = head
+            JOIN grams b ON b.ord = p.ord AND b.s = a.s GROUP BY ALL),
+    compared AS (SELECT p.head, p.ord, coalesce(common, 0) AS common, a.size + b.size - coalesce(common, 0) AS total,
+                        coalesce(common, 0)::DOUBLE / (a.size + b.size - coalesce(common, 0)) AS jaccard
+                 FROM pairs p JOIN sizes a ON a.ord = head JOIN sizes b ON b.ord = p.ord
+                 LEFT JOIN met m ON m.head = p.head AND m.ord = p.ord)"""
+
+
+FIRSTS = """SELECT DISTINCT head, ord FROM buckets
+    JOIN (SELECT key, min(ord) AS head FROM buckets GROUP BY key) USING (key) WHERE ord <> head"""
+ALL_PAIRS = """SELECT DISTINCT a.ord AS head, b.ord FROM buckets a JOIN buckets b ON a.key = b.key AND a.ord < b.ord"""
+_LOOSE = f"{HALVED}, {sql_signatures('copied', 'ord', LOOSE.minhash_perms)}, " + sql_buckets(
+    *dd.banding(LOOSE.minhash_threshold, LOOSE.minhash_perms)
+)
+
+VERIFIED_WALK = f"""
+    lists AS (SELECT i, any_value(n.ord) AS ord, coalesce(list(head) FILTER (WHERE head IS NOT NULL), []::BIGINT[]) AS near
+              FROM (SELECT ord, row_number() OVER (ORDER BY ord) AS i FROM copied) n
+              LEFT JOIN (SELECT head, ord FROM compared WHERE jaccard >= {LOOSE.minhash_threshold}::DOUBLE) c ON c.ord = n.ord
+              GROUP BY i),
+    walk(i, ord, keep, kept) AS (
+      SELECT 0::BIGINT, -1::BIGINT, false, []::BIGINT[]
+      UNION ALL
+      SELECT l.i, l.ord, NOT list_has_any(w.kept, l.near),
+             CASE WHEN list_has_any(w.kept, l.near) THEN w.kept ELSE list_append(w.kept, l.ord) END
+      FROM walk w JOIN lists l ON l.i = w.i + 1)"""
 
 # The walk itself: one document after the other, against the buckets of all
 # kept so far. Buckets of a single document decide nothing and stay out.
@@ -147,4 +216,21 @@ QUERIES = {
                    round(100 * count(*) FILTER (WHERE NOT keep) / greatest(count(*), 1), 6) AS percent
             FROM walk WHERE i > 0""",
     ),
+    "candidate_jaccard": (
+        compared,
+        f"""WITH {COPIED}, {sql_signatures("copied", "ord")}, {BUCKETS}, {sql_pairs(FIRSTS)}
+            SELECT head, ord, common, total, jaccard FROM compared""",
+    ),
+    "lsh_precision": (
+        precision,
+        f"""WITH {_LOOSE}, {sql_pairs(FIRSTS)}
+            SELECT count(*) AS candidates, count(*) FILTER (WHERE jaccard >= {LOOSE.minhash_threshold}::DOUBLE) AS near,
+                   count(*) FILTER (WHERE jaccard >= {LOOSE.minhash_threshold}::DOUBLE)::DOUBLE / nullif(count(*), 0) AS precision
+            FROM compared""",
+    ),
+    "dedup_verified": (
+        verified,
+        f"""WITH RECURSIVE {_LOOSE}, {sql_pairs(ALL_PAIRS)}, {VERIFIED_WALK}
+            SELECT ord, md5(text) AS text_md5 FROM walk JOIN copied USING (ord) WHERE keep""",
+    ),
 }

@@ -24,8 +24,10 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.config import Settings
 from textloom.functions import text as tx
@@ -65,19 +67,80 @@ def coefficients(perms: int) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
-def _signature(text: str, size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    w = text.split()
-    parts = {" ".join(w[i : i + size]) for i in range(max(1, len(w) - size + 1))}
-    digests = b"".join(hashlib.sha1(p.encode("utf-8", "surrogatepass")).digest()[:4] for p in parts)
-    base = np.frombuffer(digests, dtype="<u4").astype(np.uint64)
-    best = np.full(len(a), MASK, dtype=np.uint64)
-    for start in range(0, len(base), 512):  # stays inside the processor cache
-        x = a[:, None] * base[None, start : start + 512]
+# Blanks beyond ASCII, and ASCII ones, as they part words everywhere in the library.
+WIDE_BLANK = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+BLANK = np.zeros(256, bool)
+BLANK[[*range(9, 14), *range(28, 33)]] = True
+SLICE_BYTES = 4 << 20  # texts hashed together
+
+
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """The same texts, at most about SLICE_BYTES together; a longer one alone."""
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            yield texts.slice(a, b - a)
+
+
+def shingle_digests(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first 8 bytes of the SHA-1 of every shingle, and the bounds of each
+    text in them, repeats included. All texts are cut in a few array steps:
+    one blank after each word, so that a shingle is a span of the result."""
+    none, blank = (pa.scalar(x, pa.large_string()) for x in ("", "\n"))
+    texts = pc.binary_join_element_wise(texts.cast(pa.large_string()), none, blank)  # a blank ends every text
+    if pc.any(pc.match_substring_regex(texts, WIDE_BLANK)).as_py():
+        texts = pc.replace_substring_regex(texts, WIDE_BLANK, " ")
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]]
+    inside = ~BLANK[raw]
+    after = ~inside
+    after[1:] &= inside[:-1]
+    after[:1] = False
+    keep = inside | after
+    plain = raw[keep]
+    ends = np.flatnonzero(after[keep])
+    plain[ends] = 32
+    starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+    first = np.searchsorted(np.flatnonzero(after), bounds - bounds[0])
+    words = np.diff(first)
+    grams = np.maximum(words - size + 1, 1)
+    total = np.concatenate([[0], np.cumsum(grams)])
+    doc = np.repeat(np.arange(len(words)), grams)
+    begin = first[:-1][doc] + np.arange(total[-1]) - total[:-1][doc]
+    stop = np.minimum(begin + size, first[1:][doc])
+    some = stop > begin  # else the one empty shingle of a text without words
+    a, b = np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
+    a[some], b[some] = starts[begin[some]], ends[stop[some] - 1]
+    text, sha1 = plain.tobytes(), hashlib.sha1
+    joined = b"".join([sha1(text[x:y]).digest()[:8] for x, y in zip(a.tolist(), b.tolist(), strict=True)])
+    return np.frombuffer(joined, np.uint64), total
+
+
+def _signatures(texts: pa.Array, size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One row of minima per text, over the shingles of all texts at once."""
+    digests, bounds = shingle_digests(texts, size)
+    base = digests & np.uint64(MASK)
+    best = np.full((len(texts), len(a)), MASK, dtype=np.uint64)
+    prime, low = np.uint64(PRIME), np.uint64(61)
+    step = 512  # stays inside the processor cache
+    for start in range(0, len(base), step):
+        stop = min(start + step, len(base))
+        x = a[:, None] * base[None, start:stop]
         x += b[:, None]
-        x %= np.uint64(PRIME)
+        # x modulo the Mersenne prime: fold the high bits, then take the prime off if it is left.
+        y = x >> low
+        x &= prime
+        x += y
+        np.subtract(x, prime, out=y)
+        np.minimum(x, y, out=x)
         x &= np.uint64(MASK)
-        np.minimum(best, x.min(axis=1), out=best)
-    return best
+        docs = np.arange(np.searchsorted(bounds, start, "right") - 1, np.searchsorted(bounds, stop, "left"))
+        heads = np.maximum(bounds[docs] - start, 0)
+        best[docs] = np.minimum(best[docs], np.minimum.reduceat(x, heads, axis=1).T)
+    return best.astype(np.int64)
 
 
 def minhash(text: Column, perms: int = 128, size: int = 5) -> Column:
@@ -91,7 +154,8 @@ def minhash(text: Column, perms: int = 128, size: int = 5) -> Column:
     def signature(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         a, b = coefficients(perms)
         for texts in batches:
-            yield texts.map(lambda t: _signature(t, size, a, b).astype(np.int64))
+            parts = [_signatures(part, size, a, b) for part in _slices(pa.array(texts, pa.large_string()))]
+            yield pd.Series([row for part in parts for row in part])
 
     return signature.asNondeterministic()(tx.or_empty(text))
 
@@ -249,8 +313,199 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(lost, pa.int64()))], [name])
 
 
-def deduplicate(df: DataFrame, order: str, s: Settings = Settings(), column: str = "text") -> DataFrame:
+# ------------------------------------------------------------- true similarity
+
+PART_MEMBERS = 1_024  # documents one task compares with one representative
+WALK_SHINGLES = 4_000_000  # shingles of a component that one task walks
+
+
+def packed_shingles(df: DataFrame, order: str, size: int = 5, column: str = "text") -> DataFrame:
+    """(order, set, size): the distinct shingles of each text as sorted 64-bit
+    hashes in one binary value."""
+    field = df.schema[order]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for texts in _slices(batch.column(1).cast(pa.large_string())):
+                digests, bounds = shingle_digests(texts, size)
+                sets = [np.unique(digests[x:y]) for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+                columns = [batch.column(0).slice(at, len(texts)), pa.array([s.tobytes() for s in sets], pa.binary())]
+                columns.append(pa.array([len(s) for s in sets], pa.int32()))
+                yield pa.RecordBatch.from_arrays(columns, [field.name, "set", "size"])
+                at += len(texts)
+
+    schema = T.StructType([field]).add("set", "binary").add("size", "integer")
+    return df.select(order, tx.or_empty(F.col(column)).alias("_text")).mapInArrow(pack, schema)
+
+
+def candidate_pairs(keys: DataFrame, order: str) -> DataFrame:
+    """(head, order): every document with the first of each bucket it is in.
+
+    A bucket stands for its first document and lists its members, never their
+    pairs, so there are at most as many rows as documents times bands. `keys`
+    is (order, keys), written.
+    """
+    rows = _band_rows(keys, order)
+    heads = rows.groupBy("key").agg(F.min(order).alias("head"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    met = _in_bands(rows, heads, order, keys.count())
+    return met.filter(F.col(order) != F.col("head")).select("head", order).distinct()
+
+
+def jaccard(pairs: DataFrame, packed: DataFrame, order: str) -> DataFrame:
+    """(head, order, common, total, jaccard) of (head, order) pairs: shingles in
+    both texts and in either, and their quotient.
+
+    A representative's set goes once to each task that holds a part of its
+    members, however many there are; a task holds one such set at a time.
+    """
+    field = packed.schema[order]
+    pairs = materialize(pairs, "pairs")
+    parts = pairs.groupBy("head").agg(F.ceil(F.count(F.lit(1)) / PART_MEMBERS).cast("int").alias("_parts"))
+    part = F.pmod(F.xxhash64(order), F.col("_parts")).cast("int")
+    dealt = pairs.join(parts, "head").withColumn("_part", part).drop("_parts")
+    members = dealt.join(packed, order).select("head", "_part", F.lit(1).alias("_side"), order, "set")
+    each = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part")
+    heads = parts.select("head", each).join(packed.withColumnRenamed(order, "head"), "head")
+    heads = heads.select("head", "_part", F.lit(0).alias("_side"), F.col("head").alias(order), "set")
+    work = heads.unionByName(members).repartition("head", "_part").sortWithinPartitions("head", "_part", "_side", order)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = np.zeros(0, np.uint64)
+        for batch in batches:
+            sides, sets = batch.column(2).to_pylist(), batch.column(4)
+            at, common, total = [], [], []
+            for i, side in enumerate(sides):
+                other = np.frombuffer(sets[i].as_buffer(), np.uint64)
+                if side == 0:
+                    mine = other.copy()
+                    continue
+                both = _common(mine, other)
+                at.append(i)
+                common.append(both)
+                total.append(len(mine) + len(other) - both)
+            columns = [batch.column(c).take(pa.array(at, pa.int64())) for c in (0, 3)]
+            columns += [pa.array(x, pa.int64()) for x in (common, total)]
+            yield pa.RecordBatch.from_arrays(columns, ["head", field.name, "common", "total"])
+
+    schema = T.StructType([T.StructField("head", field.dataType), field]).add("common", "long").add("total", "long")
+    return work.mapInArrow(compare, schema).withColumn("jaccard", F.col("common") / F.col("total"))
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted arrays of distinct values share."""
+    if len(a) < len(b):
+        a, b = b, a
+    place = np.minimum(np.searchsorted(a, b), len(a) - 1)
+    return int((a[place] == b).sum())
+
+
+def candidate_jaccard(df: DataFrame, order: str, s: Settings = Settings(), column: str = "text") -> DataFrame:
+    """(head, order, common, total, jaccard) of every document with the first of
+    each bucket it is in: how near candidates are in truth."""
+    keys = materialize(with_band_keys(df, order, s, column), "signed")
+    pairs = materialize(candidate_pairs(keys, order), "candidates")
+    asked = pairs.select(order).union(pairs.select("head")).distinct()
+    packed = packed_shingles(df.join(asked, order, "left_semi"), order, s.shingle_size, column)
+    return jaccard(pairs, materialize(packed, "shingle-sets"), order)
+
+
+def lsh_precision(compared: DataFrame, threshold: float) -> DataFrame:
+    """One row: candidate pairs, those at or above the threshold, and their share."""
+    near = F.count(F.when(F.col("jaccard") >= threshold, 1))
+    row = compared.agg(F.count(F.lit(1)).alias("candidates"), near.alias("near"))
+    return row.withColumn("precision", F.col("near") / F.nullif("candidates", F.lit(0)))
+
+
+def dropped_verified(df: DataFrame, order: str, s: Settings = Settings(), column: str = "text") -> DataFrame:
+    """The order values that the verified rule drops: an earlier kept document
+    shares a band *and* is at least as near as the threshold in truth.
+
+    Copies of a text share its fate or are dropped for it, so they go first.
+    Of the rest, components are walked in order against the kept members of
+    their buckets; components of more than WALK_SHINGLES shingles take rounds,
+    in which every first one of its buckets is compared with their members.
+    """
+    text = tx.or_empty(F.col(column))
+    same = df.select(order, F.unhex(F.sha2(text, 256)).alias("_hash"), text.alias("_text"))
+    first = materialize(first_copies(same, order, F.col("_hash")), "firsts")
+    lost = same.select(order).join(first, order, "left_anti")
+    single = same.join(first, order, "left_semi")
+    keys = materialize(with_band_keys(single, order, s, "_text"), "signed")
+    rows = _band_rows(keys, order)
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    undecided = materialize(_in_bands(rows, shared, order, keys.count()).select(order, "key"), "round")
+    asked = undecided.select(order).distinct()
+    packed = packed_shingles(single.join(asked, order, "left_semi"), order, s.shingle_size, "_text")
+    packed = materialize(packed, "shingle-sets")
+
+    heads = undecided.groupBy("key").agg(F.min(order).alias("_head"))
+    links = undecided.join(heads, "key").select(F.col("_head").alias("u"), F.col(order).alias("v"))
+    found = components(links).withColumnsRenamed({"id": order, "component": "_component"})
+    placed = materialize(found.join(packed.select(order, "size"), order), "placed")
+    sizes = placed.groupBy("_component").agg(F.sum("size").alias("_shingles"))
+    small = sizes.filter(F.col("_shingles") <= WALK_SHINGLES).select("_component")
+    lists = undecided.groupBy(order).agg(F.collect_list("key").alias("keys"))
+    walk = placed.join(small, "_component").join(lists, order).join(packed.select(order, "set"), order)
+    walk = walk.select("_component", order, "keys", "set")
+    walk = walk.repartition("_component").sortWithinPartitions("_component", order)
+    kind = T.StructType([df.schema[order]])
+    lost = lost.union(materialize(walk.mapInArrow(_walk_verified(s.minhash_threshold), kind), "walked"))
+
+    rest = placed.join(small, "_component", "left_anti").select(order)
+    left = materialize(undecided.join(rest, order, "left_semi"), "round")
+    while not left.isEmpty():
+        heads = left.groupBy("key").agg(F.min(order).alias("head"), F.count(F.lit(1)).alias("_n"))
+        led = heads.groupBy(F.col("head").alias(order)).agg(F.count(F.lit(1)).alias("_led"))
+        has = left.groupBy(order).agg(F.count(F.lit(1)).alias("_has"))
+        kept = materialize(has.join(led, order).filter("_led = _has").select(F.col(order).alias("head")), "kept")
+        pairs = _in_bands(left, heads.join(kept, "head", "left_semi"), order, keys.count())
+        pairs = pairs.filter(F.col(order) != F.col("head")).select("head", order).distinct()
+        near = jaccard(pairs, packed, order).filter(F.col("jaccard") >= s.minhash_threshold)
+        near = materialize(near.select(order).distinct(), "near")
+        lost = lost.union(near)
+        decided = near.union(kept.select(F.col("head").alias(order)))
+        left = materialize(left.join(decided, order, "left_anti"), "round")
+    return materialize(lost, "dropped")
+
+
+def _walk_verified(threshold: float):
+    """(component, order, keys, set) sorted by the first two to the dropped orders."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets: dict[bytes, list[int]] = {}
+        kept: list[np.ndarray] = []
+        component = None
+        for batch in batches:
+            lost = []
+            for i, (here, keys) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                if here != component:
+                    component, buckets, kept = here, {}, []
+                mine = np.frombuffer(batch.column(3)[i].as_buffer(), np.uint64)
+                earlier = {k for key in keys for k in buckets.get(key, ())}
+                both = [(_common(mine, kept[k]), len(kept[k])) for k in sorted(earlier)]
+                if any(c / (len(mine) + n - c) >= threshold for c, n in both):
+                    lost.append(i)
+                    continue
+                for key in keys:
+                    buckets.setdefault(key, []).append(len(kept))
+                kept.append(mine.copy())
+            column = batch.column(1).take(pa.array(lost, pa.int64()))
+            yield pa.RecordBatch.from_arrays([column], [batch.schema.names[1]])
+
+    return walk
+
+
+def deduplicate(
+    df: DataFrame, order: str, s: Settings = Settings(), column: str = "text", verify: bool = False
+) -> DataFrame:
     """The documents the first-kept rule keeps. Texts move at most once, in the
-    last anti-join, and not at all when the dropped ids fit a broadcast."""
-    lost = dropped_documents(with_band_keys(df, order, s, column), order)
+    last anti-join, and not at all when the dropped ids fit a broadcast.
+
+    verify=True drops a document only where its true Jaccard similarity to a
+    kept one of its buckets reaches the threshold."""
+    if verify:
+        lost = dropped_verified(df, order, s, column)
+    else:
+        lost = dropped_documents(with_band_keys(df, order, s, column), order)
     return df.join(lost, order, "left_anti")
