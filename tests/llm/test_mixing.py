@@ -105,3 +105,16 @@ def test_shortage_goes_to_siblings_first(spark):
     for r in mixing.mix(df, (1, 2), 1).collect():
         sums[r["source"]] += r["take_tokens"]
     assert sums == {"small": 10, "large": 492, "other": 503} or sums == {"small": 10, "large": 493, "other": 502}
+
+
+def test_rows_of_one_id_are_ordered_by_their_texts(spark):
+    """The same rows in any order give the same prefix."""
+    texts = ["a b c", "d e f", "g h i", "j k l", "m n o"]
+    taken = set()
+    for turn in range(3):
+        rows = [(7, t, "en", "s", "d") for t in texts[turn:] + texts[:turn]]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, domain string")
+        got = mixing.mix(docs.coalesce(1), share=(1, 3), epochs=1).collect()
+        taken.add(tuple(sorted((r["mixed_text"], r["stream_start"]) for r in got)))
+    first = sorted(texts, key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert taken == {tuple(sorted([(first[0], 0), (first[1][:3], 3)]))}

@@ -16,7 +16,7 @@ ranked together.
 
 Defined cases: null group values are a group of their own; a null or empty text
 has no tokens and is never taken; rows that repeat an id are rows of their own,
-in the order of their texts; ties can not matter beyond equal rows; an empty
+in the order of their token counts, then of their texts' MD5; ties can not matter beyond equal rows; an empty
 table or budget 0 gives no rows.
 """
 
@@ -140,6 +140,7 @@ def mix(
         "n_tokens",
         *[F.coalesce(F.col(f"doc.`{c}`").cast("string"), F.lit(NONE)).alias(g) for c, g in names.items()],
         F.coalesce(F.col(f"doc.`{id_col}`").cast("string"), F.lit(NONE)).alias("_id"),
+        F.unhex(F.md5(F.encode(F.col(f"doc.`{text_col}`").cast("string"), "UTF-8"))).alias("_text"),
     )
     leaves = stats.groupBy(*groups).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
     leaves = written(leaves, "leaves")
@@ -163,7 +164,7 @@ def mix(
     sums = placed.groupBy(*bucket).agg(F.sum("n_tokens").alias("_sum"))
     running = Window.partitionBy(*groups, "epoch").orderBy("_bucket")
     sums = sums.select(*bucket, (F.sum("_sum").over(running) - F.col("_sum")).alias("_before"))
-    inside = Window.partitionBy(*bucket).orderBy("_key", "n_tokens", "_row").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*bucket).orderBy("_key", "n_tokens", "_text", "_row").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.join(sums, bucket)
     start = F.col("_before") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))
     limit = F.when(F.col("epoch") < F.col("whole"), F.col("tokens")).otherwise(F.col("last"))
