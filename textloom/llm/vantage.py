@@ -8,11 +8,17 @@ nearest found so far. `factor` relaxes that bound: the half is skipped when
 `factor` times its bound exceeds the k-th distance, so 1 gives the exact
 answer and larger factors visit less.
 
+A shard's rows and all queries meet in one task, rows first: the tree is built
+once and queries stream through it, QUERY_ROWS at a time. Shards grow with the
+table up to SHARD_ROWS, so that queries are copied as rarely as memory allows.
+
 Defined cases: vectors that are null, zero, or hold null or non-finite
 components, and rows without id take no part; of rows that repeat an id with
-one vector all are candidates (their common id comes back once per row); a
-query is never its own answer; equal distances go to the smaller id; shorter
-vectors count as padded with zeros; fewer than k candidates give all of them.
+one vector all are candidates (their common id comes back once per row); rows
+that repeat an id are queries of their own, each with its own ranks from 1, told
+apart by `query_row`; only the very row is left out of its own answer, others
+with its id are not; equal distances go to the smaller id; shorter vectors count
+as padded with zeros; fewer than k candidates give all of them.
 """
 
 from __future__ import annotations
@@ -24,20 +30,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import group_starts, matrix, usable, whole_groups, written
+from textloom.llm.common import matrix, shuffle_partitions, usable, written
 
-SHARD_ROWS = 8_192
+SHARD_ROWS = (8_192, 65_536)  # fewest and most: as many as give every task one, between them
 QUERY_ROWS = 512
 LEAF = 96
 
 
-def shard_vectors(vectors: DataFrame, id_col: str, vector_col: str, shard_rows: int) -> tuple[DataFrame, int, int]:
-    """(shard, id, vector) of all usable rows, the number of shards, the longest vector."""
+def shard_vectors(
+    vectors: DataFrame, id_col: str, vector_col: str, shard_rows: int | None
+) -> tuple[DataFrame, int, int]:
+    """(row, shard, id, vector) of all usable rows, the number of shards, the longest vector."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
-    rows = written(rows.filter(F.col("id").isNotNull() & usable("vector")), "vectors")
+    rows = rows.filter(F.col("id").isNotNull() & usable("vector"))
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width")).first()
-    shards = max(1, -(-size["n"] // shard_rows))
-    shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
+    least, most = SHARD_ROWS
+    each = shard_rows or min(most, max(least, -(-size["n"] // shuffle_partitions(vectors.sparkSession))))
+    shards = max(1, -(-size["n"] // each))
+    shard = F.pmod(F.xxhash64("id", "row"), F.lit(shards)).cast("int")
     return rows.withColumn("shard", shard), shards, size["width"] or 1
 
 
@@ -48,46 +59,54 @@ def search(
     factor: float = 1.5,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    shard_rows: int = SHARD_ROWS,
-    query_rows: int = QUERY_ROWS,
+    shard_rows: int | None = None,
 ) -> DataFrame:
-    """query_id, rank (from 1), id_col, score: the k nearest found of each row
-    of `vectors` for which `queries` holds (a condition on `id`).
+    """query_id, rank (from 1), id_col, score, query_row: the k nearest found of
+    each row of `vectors` for which `queries` holds (a condition on `id`).
 
-    Index rows and query blocks meet by shard number, so a task reads one shard
-    and one block of queries; only k rows per query and shard go on.
+    Every row goes to its shard once, every query to each shard; only k rows
+    per query and shard go on.
     """
     rows, shards, width = shard_vectors(vectors, id_col, vector_col, shard_rows)
-    asked = rows.filter(queries)
-    blocks = max(1, -(-asked.count() // query_rows))
-    block = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(blocks)).cast("int").alias("block")
     every_shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    index = rows.select("shard", every_block, F.lit(0).alias("role"), "id", "vector")
-    posed = asked.select(every_shard, block, F.lit(1).alias("role"), "id", "vector")
-    work = index.unionByName(posed).repartition("shard", "block").sortWithinPartitions("shard", "block", "role", "id")
-    found = work.mapInArrow(searcher(width, k, factor), "query_id long, id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "id"))
+    index = rows.select("shard", F.lit(0).alias("role"), "row", "id", "vector")
+    posed = rows.filter(queries).select(every_shard, F.lit(1).alias("role"), "row", "id", "vector")
+    work = index.unionByName(posed).repartition("shard").sortWithinPartitions("shard", "role", "id", "row")
+    found = work.mapInArrow(searcher(width, k, factor), "query_row long, query_id long, id long, score double")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy("score", "id"))
     best = found.withColumn("rank", rank).filter(F.col("rank") <= k)
-    return best.select("query_id", "rank", F.col("id").alias(id_col), "score")
+    return best.select("query_id", "rank", F.col("id").alias(id_col), "score", "query_row")
 
 
 def searcher(width: int, k: int, factor: float) -> Callable:
+    """(shard, role, row, id, vector) sorted by the first two to the answers."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ["shard", "block"]):
-            starts = group_starts(table, ["shard", "block"])
-            for a, b in zip(starts, np.append(starts[1:], table.num_rows), strict=True):
-                unit = table.slice(a, b - a)
-                role = unit.column("role").to_numpy()
-                ids = unit.column("id").to_numpy()
-                points = matrix(unit.column("vector"), width)
-                cut = int(np.searchsorted(role, 1))
-                if cut in (0, len(role)):
+        shard, held, tree = None, [], None
+        for batch in batches:
+            place = batch.column("shard").to_numpy() * 2 + batch.column("role").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if b == a:
+                    continue
+                part, (here, role) = batch.slice(a, b - a), divmod(int(place[a]), 2)
+                if here != shard:
+                    shard, held, tree = here, [], None
+                if role == 0:
+                    held.append(part)
                     continue
-                tree = VantageTree(ids[:cut], points[:cut], k)
-                got = tree.nearest(ids[cut:], points[cut:], factor)
-                columns = [pa.array(x) for x in got]
-                yield pa.RecordBatch.from_arrays(columns, ["query_id", "id", "score"])
+                if tree is None:
+                    if not held:
+                        continue
+                    index = pa.Table.from_batches(held)
+                    ids, rows = (index.column(c).to_numpy() for c in ("id", "row"))
+                    tree, held = VantageTree(ids, rows, matrix(index.column("vector"), width), k), []
+                for at in range(0, part.num_rows, QUERY_ROWS):
+                    asked = part.slice(at, QUERY_ROWS)
+                    ids, rows = asked.column("id").to_numpy(), asked.column("row").to_numpy()
+                    who, answer, score = tree.nearest(rows, matrix(asked.column("vector"), width), factor)
+                    columns = [pa.array(x) for x in (rows[who], ids[who], answer, score)]
+                    yield pa.RecordBatch.from_arrays(columns, ["query_row", "query_id", "id", "score"])
 
     return run
 
@@ -97,18 +116,18 @@ class VantageTree:
 
     A node's halves keep the closest and farthest distance of their points to
     the vantage point. Of equal vectors only the k + 1 smallest ids can ever be
-    among k neighbours, one of them perhaps being the query's own.
+    among k neighbours, one of them perhaps being the query's own row.
     """
 
-    def __init__(self, ids: np.ndarray, points: np.ndarray, k: int) -> None:
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, points: np.ndarray, k: int) -> None:
         self.k = k
         keys = np.ascontiguousarray(points + 0.0).view(f"V{8 * points.shape[1]}").ravel()
         _, first, group = np.unique(keys, return_index=True, return_inverse=True)
         self.points = points[first]
-        order = np.lexsort((ids, group))
+        order = np.lexsort((rows, ids, group))
         rank = np.arange(len(ids)) - np.searchsorted(group[order], group[order])
         keep = rank <= k
-        self.ids = ids[order][keep]
+        self.ids, self.rows = ids[order][keep], rows[order][keep]
         self.bounds = np.searchsorted(group[order][keep], np.arange(len(first) + 1))
         self.root = self._build(np.arange(len(first)))
 
@@ -127,13 +146,14 @@ class VantageTree:
             (away[far[0]], away[far[-1]], self._build(rest[far])),
         )
 
-    def nearest(self, query_ids: np.ndarray, queries: np.ndarray, factor: float):
-        self.factor, self.query_ids, self.queries = factor, query_ids, queries
+    def nearest(self, query_rows: np.ndarray, queries: np.ndarray, factor: float):
+        """(query, id, score) of the k nearest found of every query, as places in `queries`."""
+        self.factor, self.query_rows, self.queries = factor, query_rows, queries
         self.score = np.full((len(queries), self.k), np.inf)
         self.answer = np.full((len(queries), self.k), np.iinfo(np.int64).max)
         self._visit(self.root, np.arange(len(queries)))
         found = np.isfinite(self.score)
-        query = np.repeat(query_ids, found.sum(axis=1))
+        query = np.repeat(np.arange(len(queries)), found.sum(axis=1))
         return query, self.answer[found], self.score[found]
 
     def _visit(self, node, asked: np.ndarray) -> None:
@@ -158,13 +178,14 @@ class VantageTree:
         size = self.bounds[members + 1] - self.bounds[members]
         column = np.repeat(np.arange(len(members)), size)
         place = np.arange(len(column)) - np.repeat(np.cumsum(size) - size, size)
-        ids = self.ids[self.bounds[members][column] + place]
+        entry = self.bounds[members][column] + place
+        ids = self.ids[entry]
         score = away[:, column]
         hit = (score <= self.score[asked, -1][:, None]).any(axis=1)
         if not hit.any():
             return
         asked, score = asked[hit], score[hit]
-        score = np.where(ids[None] == self.query_ids[asked][:, None], np.inf, score)
+        score = np.where(self.rows[entry][None] == self.query_rows[asked][:, None], np.inf, score)
         both = np.concatenate([self.score[asked], score], axis=1)
         names = np.concatenate([self.answer[asked], np.broadcast_to(ids, score.shape)], axis=1)
         order = np.lexsort((names, both), axis=1)[:, : self.k]
