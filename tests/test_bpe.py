@@ -64,18 +64,23 @@ def test_reported_changes_are_the_difference_of_counts():
         w = bt.Words.of(np.array([s for x in words for s in [*x, -1]], dtype=np.int64), weight)
 
         def count():
-            keys, values = w.pairs_at(np.arange(len(w.flat)))
-            totals = Counter()
-            for k, v in zip(keys.tolist(), values.tolist()):
-                totals[k] += v
-            return totals
-
-        before = count()
-        changes = Counter(dict(zip(*(x.tolist() for x in w.merge(draw.randrange(3), draw.randrange(3), 3)))))
-        after = count()
-        assert {k: after[k] - before[k] for k in before | after if after[k] != before[k]} == {
-            k: v for k, v in changes.items() if v
-        }
+            return Counter(dict(zip(*(x.tolist() for x in w.totals()))))
+
+        spelled = [list(x) for x in words]
+        for new in range(3, 9):  # pairs of merged symbols are found through the index as well
+            left, right = draw.randrange(new), draw.randrange(new)
+            before, spare = count(), w.copy()
+            changes = Counter(dict(zip(*(x.tolist() for x in w.merge(left, right, new)))))
+            after = count()
+            assert {k: after[k] - before[k] for k in before | after if after[k] != before[k]} == {
+                k: v for k, v in changes.items() if v
+            }
+            spelled = [models.merge_once(x, (left, right), new) for x in spelled]
+            want = Counter()
+            for x, n in zip(spelled, weight.tolist()):
+                for pair in zip(x, x[1:]):
+                    want[pair[0] * bt.PAIR + pair[1]] += n
+            assert after == want and Counter(dict(zip(*(x.tolist() for x in spare.totals())))) == before
 
 
 def test_merging_a_word_is_best_rank_first():
@@ -134,7 +139,18 @@ def test_same_vocabulary_and_ids_as_a_public_trainer(spark, docs, model):
     assert list(shown) == other.encode(rows[4][1]).tokens
 
 
-def test_the_larger_query_trains_the_size_of_the_job(spark, monkeypatch):
+def test_four_thousand_tokens_are_those_of_a_public_trainer(spark, docs):
+    """Past the alphabet and the short pairs: merges of merges, many ties."""
+    tk = pytest.importorskip("tokenizers")
+    other = tk.Tokenizer(tk.models.BPE(unk_token="<unk>"))
+    other.pre_tokenizer = tk.pre_tokenizers.ByteLevel(add_prefix_space=False)
+    trainer = tk.trainers.BpeTrainer(vocab_size=4_000, min_frequency=2, special_tokens=list(vb.SPECIALS), show_progress=False)
+    other.train_from_iterator((r.text.strip() for r in docs.collect()), trainer)
+    got = bt.train(docs, 4_000)
+    assert {r.token: r.id for r in got.vocab_table(spark).collect()} == other.get_vocab()
+
+
+def test_the_larger_query_asks_for_the_size_of_the_job(spark, monkeypatch):
     from textloom.catalog import vocabulary
     from textloom.config import Settings
 

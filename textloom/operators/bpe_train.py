@@ -34,6 +34,8 @@ PROPOSALS = (16, 512)  # merges proposed in a round: twice what the last one gai
 HEAD_WORDS = 20_000  # frequent words the proposals are made from
 REBASE_MERGES = 256  # merges between writings of the word table
 PAIR = 1 << 24  # symbol ids are below this; a pair is left * PAIR + right
+DEAD = -2  # a place whose symbol went into a merge
+BLOCK_SYMBOLS = 2_000_000  # symbols of one task that are indexed together
 
 
 def training_texts(df: DataFrame, column: str = "text") -> DataFrame:
@@ -148,44 +150,101 @@ def _unflatten(flat: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat[flat >= 0].astype(np.int32)))
 
 
-@dataclass
 class Words:
-    """Symbols of many words in one array, -1 after each, and their counts."""
+    """Symbols of many words in one array, -1 after each, and where pairs are.
 
-    flat: np.ndarray
-    word: np.ndarray  # per symbol, which word it is in
-    weight: np.ndarray  # per word
+    Places never move: a merged symbol stays at the place of its left part, the
+    right part's place is dead, and `after` and `before` lead from one living
+    place to the next. Pairs are found through an index from a pair to its
+    places, made once and added to by every merge, so a merge costs what its
+    occurrences cost, not a look at every symbol.
+    """
 
-    @classmethod
-    def of(cls, flat: np.ndarray, weight: np.ndarray) -> Words:
+    def __init__(self, flat: np.ndarray, weight: np.ndarray):
+        n = len(flat)
         ends = flat < 0
-        return cls(flat, np.cumsum(ends) - ends, weight)
+        self.flat = flat.astype(np.int64)
+        self.weight = weight[np.minimum(np.cumsum(ends) - ends, max(len(weight) - 1, 0))] if n else weight[:0]
+        self.after = np.arange(1, n + 1)
+        self.before = np.arange(-1, n - 1)
+        starts = np.flatnonzero((flat[:-1] >= 0) & (flat[1:] >= 0))
+        keys = self.flat[starts] * PAIR + self.flat[starts + 1]
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.places = keys[order], starts[order]
+        self.made: dict[int, list[np.ndarray]] = {}
 
-    def pairs_at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pair keys at the positions that start one, with their weights."""
-        at = at[(at >= 0) & (at < len(self.flat) - 1)]
-        at = at[(self.flat[at] >= 0) & (self.flat[at + 1] >= 0)]
-        return self.flat[at] * PAIR + self.flat[at + 1], self.weight[self.word[at]]
+    @classmethod
+    def of(cls, flat: np.ndarray, weight: np.ndarray) -> Words:
+        return cls(flat, weight)
+
+    def copy(self) -> Words:
+        out = object.__new__(Words)
+        out.flat, out.after, out.before = self.flat.copy(), self.after.copy(), self.before.copy()
+        out.weight, out.keys, out.places = self.weight, self.keys, self.places
+        out.made = {key: list(places) for key, places in self.made.items()}
+        return out
+
+    def pairs_at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pair keys at the places that start one, with their weights, and the places."""
+        at = at[(at >= 0) & (at < len(self.flat))]
+        at = at[self.flat[at] >= 0]
+        right = self.flat[self.after[at]]
+        at, right = at[right >= 0], right[right >= 0]
+        return self.flat[at] * PAIR + right, self.weight[at], at
+
+    def totals(self) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs with the sums of their weights."""
+        return _sum_by_key(*self.pairs_at(np.arange(len(self.flat)))[:2])
+
+    def _places(self, left: int, right: int) -> np.ndarray:
+        """Where the pair stands now, ascending."""
+        key = left * PAIR + right
+        a, b = np.searchsorted(self.keys, (key, key + 1))
+        later = self.made.pop(key, None)
+        at = self.places[a:b] if later is None else np.unique(np.concatenate([self.places[a:b], *later]))
+        # A place may have gone into another merge since it was noted.
+        at = at[self.flat[at] == left]
+        return at[self.flat[self.after[at]] == right]
 
     def merge(self, left: int, right: int, new: int) -> tuple[np.ndarray, np.ndarray]:
         """Merge one pair everywhere; returns how that changes pair counts.
 
         Only pairs that touch a merged place change: before, those starting at
         the place itself or next to it; after, those with the new symbol."""
-        at = np.flatnonzero((self.flat[:-1] == left) & (self.flat[1:] == right))
+        at = self._places(left, right)
         if left == right:
-            at = _every_second(at)
+            at = self._every_second(at)
         if len(at) == 0:
             return at, at
-        gone, lost = self.pairs_at(np.unique(np.concatenate([at - 1, at, at + 1])))
-        stay = np.ones(len(self.flat), dtype=bool)
-        stay[at + 1] = False
+        second = self.after[at]
+        gone, lost, _ = self.pairs_at(np.unique(np.concatenate([self.before[at], at, second])))
+        follow = self.after[second]
         self.flat[at] = new
-        self.flat, self.word = self.flat[stay], self.word[stay]
-        at = at - np.arange(len(at))
-        made, won = self.pairs_at(np.unique(np.concatenate([at - 1, at])))
+        self.flat[second] = DEAD
+        self.after[at] = follow
+        self.before[follow] = at  # every word is followed by its -1
+        made, won, places = self.pairs_at(np.unique(np.concatenate([self.before[at], at])))
+        self._note(made, places)
         return _sum_by_key(np.concatenate([gone, made]), np.concatenate([-lost, won]))
 
+    def _note(self, keys: np.ndarray, places: np.ndarray) -> None:
+        if not len(keys):
+            return
+        order = np.argsort(keys, kind="stable")
+        keys, places = keys[order], places[order]
+        heads = np.flatnonzero(np.diff(keys, prepend=-1))
+        for key, part in zip(keys[heads].tolist(), np.split(places, heads[1:]), strict=True):
+            self.made.setdefault(key, []).append(part)
+
+    def _every_second(self, at: np.ndarray) -> np.ndarray:
+        """Of places in a row, every second: a a a holds one pair to merge, not two."""
+        if not len(at):
+            return at
+        new = np.append(True, self.after[at[:-1]] != at[1:])
+        heads = np.flatnonzero(new)
+        within = np.arange(len(at)) - np.repeat(heads, np.diff(heads, append=len(at)))
+        return at[within % 2 == 0]
+
 
 def _every_second(at: np.ndarray) -> np.ndarray:
     """Of places in a row, every second: a a a holds one pair to merge, not two."""
@@ -212,20 +271,32 @@ def together(merges: list[tuple]) -> list[list[tuple]]:
     return runs
 
 
-def _up_to_date(block: pa.RecordBatch, runs: list[list[tuple]]) -> Words:
-    flat = _flatten(block.column("symbols"))
-    for run in runs:
-        flat = merge_all(flat, run)
-    return Words.of(flat, block.column("n").to_numpy())
+def _blocks(batches: Iterator[pa.RecordBatch], runs: list[list[tuple]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(symbols, counts) of the task's words after the merges of `runs`, about
+    BLOCK_SYMBOLS symbols at a time."""
+    flats, counts, held = [], [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        flat = _flatten(batch.column("symbols"))
+        for run in runs:
+            flat = merge_all(flat, run)
+        flats.append(flat)
+        counts.append(batch.column("n").to_numpy())
+        held += len(flat)
+        if held >= BLOCK_SYMBOLS:
+            yield np.concatenate(flats), np.concatenate(counts)
+            flats, counts, held = [], [], 0
+    if flats:
+        yield np.concatenate(flats), np.concatenate(counts)
 
 
 def _count_pairs(words: DataFrame) -> DataFrame:
     """(pair, n) over all words; tasks add up their own words first."""
 
-    def count(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks:
-            w = _up_to_date(block, [])
-            keys, totals = _sum_by_key(*w.pairs_at(np.arange(len(w.flat))))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches, []):
+            keys, totals = Words(*block).totals()
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(totals)], ["pair", "n"])
 
     return words.mapInArrow(count, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
@@ -236,10 +307,9 @@ def _updated(words: DataFrame, merges: list[tuple]) -> DataFrame:
     merge and leaves the table."""
     shared = words.sparkSession.sparkContext.broadcast(together(merges))
 
-    def apply(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks:
-            flat = _up_to_date(block, shared.value).flat
-            yield pa.RecordBatch.from_arrays([_unflatten(flat), block.column("n")], ["symbols", "n"])
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for flat, n in _blocks(batches, shared.value):
+            yield pa.RecordBatch.from_arrays([_unflatten(flat), pa.array(n)], ["symbols", "n"])
 
     return words.mapInArrow(apply, words.schema).filter(F.size("symbols") > 1)
 
@@ -250,19 +320,22 @@ def _changes(words: DataFrame, merges: list[tuple], proposed: list[tuple], liste
     shared = words.sparkSession.sparkContext.broadcast((together(merges), proposed, listed))
     made_from = min(p[2] for p in proposed)
 
-    def follow(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs, proposed, listed = shared.value
-        for block in blocks:
-            w = _up_to_date(block, runs)
+        for block in _blocks(batches, runs):
+            w = Words(*block)
             steps, keys, values = [], [], []
             for step, (left, right, new) in enumerate(proposed):
                 k, v = w.merge(left, right, new)
+                if not len(k):
+                    continue
                 slot = np.minimum(np.searchsorted(listed, k), len(listed) - 1)
                 wanted = (k // PAIR >= made_from) | (k % PAIR >= made_from) | (listed[slot] == k)
                 keys.append(k[wanted])
                 values.append(v[wanted])
                 steps.append(np.full(wanted.sum(), step, dtype=np.int32))
-            columns = [pa.array(np.concatenate(c)) for c in (steps, keys, values)]
+            none = ([np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)])
+            columns = [pa.array(np.concatenate(c or z)) for c, z in zip((steps, keys, values), none, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, ["step", "pair", "n"])
 
     rows = words.mapInArrow(follow, "step int, pair bigint, n bigint")
@@ -297,7 +370,7 @@ def propose(ranking: Ranking, head: Words, spell: list[bytes], tokens: dict, las
     A merge that spells an existing token goes alone.
     """
     guess = Ranking(dict(ranking.counts))
-    head = Words(head.flat.copy(), head.word.copy(), head.weight)
+    head = head.copy()
     spell, known = list(spell), set()
     out: list[tuple] = []
     while len(out) < limit and (top := guess.best()) and (-top[1], top[0]) <= last:
