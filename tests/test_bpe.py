@@ -194,5 +194,15 @@ def test_empty_corpus(spark):
     assert len(model.tokens) == 5 and model.merges == []
 
 
+def test_decoding_nulls_cut_characters_and_empty_lists(spark, full):
+    ids = {r.i: list(r.ids) for r in be.encode_documents(
+        spark.createDataFrame([(0, "é x"), (1, "")], "i int, text string"), full).collect()}
+    rows = [(0, ids[0]), (1, ids[1]), (2, None), (3, []), (4, ids[0][:2]), (5, [0, 1, 2, 3, 4])]
+    df = spark.createDataFrame(rows, "i int, ids array<int>").repartition(1)
+    got = {r.i: r.t for r in df.select("i", be.decode(F.col("ids"), full).alias("t")).collect()}
+    assert (got[0], got[1], got[2], got[3], got[5]) == ("é x", "", None, "", "") and "\ufffd" in got[4]
+    assert be.encode_documents(df.select(F.lit("a").alias("text")).limit(0), full).count() == 0
+
+
 def test_specials_are_found(spark, model):
     assert {r.token for r in vl.special_tokens(model.vocab_table(spark)).collect()} == set(vb.SPECIALS)

@@ -1,7 +1,8 @@
 """Encoding and decoding with a trained vocabulary: narrow, no shuffle.
 
-Texts are cut into words in the JVM; tasks turn words into ids with a small
-cache, since most words of a corpus are repeats. What travels to the tasks is
+Texts are cut into words in the JVM; tasks encode each distinct word of an Arrow
+batch once, remember it, and gather the ids of all texts by offsets; decoding
+gathers bytes the same way. What travels to the tasks is
 the vocabulary, whose size is fixed by its vocab_size.
 """
 
@@ -9,9 +10,12 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,30 +76,61 @@ def encode(text: Column, model: Vocabulary, template: bool = True) -> Column:
     specials = {t: i for i, t in enumerate(vb.SPECIALS)}
     shared = _broadcast((start, ranks, specials))
 
-    @F.pandas_udf("array<int>")
-    def to_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         start, ranks, specials = shared.value
-        cache: dict[str, list[int]] = {t: [i] for t, i in specials.items()}
+        cache: dict[str, list[int]] = {}
+
+        def ids_of(word: str) -> list[int]:
+            known = cache.get(word)
+            if known is None:
+                known = merge_word([start[b] for b in word.encode("utf-8", "surrogatepass")], ranks)
+                cache[word] = known
+            return known
+
         for texts in batches:
-            out = []
-            for words in texts:
-                ids: list[int] = [vb.BOS] if template else []
-                for w in words:
-                    known = cache.get(w)
-                    if known is None:
-                        if len(cache) > CACHE_WORDS:
-                            cache = {t: [i] for t, i in specials.items()}
-                        known = merge_word([start[b] for b in w.encode("utf-8", "surrogatepass")], ranks)
-                        cache[w] = known
-                    ids += known
-                if template:
-                    ids.append(vb.EOS)
-                out.append(np.array(ids, dtype=np.int32))
-            yield pd.Series(out, dtype=object)
+            if len(cache) > CACHE_WORDS or not cache:
+                cache = {t: [i] for t, i in specials.items()}
+            words = texts.flatten().dictionary_encode()
+            known = [ids_of(w) for w in words.dictionary.to_pylist()]
+            table, bounds = gathered(_flat(known), words.indices.to_numpy())
+            yield _templated(table, bounds[_bounds(texts)], template)
 
     return to_ids.asNondeterministic()(pieces(F.coalesce(text, F.lit(""))))
 
 
+def _bounds(lists: pa.Array) -> np.ndarray:
+    """Where each list starts in the flattened values, and their number."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
+def _flat(parts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists as one array and the bounds of each."""
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    return np.fromiter(chain.from_iterable(parts), np.int32, int(sizes.sum())), np.concatenate([[0], np.cumsum(sizes)])
+
+
+def gathered(table: tuple[np.ndarray, np.ndarray], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of a (values, bounds) table at `codes`, one after the other,
+    and the bounds of each in the result."""
+    values, at = table
+    sizes = (at[1:] - at[:-1])[codes]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    return values[np.repeat(at[codes] - bounds[:-1], sizes) + np.arange(bounds[-1])], bounds
+
+
+def _templated(ids: np.ndarray, bounds: np.ndarray, template: bool) -> pa.Array:
+    if template:
+        n = len(bounds) - 1
+        out = np.full(len(ids) + 2 * n, vb.BOS, np.int32)
+        out[np.arange(len(ids)) + 2 * np.repeat(np.arange(n), np.diff(bounds)) + 1] = ids
+        bounds = bounds + 2 * np.arange(n + 1)
+        out[bounds[1:] - 1] = vb.EOS
+        ids = out
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
+
+
 def encode_pair(first: Column, second: Column, model: Vocabulary) -> Column:
     """Ids and type ids of a pair: <s> A </s> of type 0, B </s> of type 1."""
     a = encode(first, model)
@@ -107,17 +142,23 @@ def encode_pair(first: Column, second: Column, model: Vocabulary) -> Column:
 def decode(ids: Column, model: Vocabulary) -> Column:
     """Text of the ids. Special tokens are left out; bytes that are no UTF-8
     (ids cut in mid-character) show as the replacement character."""
-    shared = _broadcast(model.tokens)
-    n_special = len(vb.SPECIALS)
+    plain = [b"" if i < len(vb.SPECIALS) else t for i, t in enumerate(model.tokens)]
+    shared = _broadcast(_flat([list(t) for t in plain]))
 
-    @F.pandas_udf("string")
-    def to_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens = shared.value
+    @F.arrow_udf("string")
+    def to_text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        values, at = shared.value
+        table = values.astype(np.uint8), at
         for rows in batches:
-            yield rows.map(
-                lambda ids: b"".join(tokens[i] for i in ids if i >= n_special).decode("utf-8", "replace"),
-                na_action="ignore",
-            )
+            raw, ends = gathered(table, rows.flatten().to_numpy())
+            bounds = ends[_bounds(rows)]
+            buffers = [None, pa.py_buffer(bounds), pa.py_buffer(raw)]
+            texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(rows), buffers)
+            try:
+                texts = texts.cast(pa.large_string())
+            except pa.ArrowInvalid:  # some text was cut in mid-character
+                texts = pa.array([t.decode("utf-8", "replace") for t in texts.to_pylist()], pa.large_string())
+            yield pc.if_else(rows.is_null(), pa.scalar(None, pa.large_string()), texts).cast(pa.string())
 
     return to_text.asNondeterministic()(ids)
 
