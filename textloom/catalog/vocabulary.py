@@ -203,11 +203,12 @@ _STRINGS = f"""found_merges AS (SELECT DISTINCT step, p FROM walk WHERE step > 0
     string_ids AS (SELECT label, string_agg(w, '' ORDER BY pos) AS w FROM applied
                    WHERE step = (SELECT max(step) FROM applied) GROUP BY label)"""
 # The visible form of every token: a merged one is its two parts joined.
-_TOKENS = f"""built(step, tokens) AS (
+_TOKENS = f"""made AS MATERIALIZED (SELECT DISTINCT step, p FROM walk WHERE step > 0),
+    built(step, tokens) AS (
       SELECT 0, ['<unk>', '<s>', '</s>', '<pad>', '<mask>'] || (SELECT list(token ORDER BY id) FROM alphabet)
       UNION ALL
       SELECT b.step + 1, list_append(tokens, tokens[unicode(p[1]) - {BASE} + 1] || tokens[unicode(p[2]) - {BASE} + 1])
-      FROM built b JOIN (SELECT DISTINCT step, p FROM walk WHERE step > 0) m ON m.step = b.step + 1),
+      FROM built b JOIN made m ON m.step = b.step + 1),
     vocabulary AS (SELECT CAST(unnest(range(len(tokens))) AS INT) AS id, unnest(tokens) AS token FROM built
                    WHERE step = (SELECT max(step) FROM built))"""
 
