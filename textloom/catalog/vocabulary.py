@@ -129,6 +129,16 @@ def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vl.validation_results(d, "doc_id", bt.train(d, VOCAB))
 
 
+#: Documents that the sampled validation looks at, the first in order.
+FIRST_DOCS = 500
+
+
+def validation_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation on the first documents with a text; training sees them all."""
+    d = documents(spark, sf_dir)
+    return vl.validation_results(d, "doc_id", bt.train(d, VOCAB), Settings(validation_docs=FIRST_DOCS))
+
+
 # -- SQL ----------------------------------------------------------------------
 
 _SP = r"\t-\r\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -220,6 +230,21 @@ def _sql_text(text: str) -> str:
 _HEAD = "SELECT 0 AS id, '<unk>' AS token UNION ALL VALUES (1, '<s>'), (2, '</s>'), (3, '<pad>'), (4, '<mask>')"
 _SYMBOLS = f"list_transform(string_split(w, ''), lambda s: unicode(s) - {BASE})"
 
+
+def _validation(chosen: str) -> str:
+    return f"""WITH RECURSIVE {_walk(VOCAB)}, {_FINAL},
+    probes AS (SELECT unnest([{", ".join(map(_sql_text, vl.PROBES.values()))}]) AS t),
+    lost AS (SELECT count(DISTINCT t) AS n FROM (
+        SELECT t, unnest(list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: ('0x' || h)::INT))
+        AS byte FROM probes) ANTI JOIN alphabet USING (byte))
+    SELECT CAST(5 + (SELECT count(*) FROM alphabet) + (SELECT max(step) FROM walk) AS INT) AS vocab_size,
+           CAST((SELECT n FROM lost) AS INT) AS roundtrip_failures,
+           round(sum(length(t)) / greatest(sum(length(w) + 2), 1), 3) AS compression_ratio,
+           round(sum(length(w) + 2) / greatest(sum(len({sql_words("t")})), 1), 3) AS fertility,
+           CAST(count(*) AS INT) AS docs_sampled
+    FROM {chosen} JOIN coded USING (doc_id)"""
+
+
 QUERIES = {
     "word_counts": (word_counts, f"WITH {WORDS} SELECT word, n FROM words"),
     "byte_alphabet": (
@@ -295,18 +320,9 @@ QUERIES = {
             FROM texts JOIN coded USING (doc_id) JOIN documents USING (doc_id) GROUP BY lang""",
     ),
     # A probe comes back whole exactly if the alphabet has all of its bytes.
-    "validation_results": (
-        validation,
-        f"""WITH RECURSIVE {_walk(VOCAB)}, {_FINAL},
-            probes AS (SELECT unnest([{", ".join(map(_sql_text, vl.PROBES.values()))}]) AS t),
-            lost AS (SELECT count(DISTINCT t) AS n FROM (
-                SELECT t, unnest(list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: ('0x' || h)::INT))
-                AS byte FROM probes) ANTI JOIN alphabet USING (byte))
-            SELECT CAST(5 + (SELECT count(*) FROM alphabet) + (SELECT max(step) FROM walk) AS INT) AS vocab_size,
-                   CAST((SELECT n FROM lost) AS INT) AS roundtrip_failures,
-                   round(sum(length(t)) / greatest(sum(length(w) + 2), 1), 3) AS compression_ratio,
-                   round(sum(length(w) + 2) / greatest(sum(len({sql_words("t")})), 1), 3) AS fertility,
-                   CAST(count(*) AS INT) AS docs_sampled
-            FROM texts JOIN coded USING (doc_id)""",
+    "validation_results": (validation, _validation("texts")),
+    "validation_first": (
+        validation_first,
+        _validation(f"(SELECT doc_id, t FROM texts ORDER BY doc_id LIMIT {FIRST_DOCS})"),
     ),
 }
