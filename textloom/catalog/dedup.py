@@ -158,7 +158,7 @@ _LOOSE = f"{HALVED}, {sql_signatures('copied', 'ord', LOOSE.minhash_perms)}, " +
 )
 
 VERIFIED_WALK = f"""
-    lists AS (SELECT i, any_value(n.ord) AS ord, coalesce(list(head) FILTER (WHERE head IS NOT NULL), []::BIGINT[]) AS near
+    lists AS MATERIALIZED (SELECT i, any_value(n.ord) AS ord, coalesce(list(head) FILTER (WHERE head IS NOT NULL), []::BIGINT[]) AS near
               FROM (SELECT ord, row_number() OVER (ORDER BY ord) AS i FROM copied) n
               LEFT JOIN (SELECT head, ord FROM compared WHERE jaccard >= {LOOSE.minhash_threshold}::DOUBLE) c ON c.ord = n.ord
               GROUP BY i),
