@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +55,31 @@ def test_sparse_scores_equal_the_dense_sum(texts, model):
             assert r.lang == max(sums, key=sums.get)
 
 
+@pytest.mark.parametrize("shard_grams", [7, 100])
+def test_shards_of_the_model_give_the_same_tags(spark, model, shard_grams):
+    """Sums that travel are the sums of one table: tags and confidences are
+    equal to the last bit, for repeated and null rows and for long texts too."""
+    rows = [(str(i % 5), t) for i, t in enumerate(t for texts in SAMPLES.values() for t in texts)]
+    rows += [("8", None), (None, ""), (None, "漢字"), ("9", "the house " * 70_000), ("9", "é"), ("9", "𝒳 la 𝒳"), ("9", "und")]
+    df = spark.createDataFrame(rows, "id string, text string").repartition(3)
+    whole = lg.detect_language(df, model)
+    shards = lg.detect_language(df, model, shard_grams=shard_grams)
+    assert shards.columns == whole.columns and shards.count() == len(rows)
+    assert sorted(map(str, shards.collect())) == sorted(map(str, whole.collect()))
+    assert lg.detect_language(df.limit(0), model, shard_grams=shard_grams).collect() == []
+
+
+def test_pieces_of_a_batch_give_the_same_grams():
+    texts = pd.Series(["ab", None, "", "x", "yzw", "𝒳é"])
+    for most in (1, 3, 100):
+        got = []
+        for a, b in lg._pieces(texts, most):
+            doc, keys = lg._grams(texts.iloc[a:b])
+            got += [(a + d, lg._unpacked(k)) for d, k in zip(doc.tolist(), keys.tolist(), strict=True)]
+        want = [(i, t[j : j + n]) for i, t in enumerate(texts.fillna("")) for n in (1, 2, 3) for j in range(len(t) - n + 1)]
+        assert sorted(got) == sorted(want)
+
+
 def test_gate_compares_before_rounding(spark):
     df = spark.createDataFrame([(0.79996,), (0.8,)], "conf double")
     assert [r.conf for r in lg.confident(df).collect()] == [0.8]

@@ -53,6 +53,17 @@ def test_stream_takes_each_shard_once(spark, corpus, model, tmp_path):
     assert sorted(map(str, streamed.collect())) == sorted(map(str, batch.select(columns).collect()))
 
 
+def test_stream_with_a_model_in_shards(spark, corpus, model, tmp_path):
+    docs = corpus.select("id", "text", "source", F.create_map(F.lit("k"), F.lit("v")).alias("meta"))
+    args = [str(tmp_path / n) for n in ("in", "out", "log")]
+    sh.write_shards(docs, args[0])
+    for _ in range(2):
+        tag_new_shards(spark, *args, model, shards_per_batch=2, shard_grams=5_000).awaitTermination()
+    columns = ["id", "text", "lang", "lang_confidence", "domain"]
+    batch = lg.tag_documents(stages.clean(docs), model).select(columns)
+    assert sorted(map(str, spark.read.parquet(args[1]).select(columns).collect())) == sorted(map(str, batch.collect()))
+
+
 def test_materialize_cuts_lineage(spark):
     df = spark.range(10).repartition(3)
     cut = materialize(df, "cut")

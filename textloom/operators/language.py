@@ -7,14 +7,15 @@ the order of addition. Applying the model adds them up per text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +28,9 @@ SCALE = 1_000_000  # log-probabilities are whole millionths
 GRAM_SIZES = (1, 2, 3)
 UNKNOWN = "unknown"
 COUNT_TEXTS = 500  # texts whose grams are counted in one go
-MOST_GRAMS = 20_000_000  # of a model that goes to every task; a larger one is refused
+SHARD_GRAMS = 4_000_000  # of a model that goes to every task, and of a shard of a larger one
+PIECE = 1 << 19  # characters whose grams are looked up in one go
+MOST_TEXTS = 1 << 16  # texts of such a piece
 
 
 def _packed(text: str) -> np.ndarray:
@@ -88,8 +91,9 @@ def fit(df: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:
 
 @dataclass(frozen=True)
 class Scorer:
-    """A model as arrays: sorted gram keys, one least log-probability per
-    language, and per gram what some languages have above theirs."""
+    """A model, or a shard of one, as arrays: sorted gram keys, one least
+    log-probability per language, and per gram what some languages have above
+    theirs."""
 
     langs: list[str]
     least: np.ndarray
@@ -98,21 +102,83 @@ class Scorer:
     where: np.ndarray  # language of an entry
     more: np.ndarray  # its log-probability above the least
 
-    def best(self, text: str | None) -> tuple[str, float]:
-        """Language and posterior; sums are whole numbers, so exact."""
-        found = _packed(text) if text else self.keys[:0]
-        if not len(found) or not len(self.keys):
-            return UNKNOWN, 0.0
+    @classmethod
+    def of(cls, langs: list[str], least: np.ndarray, table: pa.Table) -> Scorer:
+        """From rows (key, where, more), one per gram."""
+        table = table.take(pa.array(np.argsort(table.column("key").to_numpy()))).combine_chunks()
+        sizes = pc.list_value_length(table.column("where")).to_numpy()
+
+        def values(name: str) -> np.ndarray:
+            return pc.list_flatten(table.column(name)).to_numpy().astype(np.int64)
+
+        bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        return cls(langs, least, table.column("key").to_numpy(), bounds, values("where"), values("more"))
+
+    def places(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the found keys stand, and whether they do."""
+        if not len(self.keys):
+            return np.zeros(len(found), np.int64), np.zeros(len(found), bool)
         at = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
-        at, times = np.unique(at[self.keys[at] == found], return_counts=True)
-        if not len(at):
-            return UNKNOWN, 0.0
+        return at, self.keys[at] == found
+
+    def sums(self, doc: np.ndarray, at: np.ndarray, times: np.ndarray, docs: int) -> np.ndarray:
+        """(docs, languages + 1): what each text's grams add above the least,
+        and in the last column their number. Whole numbers throughout."""
+        out = np.zeros((docs, len(self.langs) + 1), np.int64)
+        np.add.at(out[:, -1], doc, times)
         size = self.bounds[at + 1] - self.bounds[at]
         entry = np.repeat(self.bounds[at] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-        scores = self.least * int(times.sum())
-        np.add.at(scores, self.where[entry], self.more[entry] * np.repeat(times, size))
-        p = np.exp((scores - scores.max()) / SCALE)
-        return self.langs[int(p.argmax())], float(p.max() / p.sum())
+        cell = np.repeat(doc, size) * out.shape[1] + self.where[entry]
+        np.add.at(out.reshape(-1), cell, self.more[entry] * np.repeat(times, size))
+        return out
+
+
+def verdicts(langs: list[str], least: np.ndarray, sums: np.ndarray) -> pd.DataFrame:
+    """Language and posterior per row of Scorer.sums; without known grams
+    `unknown` and 0."""
+    known = sums[:, -1] > 0
+    if not langs or not known.any():
+        return pd.DataFrame({"lang": [UNKNOWN] * len(sums), "conf": np.zeros(len(sums))})
+    scores = sums[:, :-1] + sums[:, -1:] * least
+    p = np.exp((scores - scores.max(axis=1, keepdims=True)) / SCALE)
+    names = np.array(langs, object)[p.argmax(axis=1)]
+    conf = np.where(known, p.max(axis=1) / p.sum(axis=1), 0.0)
+    return pd.DataFrame({"lang": np.where(known, names, UNKNOWN), "conf": conf})
+
+
+def _pieces(texts: pd.Series, most: int = PIECE) -> Iterator[tuple[int, int]]:
+    """Ranges of whole texts of about `most` characters together."""
+    ends = np.cumsum(texts.str.len().fillna(0).to_numpy(np.int64))
+    first = 0
+    while first < len(ends):
+        before = ends[first - 1] if first else 0
+        last = max(int(np.searchsorted(ends, before + most, "right")), first + 1)
+        last = min(last, first + MOST_TEXTS)
+        yield first, last
+        first = last
+
+
+def _grams(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """(text, key) of all grams of the texts of a piece, packed at once; grams
+    that reach over the end of a text are left out."""
+    texts = texts.fillna("")
+    length = texts.str.len().to_numpy(np.int64)
+    found = _packed("".join(texts))
+    doc = np.repeat(np.arange(len(length)), length)
+    left = np.repeat(np.cumsum(length), length) - np.arange(len(doc))  # characters of the text from here on
+    owners, inside = [], []
+    for n in GRAM_SIZES:
+        some = len(doc) - n + 1
+        owners.append(doc[: max(some, 0)])
+        inside.append(left[: max(some, 0)] >= n)
+    keep = np.concatenate(inside)
+    return np.concatenate(owners)[keep], found[keep]
+
+
+def _counted(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (text, place) with their number; both are below 2^31."""
+    both, times = np.unique(doc << 32 | at, return_counts=True)
+    return both >> 32, both & 0xFFFFFFFF, times
 
 
 @F.pandas_udf(T.LongType())
@@ -120,14 +186,31 @@ def _gram_key(grams: pd.Series) -> pd.Series:
     return grams.map(lambda g: int(_packed(g)[-1]))
 
 
-def scorer(model: DataFrame) -> Scorer:
+@dataclass(frozen=True)
+class PackedModel:
+    """A model ready to be sent: rows (key, where, more), one per gram, written;
+    their number; languages and their least log-probabilities."""
+
+    rows: DataFrame
+    grams: int
+    langs: list[str]
+    least: np.ndarray
+
+    def scorer(self) -> Scorer:
+        """The whole model on the driver; only below a checked number of grams."""
+        if not self.langs:
+            none = np.zeros(0, np.int64)
+            return Scorer([], none, none, np.zeros(1, np.int64), none, none)
+        return Scorer.of(self.langs, self.least, self.rows.toArrow())
+
+
+def packed(model: DataFrame) -> PackedModel:
     """Packed on the executors, one row per gram; languages that never saw a
     gram take no space."""
     least = {r["lang"]: r["least"] for r in model.groupBy("lang").agg(F.min("logp").alias("least")).collect()}
     langs = sorted(least)
     if not langs:
-        none = np.zeros(0, np.int64)
-        return Scorer([], none, none, np.zeros(1, np.int64), none, none)
+        return PackedModel(model, 0, [], np.zeros(0, np.int64))
     number = F.create_map(*[F.lit(x) for i, lang in enumerate(langs) for x in (lang, i)])
     base = F.create_map(*[F.lit(x) for lang in langs for x in (lang, least[lang])])
     entry = F.struct(number[F.col("lang")].alias("where"), (F.col("logp") - base[F.col("lang")]).alias("more"))
@@ -135,34 +218,203 @@ def scorer(model: DataFrame) -> Scorer:
     rows = rows.select(
         _gram_key("gram").alias("key"), F.col("entries.where").alias("where"), F.col("entries.more").alias("more")
     )
-    table = rows.limit(MOST_GRAMS + 1).toArrow().combine_chunks()
-    if table.num_rows > MOST_GRAMS:
-        raise ValueError(f"a language model of more than {MOST_GRAMS} grams")
-    table = table.take(pa.array(np.argsort(table.column("key").to_numpy()))).combine_chunks()
-    lists = table.column("where").combine_chunks()
-    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-    return Scorer(
-        langs,
-        np.array([least[lang] for lang in langs], np.int64),
-        table.column("key").to_numpy(),
-        np.concatenate([[0], np.cumsum(sizes)]),
-        lists.flatten().to_numpy().astype(np.int64),
-        table.column("more").combine_chunks().flatten().to_numpy().astype(np.int64),
-    )
+    rows = materialize(rows, "packed-model")
+    return PackedModel(rows, rows.count(), langs, np.array([least[lang] for lang in langs], np.int64))
 
 
-def detect_language(df: DataFrame, model: DataFrame, window: int | None = None, column: str = "text") -> DataFrame:
-    """Add `lang` and the unrounded `conf`; a text without known grams is
-    `unknown` with 0.0. Narrow, for tables and streams alike."""
-    shared = df.sparkSession.sparkContext.broadcast(scorer(model))
+def _narrow(df: DataFrame, model: PackedModel, text: Column) -> DataFrame:
+    """Adds `_tag`, the model going to every task."""
+    shared = df.sparkSession.sparkContext.broadcast(model.scorer())
 
     @F.pandas_udf("lang string, conf double")
     def tag(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scorer = shared.value
         for texts in batches:
-            yield pd.DataFrame([shared.value.best(t) for t in texts], columns=["lang", "conf"])
+            parts = []
+            for a, b in _pieces(texts):
+                doc, found = _grams(texts.iloc[a:b])
+                at, known = scorer.places(found)
+                sums = scorer.sums(*_counted(doc[known], at[known]), b - a)
+                parts.append(verdicts(scorer.langs, scorer.least, sums))
+            yield pd.concat(parts) if parts else verdicts([], scorer.least, np.zeros((0, 1), np.int64))
 
     # Marked so that the confidence gate is not pushed below the scoring.
-    tagged = df.withColumn("_tag", tag.asNondeterministic()(tx.head(F.col(column), window)))
+    return df.withColumn("_tag", tag.asNondeterministic()(text))
+
+
+#: unit: a shard of the model and a part of the batches. role 0: grams of the
+#: shard (keys, places, counts hold keys, languages and values, `docs` how many
+#: a gram has); 1: a batch's distinct grams of the shard, with per text and
+#: gram the text, the gram's place and its count.
+_PARCEL = "unit int, role int, batch long, keys binary, docs binary, places binary, counts binary"
+#: role 0: the row numbers of a batch; 1: texts of it and their sums in a shard.
+_SUMS = "batch long, role int, docs binary, sums binary"
+
+
+def _as_batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = zip(*rows, strict=True) if rows else [[] for _ in fields]
+    arrays = [pa.array(list(c), kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, [n for n, _ in fields])
+
+
+def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
+    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(33)) % np.uint64(shards)).astype(np.int64)
+
+
+def _model_parcels(shards: int, parts: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            piece = Scorer.of([], np.zeros(0), pa.Table.from_batches([batch]))
+            home = _shard(piece.keys, shards)
+            rows = []
+            for shard in np.unique(home):
+                at = np.flatnonzero(home == shard)
+                size = piece.bounds[at + 1] - piece.bounds[at]
+                entry = np.repeat(piece.bounds[at] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+                blobs = [x.tobytes() for x in (piece.keys[at], size, piece.where[entry], piece.more[entry])]
+                rows += [(int(shard) * parts + part, 0, 0, *blobs) for part in range(parts)]
+            yield _as_batch(_PARCEL, rows)
+
+    return run
+
+
+def _text_parcels(shards: int, parts: int) -> Callable:
+    """(row, text) to what each batch asks of each shard, and (unit -1) its rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        number = task << 32
+        for batch in batches:
+            texts, names = batch.column("_text").to_pandas(), batch.column("_row").to_numpy()
+            for a, b in _pieces(texts):
+                doc, found = _grams(texts.iloc[a:b])
+                keys, place = np.unique(found, return_inverse=True)
+                doc, place, times = _counted(doc, place)
+                home = _shard(keys, shards)
+                rows = [(-1, 0, number, b"", names[a:b].tobytes(), b"", b"")]
+                order = np.argsort(home[place], kind="stable")
+                cuts = np.searchsorted(home[place[order]], np.arange(shards + 1))
+                rank = np.zeros(len(keys), "<u4")
+                for shard in np.flatnonzero(np.diff(cuts)):
+                    own, at = np.flatnonzero(home == shard), order[cuts[shard] : cuts[shard + 1]]
+                    rank[own] = np.arange(len(own))
+                    blobs = (keys[own], doc[at].astype("<u4"), rank[place[at]], times[at].astype("<u4"))
+                    rows.append((int(shard) * parts + (task + number) % parts, 1, number, *(x.tobytes() for x in blobs)))
+                yield _as_batch(_PARCEL, rows)
+                number += 1
+
+    return run
+
+
+def _shard_sums(langs: list[str], least: np.ndarray) -> Callable:
+    """Units, sorted by unit and role, to the sums of each batch; a task holds
+    one shard and one batch's parcel at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, pieces, scorer = None, [], None
+
+        def held() -> Scorer:
+            keys, size, where, more = (
+                np.concatenate([np.frombuffer(p[i], np.int64) for p in pieces]) if pieces else np.zeros(0, np.int64)
+                for i in range(4)
+            )
+            start = np.cumsum(size) - size
+            order = np.argsort(keys)
+            size, start = size[order], start[order]
+            entry = np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+            return Scorer(langs, least, keys[order], np.append(0, np.cumsum(size)), where[entry], more[entry])
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                here, role, number, *blobs = (batch.column(i)[row].as_py() for i in range(batch.num_columns))
+                if here != unit:
+                    unit, pieces, scorer = here, [], None
+                if role == 0:
+                    pieces.append(blobs)
+                    continue
+                if scorer is None:
+                    scorer, pieces = held(), []
+                at, known = scorer.places(np.frombuffer(blobs[0], np.int64))
+                doc, place, times = (np.frombuffer(x, "<u4").astype(np.int64) for x in blobs[1:])
+                some = known[place]
+                names, local = np.unique(doc[some], return_inverse=True)
+                sums = scorer.sums(local, at[place[some]], times[some], len(names))
+                yield _as_batch(_SUMS, [(number, 1, names.astype("<u4").tobytes(), sums.tobytes())])
+
+    return run
+
+
+def _batch_verdicts(langs: list[str], least: np.ndarray) -> Callable:
+    """Sums, sorted by batch and role, to (row, lang, conf); a task holds one batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, sums = np.zeros(0, np.int64), np.zeros((0, 0), np.int64)
+
+        def finished() -> pa.RecordBatch:
+            out = verdicts(langs, least, sums)
+            columns = [pa.array(rows), pa.array(list(out["lang"]), pa.string()), pa.array(out["conf"].to_numpy())]
+            return pa.RecordBatch.from_arrays(columns, ["_row", "lang", "conf"])
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                role, docs, more = (batch.column(c)[row].as_py() for c in ("role", "docs", "sums"))
+                if role == 0:
+                    if len(rows):
+                        yield finished()
+                    rows = np.frombuffer(docs, np.int64)
+                    sums = np.zeros((len(rows), len(langs) + 1), np.int64)
+                else:
+                    sums[np.frombuffer(docs, "<u4")] += np.frombuffer(more, np.int64).reshape(-1, sums.shape[1])
+        if len(rows):
+            yield finished()
+
+    return run
+
+
+def _sharded(df: DataFrame, model: PackedModel, text: Column, shard_grams: int) -> DataFrame:
+    """Adds `_tag` with the model in shards of about shard_grams grams. Batches
+    of texts send their distinct grams once to each shard, and get sums per
+    text back; the batches are dealt out over as many copies of the shards as
+    fill the shuffle partitions, so that few shards do not mean few tasks."""
+    spark = df.sparkSession
+    shards = -(-model.grams // shard_grams)
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // shards)
+    # Written, so that a row keeps its number however often it is read.
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows-to-tag")
+    sent = materialize(rows.select("_row", text.alias("_text")).mapInArrow(_text_parcels(shards, parts), _PARCEL), "grams")
+    known = model.rows.mapInArrow(_model_parcels(shards, parts), _PARCEL)
+    work = known.unionByName(sent.filter("unit >= 0")).repartition(shards * parts, "unit")
+    sums = work.sortWithinPartitions("unit", "role", "batch").mapInArrow(_shard_sums(model.langs, model.least), _SUMS)
+    own = sent.filter("unit < 0").select("batch", "role", "docs", F.col("keys").alias("sums"))
+    work = sums.unionByName(own).repartition("batch").sortWithinPartitions("batch", "role")
+    told = work.mapInArrow(_batch_verdicts(model.langs, model.least), "_row long, lang string, conf double")
+    told = told.select("_row", F.struct("lang", "conf").alias("_tag"))
+    return rows.join(told, "_row").drop("_row")
+
+
+def detect_language(
+    df: DataFrame,
+    model: DataFrame | PackedModel,
+    window: int | None = None,
+    column: str = "text",
+    shard_grams: int = SHARD_GRAMS,
+) -> DataFrame:
+    """Add `lang` and the unrounded `conf`; a text without known grams is
+    `unknown` with 0.0. A model of at most shard_grams grams goes to every task:
+    a narrow step for tables and streams alike. A larger one stays in shards of
+    that size, and sums travel instead; the same whole numbers are added up, so
+    the tags are the same. On a stream that takes `foreachBatch`."""
+    ready = model if isinstance(model, PackedModel) else packed(model)
+    text = tx.head(F.col(column), window)
+    if ready.grams <= shard_grams:
+        tagged = _narrow(df, ready, text)
+    elif df.isStreaming:
+        raise ValueError("a model in shards tags the tables of foreachBatch, not a stream")
+    else:
+        tagged = _sharded(df, ready, text, shard_grams)
     return tagged.withColumn("lang", F.col("_tag.lang")).withColumn("conf", F.col("_tag.conf")).drop("_tag")
 
 
@@ -171,9 +423,12 @@ def confident(df: DataFrame, minimum: float = 0.8) -> DataFrame:
     return df.filter(F.col("conf") >= minimum)
 
 
-def tag_documents(df: DataFrame, model: DataFrame, s: Settings = Settings()) -> DataFrame:
+def tag_documents(
+    df: DataFrame, model: DataFrame | PackedModel, s: Settings = Settings(), shard_grams: int = SHARD_GRAMS
+) -> DataFrame:
     """Language, gate, rounded confidence, domain."""
-    tagged = confident(detect_language(df, model, s.lang_window), s.min_lang_confidence)
+    detected = detect_language(df, model, s.lang_window, shard_grams=shard_grams)
+    tagged = confident(detected, s.min_lang_confidence)
     return tagged.withColumns(
         {
             "lang_confidence": F.round("conf", 3),

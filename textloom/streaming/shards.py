@@ -23,14 +23,24 @@ def tag_new_shards(
     model: DataFrame,
     s: Settings = Settings(),
     shards_per_batch: int = 1_000,
+    shard_grams: int = language.SHARD_GRAMS,
 ) -> StreamingQuery:
-    """Filter, extract, repair and tag the new shards, appending to `out`."""
+    """Filter, extract, repair and tag the new shards, appending to `out`.
+
+    With a language model of more than shard_grams grams, which no task holds
+    whole, each batch of shards is a table of its own, `batch=<number>` in `out`;
+    a batch that is run again replaces it.
+    """
     arriving = spark.readStream.schema(DOCUMENT).option("maxFilesPerTrigger", shards_per_batch).json(shards)
-    tagged = language.tag_documents(clean(arriving, s), model, s)
-    return (
-        tagged.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", log)
-        .trigger(availableNow=True)
-        .start()
-    )
+    ready = language.packed(model)
+    if ready.grams <= shard_grams:
+        tagged = language.tag_documents(clean(arriving, s), ready, s, shard_grams)
+        writer = tagged.writeStream.format("parquet").option("path", out)
+    else:
+
+        def tag(docs: DataFrame, number: int) -> None:
+            tagged = language.tag_documents(clean(docs, s), ready, s, shard_grams)
+            tagged.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+        writer = arriving.writeStream.foreachBatch(tag)
+    return writer.option("checkpointLocation", log).trigger(availableNow=True).start()
