@@ -1,15 +1,16 @@
 """HTML to text with built-in expressions.
 
 Comments, scripts and styles go first, in one leftmost-first pass, because a
-script may hold tags and comment marks inside strings. Then the text is cut
-once at every tag, and one walk over the pieces with a stack of open elements
-finds what lies inside page furniture, at any depth: an element ends with its
-own end tag, or with that of an element around it if it was never closed.
+script may hold tags and comment marks inside strings. Then one walk over the
+tags with a stack of open elements finds what lies inside page furniture, at any
+depth: an element ends with its own end tag, or with that of an element around
+it if it was never closed. The walk takes time in proportion to the page.
 """
 
 from __future__ import annotations
 
 import html
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -30,12 +31,15 @@ _OPEN_END = r"(?=[\s/>])[^>]*(?<!/)>"
 _CLOSE_END = r"(?=[\s/>])[^>]*>"
 _RAW = "|".join(RAW_ELEMENTS)
 RAW_PASS = rf"(?is)<!--.*?(?:-->|\z)|<({_RAW}){_OPEN_END}.*?(?:</\1{_CLOSE_END}|\z)"
-TAG_NAME = r"^</?([a-zA-Z][^\s/>]*)"
+# A tag and what follows it, up to the next one; the name of a tag.
+_PIECE = re.compile("</?[a-zA-Z]")
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)", re.ASCII)
 # A '>' inside a quoted attribute value does not end the tag.
 TAG_PASS = (
     r"""(?s)</?[a-zA-Z](?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+>"""
     r"""|<[!?][^>]*>|</[^a-zA-Z>][^>]*>"""
 )
+_TAG = re.compile(TAG_PASS, re.ASCII)
 
 
 def looks_like_html(text: Column, window: int | None = None) -> Column:
@@ -60,91 +64,104 @@ def unescape_entities(text: Column) -> Column:
     """Named and numeric character references to characters.
 
     The name table has over two thousand entries and numeric references need a
-    function per match, so this is the one Python step here. Texts without an
-    ampersand go in as null and cost nothing.
+    function per match, so this is a Python step. Texts without an ampersand go
+    in as null and cost nothing.
     """
     return F.coalesce(unescape(F.when(F.contains(text, F.lit("&")), text)), text)
 
 
-def _furniture_spans(pieces: Column) -> Column:
-    """Ranges of pieces [since, until) inside furniture; each piece after the
-    first starts with a tag."""
-    tags = F.transform(
-        pieces,
-        lambda p, i: F.struct(
-            i.alias("at"),
-            F.lower(F.regexp_extract(p, TAG_NAME, 1)).alias("name"),
-            F.startswith(p, F.lit("</")).alias("ends"),
-            F.rlike(p, F.lit(r"(?s)^<[^>]*/>")).alias("empty"),
-        ),
-    )
-    tags = F.filter(tags, lambda t: (t["name"] != "") & ~t["name"].isin(*VOID))
-    span = "struct<since:int,until:int>"
-    start = F.struct(
-        F.array().cast("array<string>").alias("open"),
-        F.lit(-1).alias("depth"),
-        F.lit(0).alias("since"),
-        F.array().cast(f"array<{span}>").alias("spans"),
-    )
-
-    def state(open_: Column, depth: Column, since: Column, spans: Column) -> Column:
-        return F.struct(open_.alias("open"), depth.alias("depth"), since.alias("since"), spans.alias("spans"))
-
-    def opened(s: Column, t: Column) -> Column:
-        hides = (s["depth"] < 0) & t["name"].isin(*FURNITURE)
-        again = t["name"].isin(*IMPLIED) & F.coalesce(F.try_element_at(s["open"], F.lit(-1)) == t["name"], F.lit(False))
-        deeper = F.when(again, s["open"]).otherwise(F.array_append(s["open"], t["name"]))
-        depth = F.when(hides, F.size(s["open"])).otherwise(s["depth"])
-        pushed = state(deeper, depth, F.when(hides, t["at"]).otherwise(s["since"]), s["spans"])
-        return F.when(t["empty"] & t["name"].isin(*FURNITURE), s).otherwise(pushed)
-
-    def ended(s: Column, t: Column) -> Column:
-        back = F.array_position(F.reverse(s["open"]), t["name"]).cast("int")
-        left = F.size(s["open"]) - back
-        shown = (s["depth"] >= left) & (s["depth"] >= 0)
-        new = F.struct(s["since"].alias("since"), t["at"].alias("until"))
-        closed = state(
-            F.slice(s["open"], F.lit(1), left),
-            F.when(shown, F.lit(-1)).otherwise(s["depth"]),
-            s["since"],
-            F.when(shown, F.array_append(s["spans"], new)).otherwise(s["spans"]),
-        )
-        return F.when(back > 0, closed).otherwise(s)
-
-    last = F.struct(F.lit(0).alias("since"), F.size(pieces).alias("until"))
+def furniture_spans(page: str) -> list[tuple[int, int]]:
+    """Ranges of characters inside furniture, in order; time goes with the
+    page's length. `places` has, per name, where in the stack of open elements
+    it stands, so that an end tag finds its element without a search, and each
+    element leaves the stack once."""
+    stack: list[str] = []
+    places: dict[str, list[int]] = {}
+    spans = []
+    depth, since = -1, 0  # of the outermost open furniture
+    at = _PIECE.search(page)
+    while at:
+        begin = at.start()
+        after = _PIECE.search(page, at.end())
+        end = after.start() if after else len(page)
+        at = after
+        name = _NAME.match(page, begin, end)[1].lower()
+        if name in VOID:
+            continue
+        if page[begin + 1] == "/":
+            left = places.get(name)
+            if not left:
+                continue
+            keep = left[-1]
+            while len(stack) > keep:
+                places[stack.pop()].pop()
+            if depth >= keep:
+                spans.append((since, begin))
+                depth = -1
+            continue
+        furniture = name in FURNITURE
+        if furniture:
+            close = page.find(">", begin, end)
+            if close > 0 and page[close - 1] == "/":
+                continue
+            if depth < 0:
+                depth, since = len(stack), begin
+        if name in IMPLIED and stack and stack[-1] == name:
+            continue
+        places.setdefault(name, []).append(len(stack))
+        stack.append(name)
+    return [*spans, (since, len(page))] if depth >= 0 else spans
+
+
+def without_furniture(page: str) -> str:
+    """The page without furniture elements, each replaced by a blank."""
+    shown, last = [], 0
+    for since, until in furniture_spans(page):
+        shown.append(page[last:since])
+        last = until
+    return " ".join([*shown, page[last:]])
+
+
+def _visible(page: str) -> str:
+    """A page with furniture to text: furniture, tags, references."""
+    shown = without_furniture(page)
+    last = shown.rfind(">") + 1
+    return html.unescape(_TAG.sub(" ", shown[:last]) + shown[last:])
 
-    def finish(s: Column) -> Column:
-        rest = F.struct(s["since"].alias("since"), last["until"].alias("until"))
-        return F.when(s["depth"] >= 0, F.array_append(s["spans"], rest)).otherwise(s["spans"])
 
-    return F.aggregate(tags, start, lambda s, t: F.when(t["ends"], ended(s, t)).otherwise(opened(s, t)), finish)
-
-
-def drop_furniture(text: Column) -> Column:
-    """The text without furniture elements, each replaced by a blank."""
+@F.pandas_udf(T.StringType())
+def _read(pages: pd.Series, furnished: pd.Series) -> pd.Series:
+    pairs = zip(pages, furnished, strict=True)
+    return pd.Series([None if p is None else _visible(p) if f else html.unescape(p) for p, f in pairs], dtype=object)
 
-    def cut(pieces: Column) -> Column:
-        def shown(spans: Column) -> Column:
-            # A hidden piece leaves nothing, a range of them one blank.
-            def keep(p: Column, i: Column) -> Column:
-                hidden = F.exists(spans, lambda s: (s["since"] <= i) & (i < s["until"]))
-                return F.when(hidden, F.lit(" ")).otherwise(p)
 
-            return F.array_join(F.transform(pieces, keep), "")
+read = _read.asNondeterministic()
 
-        return tx.bind(_furniture_spans(pieces), shown)
 
-    some = text.rlike(rf"(?i)<(?:{'|'.join(FURNITURE)})[\s/>]")
-    return F.when(some, tx.bind(F.split(text, r"(?=</?[a-zA-Z])", -1), cut)).otherwise(text)
+def drop_tags(text: Column) -> Column:
+    """Every tag to a blank. No tag ends behind the last '>', so what is left of
+    the text there is not searched again from every '<' in it."""
+    rest = F.substring_index(text, ">", -1)
+    tagged = F.left(text, F.length(text) - F.length(rest))
+    return F.concat(F.regexp_replace(tagged, TAG_PASS, " "), rest)
 
 
 def html_to_text(df: DataFrame, column: str) -> DataFrame:
     """Replace an HTML column by its text. One projection per step, so that no
-    step is computed once per use of its result."""
+    step is computed once per use of its result.
+
+    Pages with furniture, and those with references, take one Python step over
+    Arrow batches; others go in as null. Furniture needs a stack of open
+    elements, which a fold over an array copies at every tag.
+    """
+    page, own = F.col(column), F.col("_own")
+    some = F.rlike(page, F.lit(rf"(?i)<(?:{'|'.join(FURNITURE)})[\s/>]"))
     return (
-        df.withColumn(column, F.regexp_replace(F.col(column), RAW_PASS, " "))
-        .withColumn(column, drop_furniture(F.col(column)))
-        .withColumn(column, F.regexp_replace(F.col(column), TAG_PASS, " "))
-        .withColumn(column, unescape_entities(F.col(column)))
-        .withColumn(column, tx.collapse(F.col(column)))
+        df.withColumn(column, F.regexp_replace(page, RAW_PASS, " "))
+        .withColumn("_furnished", F.coalesce(some, F.lit(False)))
+        .withColumn(column, F.when(F.col("_furnished"), page).otherwise(drop_tags(page)))
+        .withColumn("_own", F.when(F.col("_furnished") | F.contains(page, F.lit("&")), page))
+        .withColumn("_own", read(own, F.col("_furnished")))
+        .withColumn(column, tx.collapse(F.coalesce(own, page)))
+        .drop("_own", "_furnished")
     )
