@@ -1,11 +1,13 @@
-from dataclasses import replace
+from dataclasses import fields, replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from textloom.config import Settings
 from textloom.operators import language as lg
+from textloom.operators.counters import Counters
 from textloom.plans import stages
+from textloom.plans.saved import content_key
 from textloom.session import discard, materialize, scratch_root
 from textloom.sources import shards as sh
 from textloom.streaming.shards import tag_new_shards
@@ -39,6 +41,84 @@ def test_saved_stages_and_result(spark, corpus, model, tmp_path):
     assert trained.validation.first().docs_sampled == 20
 
 
+def written_at(folder):
+    return {p.name: (p / "_manifest.json").stat().st_mtime_ns for p in folder.iterdir()}
+
+
+def test_a_run_takes_up_from_the_stages_that_are_valid(spark, corpus, model, tmp_path, monkeypatch):
+    """Killed while near-duplicates are written; again with other settings, with
+    a damaged stage, and with other documents of the same number."""
+    folder = tmp_path / "s"
+
+    def run(s=Settings(), docs=corpus):
+        seen = Counters()
+        rows = stages.prepare(docs, model, s, save_dir=str(folder), counters=seen).collect()
+        return sorted(map(str, rows)), [tuple(r) for r in seen.table(spark).collect()]
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(stages.dedup, "deduplicate", killed)
+        with pytest.raises(KeyboardInterrupt):
+            run()
+    early = written_at(folder)
+    assert set(early) == {"filtered", "extracted", "recovered", "tagged"}
+    rows, counts = run()
+    full = written_at(folder)
+    assert {n: full[n] for n in early} == early and set(full) == {*early, "unique", "balanced"}
+
+    plain = Counters()
+    fresh = stages.prepare(corpus, model, counters=plain)
+    assert rows == sorted(map(str, fresh.select(spark.read.parquet(f"{folder}/balanced").columns).collect()))
+    assert counts == [tuple(r) for r in plain.table(spark).collect()]
+    assert [c[0] for c in counts] == ["filtered", "extracted", "recovered", "tagged", "unique", "balanced"]
+    assert counts[0][1] == corpus.count() and counts[-1][2] == len(rows)
+
+    assert run() == (rows, counts) and written_at(folder) == full  # nothing is left to do
+    run(replace(Settings(), random_seed=7))
+    assert {n for n, at in written_at(folder).items() if at != full[n]} == {"balanced"}
+    run(replace(Settings(), vocab_size=99, random_seed=7))
+    reseeded = written_at(folder)
+    assert {n for n, at in reseeded.items() if at != full[n]} == {"balanced"}
+    next((folder / "tagged").glob("part-*")).unlink()
+    run(replace(Settings(), random_seed=7))
+    mended = written_at(folder)
+    assert {n for n, at in mended.items() if at != reseeded[n]} == {"tagged"}
+    (folder / "unique" / "_manifest.json").write_text('{"stage": ')
+    changed = corpus.withColumn("text", F.when(F.col("ord") == 7, F.concat("text", F.lit(" more"))).otherwise(F.col("text")))
+    again, _ = run(docs=changed)
+    assert all(at != mended[n] for n, at in written_at(folder).items())
+    assert sum("more" in r for r in again) >= sum("more" in r for r in rows)
+
+
+def test_every_setting_belongs_to_a_stage_or_to_none():
+    """A setting that a stage looks at, but does not name, would leave old rows."""
+    later = {"vocab_size", "min_frequency", "validation_docs", "run_id", "max_docs"}
+    named = [name for uses in stages.USES.values() for name in uses]
+    assert len(named) == len(set(named)) and set(named) | later == {f.name for f in fields(Settings)}
+
+
+def test_content_key_knows_rows_and_not_their_order(spark):
+    df = spark.createDataFrame([(1, "a", {"k": "v"}), (2, None, None), (2, None, None)], "id int, t string, m map<string,string>")
+    assert content_key(df) == content_key(df.orderBy(F.desc("id")).repartition(2))
+    for other in (df.limit(2), df.withColumnRenamed("t", "u"), df.fillna("", ["t"])):
+        assert content_key(other) != content_key(df)
+
+
+def test_counting_takes_no_job(spark, corpus):
+    """The counts come with the write, in the one job of the stages."""
+    seen = Counters()
+    group = "counting"
+    spark.sparkContext.setJobGroup(group, group)
+    out = seen.watch(seen.watch(corpus, "input").filter("length(text) > 500"), "long")
+    out.write.format("noop").mode("overwrite").save()
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    assert seen.docs("input") == corpus.count() and 0 < seen.docs("long") < seen.docs("input")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert before == 1
+
+
 def test_stream_takes_each_shard_once(spark, corpus, model, tmp_path):
     docs = corpus.select("id", "text", "source", F.create_map(F.lit("k"), F.lit("v")).alias("meta"))
     args = [str(tmp_path / n) for n in ("in", "out", "log")]

@@ -3,7 +3,7 @@
 Filtering, extraction, repair and tagging are narrow: together they are one
 pass. Removing near-duplicates and rebalancing read their input more than once,
 so it is written before each of them: to `save_dir` if the stages are to be
-kept, else to the shared scratch folder.
+kept, else to the shared scratch folder. Kept stages are taken up again.
 """
 
 from __future__ import annotations
@@ -16,26 +16,27 @@ from textloom.config import Settings
 from textloom.operators import bpe_train as bt
 from textloom.operators import dedup, encoding, extract, filters, language, rebalance
 from textloom.operators import validate as vl
-from textloom.session import materialize
+from textloom.operators.counters import Counters
+from textloom.plans.saved import Stages, content_key, digest
 
 
-def _saved(df: DataFrame, stage: str, save_dir: str | None) -> DataFrame:
-    if save_dir is None:
-        return df
-    path = f"{save_dir}/{stage}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: The settings that each stage looks at.
+USES = {
+    "filtered": ("min_chars", "max_chars", "max_html_ratio", "min_avg_line_len", "binary_window"),
+    "extracted": ("sniff_window",),
+    "recovered": (),
+    "tagged": ("min_lang_confidence", "lang_window", "domain_window"),
+    "unique": ("minhash_threshold", "minhash_perms", "shingle_size"),
+    "balanced": ("max_lang_fraction", "target_docs", "random_seed", "shard_size"),
+}
 
 
-def _written(df: DataFrame, stage: str, save_dir: str | None) -> DataFrame:
-    return _saved(df, stage, save_dir) if save_dir else materialize(df, stage)
-
-
-def clean(docs: DataFrame, s: Settings = Settings(), save_dir: str | None = None) -> DataFrame:
+def clean(docs: DataFrame, s: Settings = Settings(), run: Stages | None = None) -> DataFrame:
     """Filter, extract, repair."""
-    kept = _saved(filters.content_filter(docs, s), "filtered", save_dir)
-    text = _saved(extract.extract_text(kept, s), "extracted", save_dir)
-    return _saved(encoding.recover_encoding(text), "recovered", save_dir)
+    run = run or Stages(docs, s)
+    kept = run.step("filtered", USES["filtered"], lambda: filters.content_filter(docs, s))
+    text = run.step("extracted", USES["extracted"], lambda: extract.extract_text(kept, s))
+    return run.step("recovered", USES["recovered"], lambda: encoding.recover_encoding(text))
 
 
 def prepare(
@@ -44,12 +45,26 @@ def prepare(
     s: Settings = Settings(),
     order: str = "ord",
     save_dir: str | None = None,
+    input_id: str | None = None,
+    counters: Counters | None = None,
 ) -> DataFrame:
     """Documents (order, id, text, ...) to the balanced corpus, with `position`
-    and `shard`. `model` is a fitted language model."""
-    tagged = _written(language.tag_documents(clean(docs, s, save_dir), model, s), "tagged", save_dir)
-    unique = _written(dedup.deduplicate(tagged, order, s), "unique", save_dir)
-    return _saved(rebalance.rebalance(unique, s), "balanced", save_dir)
+    and `shard`. `model` is a fitted language model.
+
+    With `save_dir` every stage is kept there, and a run takes up from the
+    stages that an earlier one finished with the same input, model and settings.
+    The input is told by its content, in a pass of its own, or by `input_id`, a
+    name that the caller changes with it. `counters` get the documents of the
+    input and of every stage from the jobs that write the stages.
+    """
+    key = models = ""
+    if save_dir:
+        key, models = input_id or content_key(docs), content_key(model)
+    run = Stages(docs, s, save_dir, digest(key, order), counters)
+    cleaned = clean(run.docs, s, run)
+    tagged = run.step("tagged", USES["tagged"], lambda: language.tag_documents(cleaned, model, s), True, models)
+    unique = run.step("unique", USES["unique"], lambda: dedup.deduplicate(tagged, order, s), True)
+    return run.step("balanced", USES["balanced"], lambda: rebalance.rebalance(unique, s), counters is not None)
 
 
 @dataclass
