@@ -1,10 +1,12 @@
 import math
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import odd
-from textloom.llm import crossentropy, queries
+from textloom.llm import crossentropy, postings, queries
 
 
 def plain(rows, target, most=crossentropy.VOCABULARY_MOST):
@@ -100,3 +102,34 @@ def test_vocabulary_keeps_whole_counts(spark):
     words, unigrams = crossentropy.vocabulary(counts, 4)
     assert sorted(words.hashes.tolist()) == [0, 1] and unigrams.sum(axis=0).tolist() == [18, 10]
     assert len(crossentropy.vocabulary(counts, 5)[0].hashes) == 5
+
+
+def test_counts_merged_as_they_come(monkeypatch):
+    """Parcels of many batches, merged ever and again, sum up as a dictionary
+    does; a request meets the whole of its shard."""
+    monkeypatch.setattr(postings, "PENDING", 5)
+    rng = np.random.default_rng(3)
+    parcels, want = [], Counter()
+    for batch in range(40):
+        keys = rng.integers(0, 60, 25).astype(np.uint64)
+        marks = rng.integers(0, 2, 25).astype(bool)
+        for k, m in zip(keys.tolist(), marks.tolist(), strict=True):
+            want[k, 0] += 1
+            want[k, 1] += m
+        parcels.append(postings.count_parcels(keys, marks, 3, batch, "<u8"))
+    table = pa.Table.from_batches(parcels).sort_by("shard").combine_chunks()
+    got = Counter()
+    for out in postings.sum_counts("<u8")(iter(table.to_batches(max_chunksize=7))):
+        for row in out.to_pylist():
+            keys = np.frombuffer(row["keys"], "<u8")
+            assert (np.diff(keys.astype(np.int64)) > 0).all()
+            for i, c in enumerate(("a", "b")):
+                got.update({(k, i): n for k, n in zip(keys.tolist(), np.frombuffer(row[c], "<i8").tolist(), strict=True)})
+    assert +got == +want
+
+    names = np.arange(0, 50, 2).astype(np.uint64)
+    model = [postings.parcel([[0], [0], [0], [n.tobytes()], [(n * 3).astype("<u4").tobytes()], [b""]]) for n in (names[9:], names[:9])]
+    asks = [postings.parcel([[0], [1], [b], [names[b:].tobytes()], [b""], [b""]]) for b in (4, 5)]
+    for (shard, batch, keys, _), held, values in postings.served(iter([*model, *asks]), "<u8", "<u4"):
+        assert shard == 0 and keys.tolist() == names[batch:].tolist()
+        assert held.tolist() == names.tolist() and values.tolist() == (names * 3).tolist()

@@ -50,6 +50,7 @@ from textloom.llm.common import (
 VOCABULARY_MOST = 65_000  # words that are broadcast
 UNKNOWN = 0
 HOT_SHARE = 20_000
+SHARD_TOKENS = 2_000_000  # a shard of bigrams has at most about so many, all being distinct
 KIND = "<u8"
 ASK = np.uint32(1 << 31)  # with a word's place among the distinct words that a batch asks for
 WORD = np.uint64(0xFFFFFFFF << 32)  # with a word's number: the key of its own value
@@ -148,14 +149,10 @@ def found(names: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of a shard and what batches ask of it to the numbers (b) of the
     words (a: places) that are in the vocabulary, by batch (role 1)."""
-    for shard, parts in by_key(batches, "shard"):
-        names, numbers = postings.gathered(parts[0].column("keys"), KIND), postings.gathered(parts[0].column("a"), "<u4")
-        order = np.argsort(names)
-        names, numbers = names[order], numbers[order]
-        for row in parts[1].to_pylist():
-            place, known = found(names, np.frombuffer(row["keys"], KIND))
-            at = np.frombuffer(row["a"], "<u4")[known]
-            yield postings.parcel([[shard], [1], [row["batch"]], [b""], [at.tobytes()], [numbers[place[known]].tobytes()]])
+    for (shard, batch, keys, at), names, numbers in postings.served(batches, KIND, "<u4"):
+        place, known = found(names, keys)
+        blobs = np.frombuffer(at, "<u4")[known].tobytes(), numbers[place[known]].tobytes()
+        yield postings.parcel([[shard], [1], [batch], [b""], *([x] for x in blobs)])
 
 
 def resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,15 +273,11 @@ def value_asks(end: int, shards: int) -> Callable:
 
 def value_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """To (role 1) the numbers and VALUEs that each shard of bigrams asked for."""
-    for _, parts in by_key(batches, "shard"):
-        numbers, values = (postings.gathered(parts[0].column(c), k) for c, k in (("keys", "<u4"), ("a", VALUE)))
-        order = np.argsort(numbers)
-        numbers, values = numbers[order], values[order]
-        for row in parts[1].select(["batch", "keys"]).to_pylist():
-            place, known = found(numbers, np.frombuffer(row["keys"], "<u4"))
-            place = place[known]
-            blobs = [numbers[place].tobytes()], [values[place].tobytes()], [b""]
-            yield postings.parcel([[row["batch"]], [1], [0], *blobs])
+    for (_, asked_by, keys, _), numbers, values in postings.served(batches, "<u4", VALUE):
+        place, known = found(numbers, keys)
+        place = place[known]
+        blobs = [numbers[place].tobytes()], [values[place].tobytes()], [b""]
+        yield postings.parcel([[asked_by], [1], [0], *blobs])
 
 
 def gain_rows(model: Model, most: int) -> Callable:
@@ -433,7 +426,7 @@ def score(documents: DataFrame, target: DataFrame, id_col: str = "doc_id", text_
     rows = docs.select(F.count(F.lit(1)).alias("d"), F.count_if("target").alias("t")).first()
     tokens = counts.agg(F.sum("n").alias("n"), F.sum("in_target").alias("t")).first()
     all_tokens = np.array([tokens["n"] or 0, tokens["t"] or 0])
-    shards = shuffle_partitions(spark)
+    shards = max(shuffle_partitions(spark), int(all_tokens[0]) // SHARD_TOKENS)
     least = int(unigrams[1:-1, 1].min()) if words.end > 1 else None
     others = counts.filter("in_target > 1" if least is None else f"in_target > 1 and in_target < {least}")
     others, n_others, in_others = numbered(others, words.end + 1, shards)

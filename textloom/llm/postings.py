@@ -91,25 +91,71 @@ def split(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(group[part[0]]), part
 
 
+#: Entries of parcels that wait for a merge, beside as many as are merged already.
+PENDING = 1 << 19
+
+
 def sum_counts(kind: str) -> Callable:
-    """Parcels of counts, sorted by shard, to one row (role 0) per shard."""
+    """Parcels of counts, sorted by shard, to one row (role 0) per shard. Parcels
+    are merged as they come: a task holds a shard's distinct keys twice over,
+    however many batches have them."""
+
+    def merged(parts: list[tuple]) -> list[tuple]:
+        keys, *counts = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.argsort(keys, kind="stable")  # of sorted runs
+        keys = keys[order]
+        head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        return [(keys[head], *(np.add.reduceat(c[order], head) for c in counts))] if len(keys) else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ["shard"], 1):
-            starts = group_starts(table, ["shard"])
-            for a, b in zip(starts, np.append(starts[1:], table.num_rows), strict=True):
-                part = table.slice(a, b - a)
-                keys = gathered(part.column("keys"), kind)
-                names, inverse = np.unique(keys, return_inverse=True)
-                sums = [
-                    np.bincount(inverse, gathered(part.column(c), "<u4"), len(names)).astype("<i8") for c in ("a", "b")
-                ]
-                shard = part.column("shard")[0].as_py()
-                yield parcel([[shard], [0], [0], [names.tobytes()], [sums[0].tobytes()], [sums[1].tobytes()]])
+        shard, parts, waiting = None, [], 0
+
+        def finished() -> pa.RecordBatch:
+            done = merged(parts)
+            blobs = [x.tobytes() for x in done[0]] if done else [b""] * 3
+            return parcel([[shard], [0], [0], *([x] for x in blobs)])
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                here = batch.column("shard")[row].as_py()
+                if here != shard:
+                    if shard is not None:
+                        yield finished()
+                    shard, parts, waiting = here, [], 0
+                keys, *counts = (batch.column(c)[row].as_buffer() for c in ("keys", "a", "b"))
+                # Copies, so that no batch is kept for the sake of a parcel.
+                part = np.frombuffer(keys, kind).copy(), *(np.frombuffer(c, "<u4").astype("<i8") for c in counts)
+                parts.append(part)
+                waiting += len(part[0])
+                if waiting > max(PENDING, len(parts[0][0])):
+                    parts, waiting = merged(parts), 0
+        if shard is not None:
+            yield finished()
 
     return run
 
 
+def served(batches: Iterator[pa.RecordBatch], kind: str, value: np.dtype | str) -> Iterator[tuple]:
+    """Values of a shard (role 0: keys, a) and what is asked of it (role 1), sorted
+    by shard and role: per request its row as (shard, batch, keys, a), and the
+    shard's sorted keys and values. A request is held by itself."""
+    shard, parts, names, values = None, [], np.zeros(0, kind), np.zeros(0, value)
+    for batch in batches:
+        for row in range(batch.num_rows):
+            here, role, number = (batch.column(c)[row].as_py() for c in ("shard", "role", "batch"))
+            keys, a = (batch.column(c)[row].as_buffer() for c in ("keys", "a"))
+            if here != shard:
+                shard, parts, names, values = here, [], np.zeros(0, kind), np.zeros(0, value)
+            if role == 0:
+                parts.append((np.frombuffer(keys, kind).copy(), np.frombuffer(a, value).copy()))
+                continue
+            if parts:
+                names, values = (np.concatenate(c) for c in zip(*parts, strict=True))
+                order = np.argsort(names)
+                names, values, parts = names[order], values[order], []
+            yield (shard, number, np.frombuffer(keys, kind), a), names, values
+
+
 def gathered(column: pa.ChunkedArray, kind: str) -> np.ndarray:
     parts = [np.frombuffer(x.as_buffer(), kind) for x in column if x.as_py() is not None]
     return np.concatenate(parts) if parts else np.zeros(0, kind)
