@@ -50,7 +50,7 @@ from textloom.llm.common import (
 VOCABULARY_MOST = 65_000  # words that are broadcast
 UNKNOWN = 0
 HOT_SHARE = 20_000
-SHARD_TOKENS = 8_000_000  # a shard of bigrams has at most about so many, were all distinct
+SHARD_TOKENS = 2_000_000  # a shard of bigrams has at most about so many, were all distinct
 KIND = "<u8"
 ASK = np.uint32(1 << 31)  # with a word's place among the distinct words that a batch asks for
 WORD = np.uint64(0xFFFFFFFF << 32)  # with a word's number: the key of its own value
