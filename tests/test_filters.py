@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.operators import counters
+from textloom.operators import boilerplate, counters
 from textloom.operators import filters as ft
 
 LONG = "word " * 40
@@ -44,3 +44,17 @@ def test_counters_of_an_empty_frame(spark):
     df = spark.createDataFrame([], "ok boolean")
     row = counters.stage_counters(df, F.col("ok"), "filter").first()
     assert (row.docs_in, row.docs_out, row.percent) == (0, 0, 0.0)
+
+
+@pytest.mark.parametrize("most", [1, 3, 20_000])
+def test_common_lines_go_however_many_are_broadcast(spark, monkeypatch, most):
+    """One line is in every document, some in a few; which of them are sent to
+    all tasks changes nothing."""
+    monkeypatch.setattr(boilerplate, "HOT_LINES", most)
+    texts = {i: "\n".join(["all rights", f"own {i}", f"part {i % 20}", " ", f"part {i % 20}", "all rights "]) for i in range(100)}
+    texts |= {100: None, 101: "", 102: "own\n\nown 2 "}
+    df = spark.createDataFrame(list(texts.items()), "id int, text string")
+    repeated = boilerplate.repeated_lines(df, 5)
+    got = {r.id: (r.text, r.dropped_lines) for r in boilerplate.drop_repeated_lines(df, repeated, "id").collect()}
+    want = {i: (f"own {i}\n ", 4) for i in range(100)}
+    assert got == want | {i: (texts[i], 0) for i in (100, 101, 102)}
