@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: While a step is written: Arrow batches of rows that are megabytes each stay small,
+#: on both sides of the pipe, and the shuffle files of the step go at its end, as what
+#: they led to stands in the written table.
+STEP = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+
+
+@contextmanager
+def step_settings(spark: SparkSession) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in STEP}
+    for key, value in STEP.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def stepped(df: DataFrame, name: str) -> DataFrame:
+    """`written` for steps that hand on parcels: bounded batches, no shuffle files left."""
+    with step_settings(df.sparkSession):
+        return written(df, name)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

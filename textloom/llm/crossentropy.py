@@ -42,6 +42,7 @@ from textloom.llm.common import (
     lowered,
     shuffle_partitions,
     sliced,
+    stepped,
     whole_groups,
     word_hashes,
     written,
@@ -408,7 +409,7 @@ def numbered(others: DataFrame, first: int, shards: int) -> tuple[DataFrame, int
     number = F.element_at(F.array(*map(F.lit, base)), F.col("_shard") + 1) + place - 1
     others = others.withColumn("number", number.cast("long")).drop("_shard")
     counted = np.array([sum(r["n"] for r in sizes), sum(r["t"] for r in sizes)], np.int64)
-    return (written(others, "other-words") if sizes else others), at - first, counted
+    return (stepped(others, "other-words") if sizes else others), at - first, counted
 
 
 def score(documents: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -421,7 +422,7 @@ def score(documents: DataFrame, target: DataFrame, id_col: str = "doc_id", text_
 
     counts = docs.select("text", "target").mapInArrow(tallies, "word long, n long, in_target long")
     counts = counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("in_target").alias("in_target"))
-    counts = written(counts, "word-counts")
+    counts = stepped(counts, "word-counts")
     words, unigrams = vocabulary(counts, VOCABULARY_MOST)
     rows = docs.select(F.count(F.lit(1)).alias("d"), F.count_if("target").alias("t")).first()
     tokens = counts.agg(F.sum("n").alias("n"), F.sum("in_target").alias("t")).first()
@@ -435,20 +436,20 @@ def score(documents: DataFrame, target: DataFrame, id_col: str = "doc_id", text_
     size, total = words.end + 1 + n_others, all_tokens + [rows["d"], rows["t"]]
 
     sent = docs.select("doc_id", "target", "text").mapInArrow(encoded(words, shards, n_others > 0), postings.PARCEL)
-    texts = written(sent, "batches")
+    texts = stepped(sent, "batches")
     if n_others:
         asked = texts.filter("role = 1").unionByName(others.mapInArrow(word_parcels(shards), postings.PARCEL))
         told = postings.by_shard(asked).mapInArrow(answers, postings.PARCEL)
         work = postings.by_batch(texts.filter("role = 2").unionByName(told))
-        asking, texts = texts, written(work.mapInArrow(resolved, postings.PARCEL), "numbered-batches")
+        asking, texts = texts, stepped(work.mapInArrow(resolved, postings.PARCEL), "numbered-batches")
         forget(asking)
     forget(counts)
 
     parcels = texts.mapInArrow(bigram_counts(words.end, shards), postings.PARCEL)
-    bigrams = written(postings.by_shard(parcels).mapInArrow(postings.sum_counts(KIND), postings.PARCEL), "bigrams")
+    bigrams = stepped(postings.by_shard(parcels).mapInArrow(postings.sum_counts(KIND), postings.PARCEL), "bigrams")
     numbers = ("n", "kinds", "t_n", "t_kinds")
     contexts = bigrams.mapInArrow(context_rows, "context long, " + ", ".join(f"{c} long" for c in numbers))
-    contexts = written(contexts.groupBy("context").agg(*[F.sum(c).alias(f"c_{c}") for c in numbers]), "contexts")
+    contexts = stepped(contexts.groupBy("context").agg(*[F.sum(c).alias(f"c_{c}") for c in numbers]), "contexts")
     near = contexts.filter(F.col("context") <= words.end).toPandas()
     by_number = np.zeros((words.end + 1, 4), np.int64)  # one row per broadcast word
     by_number[near["context"].to_numpy(np.int64)] = near[[f"c_{c}" for c in numbers]].to_numpy(np.int64)
@@ -457,12 +458,12 @@ def score(documents: DataFrame, target: DataFrame, id_col: str = "doc_id", text_
     work = bigrams
     if n_others:
         values = others.join(contexts.withColumnRenamed("context", "number"), "number", "left").fillna(0)
-        values = written(values.mapInArrow(other_values(size, total, shards), postings.PARCEL), "word-values")
+        values = stepped(values.mapInArrow(other_values(size, total, shards), postings.PARCEL), "word-values")
         asked = bigrams.mapInArrow(value_asks(words.end, shards), postings.PARCEL).unionByName(values.filter("role = 0"))
         told = postings.by_shard(asked).mapInArrow(value_answers, postings.PARCEL)
         work = postings.by_shard(bigrams.unionByName(told).unionByName(values.filter("role = 3")))
-    gains = written(work.mapInArrow(gain_rows(model, most), postings.PARCEL), "gains")
-    forget(bigrams)
+    gains = stepped(work.mapInArrow(gain_rows(model, most), postings.PARCEL), "gains")
+    forget(bigrams, contexts, *([others, values] if n_others else []))
     hot = gains.filter("role = 4").select("keys", "a", "b").toPandas()  # at most 2 * HOT_SHARE keys
     keys, *both = (np.frombuffer(b"".join(hot[c]), k) for c, k in (("keys", KIND), ("a", "<f8"), ("b", "<f8")))
     order = np.argsort(keys)
@@ -472,4 +473,6 @@ def score(documents: DataFrame, target: DataFrame, id_col: str = "doc_id", text_
     work = postings.by_shard(gains.filter("role = 0").unionByName(sent))
     sums = work.mapInArrow(postings.add_up(KIND, as_gains), postings.SUMS)
     schema = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
-    return postings.by_batch(sums).mapInArrow(losses, schema).withColumnRenamed("doc_id", id_col)
+    scored = stepped(postings.by_batch(sums).mapInArrow(losses, schema), "losses")
+    forget(gains, texts)
+    return scored.withColumnRenamed("doc_id", id_col)
