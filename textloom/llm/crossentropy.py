@@ -52,6 +52,7 @@ VOCABULARY_MOST = 65_000  # words that are broadcast
 UNKNOWN = 0
 HOT_SHARE = 20_000
 SHARD_TOKENS = 2_000_000  # a shard of bigrams has at most about so many, were all distinct
+BATCH_BYTES = 1_000_000  # of text, in a task at once; a longer text comes alone
 KIND = "<u8"
 ASK = np.uint32(1 << 31)  # with a word's place among the distinct words that a batch asks for
 WORD = np.uint64(0xFFFFFFFF << 32)  # with a word's number: the key of its own value
@@ -60,7 +61,7 @@ VALUE = np.dtype([("p", "<f8", 2), ("kinds", "<f8", 2)])
 
 def tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, target) to (word, n, in_target), a row per distinct word of a batch."""
-    for batch in sliced(batches, "text", 4 << 20):
+    for batch in sliced(batches, "text", BATCH_BYTES):
         words, bounds = word_hashes(lowered(batch.column("text")))
         target = np.repeat(batch.column("target").to_numpy(zero_copy_only=False), np.diff(bounds))
         names, inverse = np.unique(words, return_inverse=True)
@@ -95,7 +96,7 @@ def encoded(words: Words, shards: int, ask: bool) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = postings.batch_ids()
-        for batch in sliced(batches, "text", 2 << 20):
+        for batch in sliced(batches, "text", BATCH_BYTES):
             number = next(numbers)
             hashes, bounds = word_hashes(lowered(batch.column("text")))
             symbols = words.encode(hashes).astype("<u4")
