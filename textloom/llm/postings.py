@@ -5,6 +5,10 @@ of documents sends, per shard of the n-grams, its distinct n-grams once and for
 each of their occurrences the document's number in the batch (two bytes). The
 task that has the shard's values adds them up per document and sends sparse
 sums back to the batch.
+
+What batches send is laid out for the codec of the shuffle: sorted keys as the
+steps between them, and numbers by planes of bytes, so that upper bytes, mostly
+the same, stand together.
 """
 
 from __future__ import annotations
@@ -42,6 +46,26 @@ def parcel(columns: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """The first byte of every number, then the second of every one, and so on."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def from_planes(data: pa.Buffer | bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def steps(keys: np.ndarray, kind: str) -> bytes:
+    """Ascending keys."""
+    keys = keys.astype(kind)
+    return planes(np.diff(keys, prepend=keys.dtype.type(0)))
+
+
+def from_steps(data: pa.Buffer | bytes, kind: str) -> np.ndarray:
+    return np.cumsum(from_planes(data, kind), dtype=kind)
+
+
 def count_parcels(keys: np.ndarray, second: np.ndarray, shards: int, batch: int, kind: str) -> pa.RecordBatch:
     """Distinct keys with their counts, and those where `second` holds, by shard."""
     order = np.argsort(keys, kind="stable")
@@ -54,7 +78,7 @@ def count_parcels(keys: np.ndarray, second: np.ndarray, shards: int, batch: int,
     for shard, at in split(shard_of(keys, shards)):
         for column, value in zip(
             rows,
-            (shard, 1, batch, keys[at].astype(kind).tobytes(), counts[at].tobytes(), marked[at].tobytes()),
+            (shard, 1, batch, steps(keys[at], kind), planes(counts[at]), planes(marked[at])),
             strict=True,
         ):
             column.append(value)
@@ -76,7 +100,7 @@ def posting_parcels(
     for shard, at in split(homes[head]):
         c = counts[at]
         spots = np.repeat(head[at], c) + np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
-        values = (shard, 1, batch, keys[head[at]].astype(kind).tobytes(), c.astype("<u4").tobytes(), docs[spots].tobytes())
+        values = (shard, 1, batch, steps(keys[head[at]], kind), planes(c.astype("<u4")), planes(docs[spots]))
         for column, value in zip(rows, values, strict=True):
             column.append(value)
     return parcel(rows)
@@ -123,8 +147,7 @@ def sum_counts(kind: str) -> Callable:
                         yield finished()
                     shard, parts, waiting = here, [], 0
                 keys, *counts = (batch.column(c)[row].as_buffer() for c in ("keys", "a", "b"))
-                # Copies, so that no batch is kept for the sake of a parcel.
-                part = np.frombuffer(keys, kind).copy(), *(np.frombuffer(c, "<u4").astype("<i8") for c in counts)
+                part = from_steps(keys, kind), *(from_planes(c, "<u4").astype("<i8") for c in counts)
                 parts.append(part)
                 waiting += len(part[0])
                 if waiting > max(PENDING, len(parts[0][0])):
@@ -182,9 +205,8 @@ def add_up(kind: str, values: Callable[[np.ndarray, np.ndarray, np.ndarray], tup
                 if role == 2:
                     new = [number, 0, *(x.as_py() for x in blobs)]
                 else:
-                    keys = np.frombuffer(blobs[0].as_buffer(), kind)
-                    counts = np.frombuffer(blobs[1].as_buffer(), "<u4")
-                    docs = np.frombuffer(blobs[2].as_buffer(), "<u2")
+                    keys = from_steps(blobs[0].as_buffer(), kind)
+                    counts, docs = (from_planes(x.as_buffer(), k) for x, k in zip(blobs[1:], ("<u4", "<u2"), strict=True))
                     place = np.minimum(np.searchsorted(names, keys), max(len(names) - 1, 0))
                     known = names[place] == keys if len(names) else np.zeros(len(keys), bool)
                     sums = []
