@@ -16,6 +16,7 @@ bigrams ask for their values; and documents get them as they get those of
 bigrams, of which a key is two numbers of 32 bits. Bigrams and such words that make up more than
 1 / HOT_SHARE of all tokens, at most HOT_SHARE of them, are broadcast too: no
 task gathers the postings of a bigram that a third of the documents have.
+Scratch space is held down by scoring the shards in PARTS, one after the other.
 
 Counts and scores cover all documents and whole texts. Defined cases: null and
 empty texts have 0 tokens (only their end is an event), losses of that event;
@@ -26,6 +27,7 @@ than id and text are not looked at.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -53,6 +55,7 @@ UNKNOWN = 0
 HOT_SHARE = 20_000
 SHARD_TOKENS = 2_000_000  # a shard of bigrams has at most about so many, were all distinct
 BATCH_BYTES = 1_000_000  # of text, in a task at once; a longer text comes alone
+PARTS = 2  # of the shards, scored one after the other: what is sent at once goes by half
 KIND = "<u8"
 ASK = np.uint32(1 << 31)  # with a word's place among the distinct words that a batch asks for
 WORD = np.uint64(0xFFFFFFFF << 32)  # with a word's number: the key of its own value
@@ -314,8 +317,8 @@ def gain_rows(model: Model, most: int) -> Callable:
             order = np.argsort(keys)
             keys, gains, n = keys[order], gains[order], n[order]
             for role, some in ((0, np.ones(len(n), bool)), (4, n > most)):
-                blobs = keys[some], np.ascontiguousarray(gains[some, 0]), np.ascontiguousarray(gains[some, 1])
-                yield postings.parcel([[shard], [role], [0], *([x.tobytes()] for x in blobs)])
+                blobs = postings.steps(keys[some], KIND), *(postings.planes(gains[some, k]) for k in (0, 1))
+                yield postings.parcel([[shard], [role], [0], *([x] for x in blobs)])
 
     return run
 
@@ -324,9 +327,10 @@ def as_gains(keys: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray
     return a.view(np.float64), b.view(np.float64)
 
 
-def score_parcels(end: int, model: Model, hot: tuple[np.ndarray, np.ndarray], shards: int) -> Callable:
-    """Batches to postings of ordinary bigrams and words, and per batch the ids,
-    tokens and what broadcast words, contexts and hot keys add."""
+def score_parcels(end: int, model: Model, hot: tuple[np.ndarray, np.ndarray], shards: int, part: int) -> Callable:
+    """Batches to postings of ordinary bigrams and words of the shards of a part,
+    and with part 0, per batch, the ids, tokens and what broadcast words, contexts
+    and hot keys add."""
     log_word = np.log(model.word)
     hot_keys, hot_gain = hot
 
@@ -339,23 +343,29 @@ def score_parcels(end: int, model: Model, hot: tuple[np.ndarray, np.ndarray], sh
                 keys = (context << 32 | word)[follows].astype(np.uint64)
                 keys = np.concatenate([keys, word[other].astype(np.uint64) | WORD])
                 owner = np.concatenate([doc[follows], doc[other]])
-                place, known = found(hot_keys, keys)
-                near = np.flatnonzero(follows & (context <= end))
-                own = []
-                for k in (0, 1):
-                    each = np.bincount(doc[~other], log_word[word[~other], k], table.num_rows)
-                    each += np.bincount(doc[near], model.bow[context[near], k], table.num_rows)
-                    each += np.bincount(owner[known], hot_gain[place[known], k], table.num_rows)
-                    own.append(each.astype("<f8"))
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, table.schema) as stream:
-                    stream.write_table(table)
-                shard = int(postings.shard_of(np.array([number]), shards)[0])
-                yield postings.parcel(
-                    [[shard], [2], [number], [sink.getvalue().to_pybytes()], [own[0].tobytes()], [own[1].tobytes()]]
-                )
-                if not known.all():
-                    yield postings.posting_parcels(keys[~known], owner[~known], shards, number, KIND)
+                homes = postings.shard_of(keys, shards)
+                if part == 0:
+                    place, known = found(hot_keys, keys)
+                    near = np.flatnonzero(follows & (context <= end))
+                    own = []
+                    for k in (0, 1):
+                        each = np.bincount(doc[~other], log_word[word[~other], k], table.num_rows)
+                        each += np.bincount(doc[near], model.bow[context[near], k], table.num_rows)
+                        each += np.bincount(owner[known], hot_gain[place[known], k], table.num_rows)
+                        own.append(each.astype("<f8"))
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, table.schema) as stream:
+                        stream.write_table(table)
+                    shard = int(postings.shard_of(np.array([number]), shards)[0])
+                    yield postings.parcel(
+                        [[shard], [2], [number], [sink.getvalue().to_pybytes()], [own[0].tobytes()], [own[1].tobytes()]]
+                    )
+                    mine = np.flatnonzero(~known & (homes % PARTS == 0))
+                else:
+                    mine = np.flatnonzero(homes % PARTS == part)
+                    mine = mine[~found(hot_keys, keys[mine])[1]]
+                if len(mine):
+                    yield postings.posting_parcels(keys[mine], owner[mine], shards, number, KIND, homes[mine])
 
     return run
 
@@ -466,14 +476,18 @@ def score(documents: DataFrame, target: DataFrame, id_col: str = "doc_id", text_
     gains = stepped(work.mapInArrow(gain_rows(model, most), postings.PARCEL), "gains")
     forget(bigrams, contexts, *([others, values] if n_others else []))
     hot = gains.filter("role = 4").select("keys", "a", "b").toPandas()  # at most 2 * HOT_SHARE keys
-    keys, *both = (np.frombuffer(b"".join(hot[c]), k) for c, k in (("keys", KIND), ("a", "<f8"), ("b", "<f8")))
+    keys = np.concatenate([np.zeros(0, KIND), *(postings.from_steps(x, KIND) for x in hot["keys"])])
+    both = [np.concatenate([np.zeros(0), *(postings.from_planes(x, "<f8") for x in hot[c])]) for c in ("a", "b")]
     order = np.argsort(keys)
     hot = keys[order], np.stack(both, axis=1)[order]
 
-    sent = texts.mapInArrow(score_parcels(words.end, model, hot, shards), postings.PARCEL)
-    work = postings.by_shard(gains.filter("role = 0").unionByName(sent))
-    sums = work.mapInArrow(postings.add_up(KIND, as_gains), postings.SUMS)
+    sums = []
+    for part in range(PARTS):
+        sent = texts.mapInArrow(score_parcels(words.end, model, hot, shards, part), postings.PARCEL)
+        work = postings.by_shard(gains.filter(f"role = 0 and shard % {PARTS} = {part}").unionByName(sent))
+        sums.append(stepped(work.mapInArrow(postings.add_up(KIND, as_gains), postings.SUMS), "sums"))
     schema = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
-    scored = stepped(postings.by_batch(sums).mapInArrow(losses, schema), "losses")
-    forget(gains, texts)
+    work = postings.by_batch(functools.reduce(DataFrame.unionByName, sums))
+    scored = stepped(work.mapInArrow(losses, schema), "losses")
+    forget(gains, texts, *sums)
     return scored.withColumnRenamed("doc_id", id_col)

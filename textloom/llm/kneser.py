@@ -267,7 +267,8 @@ def gain_shards(d: list[float], region: int) -> Callable:
             names, place = np.unique(np.concatenate(keys), return_inverse=True)
             gains = np.bincount(place, np.concatenate(gain), len(names)).astype("<f8")
             counts = np.bincount(place, np.concatenate(n), len(names)).astype("<i8")
-            yield postings.parcel([[shard], [0], [0], [names.tobytes()], [gains.tobytes()], [counts.tobytes()]])
+            blobs = postings.steps(names, KIND), postings.planes(gains), postings.planes(counts)
+            yield postings.parcel([[shard], [0], [0], *([x] for x in blobs)])
             bits = np.zeros(region, bool)
             bits[slot(names, region)] = True
             yield postings.parcel([[shard], [1], [0], [np.packbits(bits).tobytes()], [b""], [b""]])
@@ -347,8 +348,8 @@ def model_rows(pick: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Callable
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                kinds = (("keys", KIND), ("a", "<f8"), ("b", "<i8"))
-                keys, gain, n = (np.frombuffer(batch.column(c)[row].as_buffer(), k) for c, k in kinds)
+                keys = postings.from_steps(batch.column("keys")[row].as_buffer(), KIND)
+                gain, n = (postings.from_planes(batch.column(c)[row].as_buffer(), k) for c, k in (("a", "<f8"), ("b", "<i8")))
                 some = pick(keys, n)
                 columns = [keys[some].view(np.int64), gain[some], n[some]]
                 yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["key", "gain", "n"])

@@ -48,7 +48,7 @@ def parcel(columns: list[list]) -> pa.RecordBatch:
 
 def planes(values: np.ndarray) -> bytes:
     """The first byte of every number, then the second of every one, and so on."""
-    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
 
 def from_planes(data: pa.Buffer | bytes, kind: str) -> np.ndarray:
@@ -185,9 +185,10 @@ def gathered(column: pa.ChunkedArray, kind: str) -> np.ndarray:
 
 
 def add_up(kind: str, values: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> Callable:
-    """A shard's model and postings, sorted by shard and role, to SUMS: per batch
-    the documents met (role 1) and the sums of their two values. values: from
-    (keys, a, b) of the model to the two values of each key."""
+    """A shard's model (keys as steps, a and b as planes of 64 bits) and postings,
+    sorted by shard and role, to SUMS: per batch the documents met (role 1) and
+    the sums of their two values. values: from (keys, a, b) of the model to the
+    two values of each key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, one, two, shard = np.zeros(0, kind), np.zeros(0), np.zeros(0), None
@@ -199,8 +200,8 @@ def add_up(kind: str, values: Callable[[np.ndarray, np.ndarray, np.ndarray], tup
                 if here != shard:
                     names, one, two, shard = np.zeros(0, kind), np.zeros(0), np.zeros(0), here
                 if role == 0:
-                    names = np.frombuffer(blobs[0].as_buffer(), kind)
-                    one, two = values(names, *(np.frombuffer(x.as_buffer(), "<i8") for x in blobs[1:]))
+                    names = from_steps(blobs[0].as_buffer(), kind)
+                    one, two = values(names, *(from_planes(x.as_buffer(), "<i8") for x in blobs[1:]))
                     continue
                 if role == 2:
                     new = [number, 0, *(x.as_py() for x in blobs)]
