@@ -264,14 +264,22 @@ def value_asks(end: int, shards: int) -> Callable:
     """Bigrams of a shard to the numbers whose values it asks for (role 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, shard = np.zeros(0, np.uint64), None
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            numbers = asked[asked > end].astype("<u4")
+            for to, at in postings.split(numbers.astype(np.int64) % shards):
+                yield postings.parcel([[to], [1], [shard], [numbers[at].tobytes()], [b""], [b""]])
+
         for batch in batches:
             for row in range(batch.num_rows):
+                here = batch.column("shard")[row].as_py()
+                if here != shard:
+                    yield from sent()
+                    asked, shard = np.zeros(0, np.uint64), here
                 keys = np.frombuffer(batch.column("keys")[row].as_buffer(), KIND)
-                numbers = np.unique(np.concatenate([keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)]))
-                numbers = numbers[numbers > end].astype("<u4")
-                number = batch.column("shard")[row].as_py()
-                for shard, at in postings.split(numbers.astype(np.int64) % shards):
-                    yield postings.parcel([[shard], [1], [number], [numbers[at].tobytes()], [b""], [b""]])
+                asked = np.unique(np.concatenate([asked, keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)]))
+        yield from sent()
 
     return run
 
@@ -317,8 +325,8 @@ def gain_rows(model: Model, most: int) -> Callable:
             order = np.argsort(keys)
             keys, gains, n = keys[order], gains[order], n[order]
             for role, some in ((0, np.ones(len(n), bool)), (4, n > most)):
-                blobs = postings.steps(keys[some], KIND), *(postings.planes(gains[some, k]) for k in (0, 1))
-                yield postings.parcel([[shard], [role], [0], *([x] for x in blobs)])
+                columns = [keys[some], *(gains[some, k] for k in (0, 1))]
+                yield from postings.pieces(shard, role, columns, postings.model_layout(KIND))
 
     return run
 

@@ -267,8 +267,7 @@ def gain_shards(d: list[float], region: int) -> Callable:
             names, place = np.unique(np.concatenate(keys), return_inverse=True)
             gains = np.bincount(place, np.concatenate(gain), len(names)).astype("<f8")
             counts = np.bincount(place, np.concatenate(n), len(names)).astype("<i8")
-            blobs = postings.steps(names, KIND), postings.planes(gains), postings.planes(counts)
-            yield postings.parcel([[shard], [0], [0], *([x] for x in blobs)])
+            yield from postings.pieces(shard, 0, [names, gains, counts], postings.model_layout(KIND))
             bits = np.zeros(region, bool)
             bits[slot(names, region)] = True
             yield postings.parcel([[shard], [1], [0], [np.packbits(bits).tobytes()], [b""], [b""]])

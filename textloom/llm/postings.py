@@ -115,12 +115,30 @@ def split(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(group[part[0]]), part
 
 
+#: Keys in a row of counts or values: rows of some 100 KB a column, as larger ones
+#: are allocated apart by the JVM and make its heap grow.
+PIECE = 1 << 14
+
+
+def pieces(shard: int, role: int, columns: list[np.ndarray], layout: Callable) -> Iterator[pa.RecordBatch]:
+    """Columns as rows of PIECE entries, numbered by `batch`; layout: of the
+    columns of a piece, as bytes."""
+    for number, at in enumerate(range(0, len(columns[0]), PIECE)):
+        blobs = layout(*(c[at : at + PIECE] for c in columns))
+        yield parcel([[shard], [role], [number], *([x] for x in blobs)])
+
+
+def model_layout(kind: str) -> Callable:
+    """What add_up takes for a model."""
+    return lambda keys, a, b: (steps(keys, kind), planes(a), planes(b))
+
+
 #: Entries of parcels that wait for a merge, beside as many as are merged already.
 PENDING = 1 << 19
 
 
 def sum_counts(kind: str) -> Callable:
-    """Parcels of counts, sorted by shard, to one row (role 0) per shard. Parcels
+    """Parcels of counts, sorted by shard, to rows (role 0) per shard. Parcels
     are merged as they come: a task holds a shard's distinct keys twice over,
     however many batches have them."""
 
@@ -134,17 +152,16 @@ def sum_counts(kind: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, parts, waiting = None, [], 0
 
-        def finished() -> pa.RecordBatch:
-            done = merged(parts)
-            blobs = [x.tobytes() for x in done[0]] if done else [b""] * 3
-            return parcel([[shard], [0], [0], *([x] for x in blobs)])
+        def finished() -> Iterator[pa.RecordBatch]:
+            for done in merged(parts) if parts else []:
+                yield from pieces(shard, 0, done, lambda *columns: [x.tobytes() for x in columns])
 
         for batch in batches:
             for row in range(batch.num_rows):
                 here = batch.column("shard")[row].as_py()
                 if here != shard:
                     if shard is not None:
-                        yield finished()
+                        yield from finished()
                     shard, parts, waiting = here, [], 0
                 keys, *counts = (batch.column(c)[row].as_buffer() for c in ("keys", "a", "b"))
                 part = from_steps(keys, kind), *(from_planes(c, "<u4").astype("<i8") for c in counts)
@@ -153,7 +170,7 @@ def sum_counts(kind: str) -> Callable:
                 if waiting > max(PENDING, len(parts[0][0])):
                     parts, waiting = merged(parts), 0
         if shard is not None:
-            yield finished()
+            yield from finished()
 
     return run
 
@@ -191,18 +208,21 @@ def add_up(kind: str, values: Callable[[np.ndarray, np.ndarray, np.ndarray], tup
     two values of each key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, one, two, shard = np.zeros(0, kind), np.zeros(0), np.zeros(0), None
+        names, one, two, shard, parts = np.zeros(0, kind), np.zeros(0), np.zeros(0), None, []
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for row in range(batch.num_rows):
                 here, role, number = (batch.column(c)[row].as_py() for c in ("shard", "role", "batch"))
                 blobs = [batch.column(c)[row] for c in ("keys", "a", "b")]
                 if here != shard:
-                    names, one, two, shard = np.zeros(0, kind), np.zeros(0), np.zeros(0), here
+                    names, one, two, shard, parts = np.zeros(0, kind), np.zeros(0), np.zeros(0), here, []
                 if role == 0:
-                    names = from_steps(blobs[0].as_buffer(), kind)
-                    one, two = values(names, *(from_planes(x.as_buffer(), "<i8") for x in blobs[1:]))
+                    kinds = ((from_steps, kind), (from_planes, "<i8"), (from_planes, "<i8"))
+                    parts.append([f(x.as_buffer(), k) for x, (f, k) in zip(blobs, kinds, strict=True)])
                     continue
+                if parts:
+                    names, *both = (np.concatenate(x) for x in zip(*parts, strict=True))
+                    (one, two), parts = values(names, *both), []
                 if role == 2:
                     new = [number, 0, *(x.as_py() for x in blobs)]
                 else:
