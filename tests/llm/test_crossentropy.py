@@ -133,3 +133,49 @@ def test_counts_merged_as_they_come(monkeypatch):
     for (shard, batch, keys, _), held, values in postings.served(iter([*model, *asks]), "<u8", "<u4"):
         assert shard == 0 and keys.tolist() == names[batch:].tolist()
         assert held.tolist() == names.tolist() and values.tolist() == (names * 3).tolist()
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 40])
+def test_layouts_round_trip(n):
+    rng = np.random.default_rng(n)
+    keys = np.sort(rng.integers(0, 1 << 64, n, np.uint64, endpoint=False) | np.uint64(n and 1 << 63))
+    values = rng.normal(size=(n, 2))
+    assert postings.from_steps(postings.steps(keys, "<u8"), "<u8").tolist() == keys.tolist()
+    assert postings.from_planes(postings.planes(values[:, 1]), "<f8").tolist() == values[:, 1].tolist()
+
+
+def test_models_in_pieces_add_up(monkeypatch):
+    """A shard's model in many rows, over several batches, gives the sums of a dictionary."""
+    monkeypatch.setattr(postings, "PIECE", 4)
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 1 << 50, 30).astype(np.uint64))
+    gains = rng.normal(size=(len(keys), 2))
+    model = postings.pieces(0, 0, [keys, gains[:, 0], gains[:, 1]], postings.model_layout("<u8"))
+    met = rng.integers(0, len(keys) + 3, 200)  # some that the model has not
+    doc = rng.integers(0, 9, 200)
+    every = np.append(keys, [1 << 51, 1 << 52, 1 << 53]).astype(np.uint64)
+    sent = postings.posting_parcels(every[met], doc, 1, 7, "<u8")
+    table = pa.Table.from_batches([*model, sent]).combine_chunks()
+    assert table.num_rows > 5
+    got = np.zeros((9, 2))
+    for out in postings.add_up("<u8", crossentropy.as_gains)(iter(table.to_batches(max_chunksize=3))):
+        for row in out.to_pylist():
+            docs = np.frombuffer(row["keys"], "<u2")
+            got[docs] += np.stack([np.frombuffer(row[c], "<f8") for c in ("a", "b")], axis=1)
+    want = np.zeros((9, 2))
+    for k, d in zip(met, doc, strict=True):
+        if k < len(keys):
+            want[d] += gains[k]
+    assert got == pytest.approx(want)
+
+
+def test_counts_in_pieces(monkeypatch):
+    monkeypatch.setattr(postings, "PIECE", 4)
+    keys = np.repeat(np.arange(10, 31, 2), 3).astype(np.uint64)
+    sent = postings.count_parcels(keys, keys % np.uint64(4) == 0, 1, 0, "<u8")
+    out = list(postings.sum_counts("<u8")(iter([sent, sent])))
+    assert [b.column("batch")[0].as_py() for b in out] == [0, 1, 2]
+    read = lambda c, kind: np.concatenate([np.frombuffer(b.column(c)[0].as_py(), kind) for b in out])
+    assert read("keys", "<u8").tolist() == list(range(10, 31, 2))
+    assert read("a", "<i8").tolist() == [6] * 11
+    assert read("b", "<i8").tolist() == [6 * (k % 4 == 0) for k in range(10, 31, 2)]

@@ -39,6 +39,7 @@ from textloom.llm.common import (
     mix,
     shuffle_partitions,
     sliced,
+    stepped,
     whole_groups,
     word_hashes,
     written,
@@ -148,7 +149,7 @@ def by_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table
 
 
 def bigram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Summed trigrams to (vw, v, w, c, own), a row per bigram. Below the highest
+    """Summed trigrams to (v, w, c, own), a row per bigram. Below the highest
     order a count is in how many contexts it was seen; what begins a text has
     one context only and keeps its own count."""
     for batch in batches:
@@ -156,9 +157,9 @@ def bigram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             v, w, owner, _, n = blobs(batch, row)
             kinds = np.bincount(owner, minlength=len(v))
             own = np.bincount(owner, n, len(v)).astype(np.int64)
-            columns = [x.view(np.int64) for x in (bigram(v, w), np.ascontiguousarray(v), np.ascontiguousarray(w))]
+            columns = [x.view(np.int64) for x in (np.ascontiguousarray(v), np.ascontiguousarray(w))]
             columns += [np.where(v == BEGIN, own, kinds), own]
-            whole = pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["vw", "v", "w", "c", "own"])
+            whole = pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["v", "w", "c", "own"])
             yield from (whole.slice(at, 1 << 16) for at in range(0, len(v), 1 << 16))
 
 
@@ -212,6 +213,18 @@ def value_parcels(role: int, shards: int) -> Callable:
     return run
 
 
+def bigram_parcels(shards: int) -> Callable:
+    """(v, w, a, b) to parcels (role 1) by the key of the bigram."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = bigram(*(batch.column(c).to_numpy().view(np.uint64) for c in ("v", "w")))
+            columns = [pa.array(keys.view(np.int64)), batch.column("a"), batch.column("b")]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "a", "b"])
+
+    return lambda batches: value_parcels(1, shards)(keyed(batches))
+
+
 #: A trigram on its way to the shard of its first bigram: its key, its count, and
 #: (count - discount) / P of the lower order.
 THREE = np.dtype([("key", "<u8"), ("n", "<i8"), ("over", "<f8")])
@@ -294,12 +307,12 @@ def train(texts: DataFrame) -> Trained:
     """texts: one column, `text`."""
     shards = shuffle_partitions(texts.sparkSession)
     three = postings.by_shard(texts.mapInArrow(trigram_parcels(shards), postings.PARCEL))
-    three = written(three.mapInArrow(sum_trigrams, postings.PARCEL), "trigrams")
+    three = stepped(three.mapInArrow(sum_trigrams, postings.PARCEL), "trigrams")
     numbers = [*"1234", "kinds", "total"]
     stats = three.mapInArrow(trigram_stats, ", ".join(f"`{c}` long" for c in numbers))
     *often, kinds3, occurrences = (x or 0 for x in stats.agg(*[F.sum(f"`{c}`") for c in numbers]).first())
-    two = written(three.mapInArrow(bigram_rows, "vw long, v long, w long, c long, own long"), "bigrams")
-    one = written(two.groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.sum("own").alias("own")), "unigrams")
+    two = stepped(three.mapInArrow(bigram_rows, "v long, w long, c long, own long"), "bigrams")
+    one = stepped(two.groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.sum("own").alias("own")), "unigrams")
     d3, d2, d1 = discounts(often), discounts(seen(two)), discounts(seen(one))
 
     whole = one.agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("kinds")).first()
@@ -309,12 +322,15 @@ def train(texts: DataFrame) -> Trained:
     unknown = float(np.log(base))
     p1 = one.select("w", "own", ((F.col("c") - discount(d1)) / total + base).alias("p1"))
     left2 = context_weights(two, "v", d2).withColumnsRenamed({"total": "total2", "left": "left2"})
-    left2 = written(left2, "contexts")
+    left2 = stepped(left2, "contexts")
     p2 = two.join(p1.drop("own"), "w").join(left2, "v")
     p2 = p2.withColumn("p2", (F.col("c") - discount(d2)) / F.col("total2") + F.col("left2") * F.col("p1"))
     gain2 = F.log(F.col("p2") / (F.col("left2") * F.col("p1")))
-    p2 = p2.select(F.col("vw").alias("key"), F.col("p2").alias("a"), gain2.alias("b"))
-    p2 = p2.mapInArrow(value_parcels(1, shards), postings.PARCEL)
+    p2 = p2.select("v", "w", F.col("p2").alias("a"), gain2.alias("b"))
+    slots = min(BIT_TABLE, 8 * (kinds3 + two.count() + kinds))
+    region = max(8, slots // shards // 8 * 8)
+    p2 = stepped(p2.mapInArrow(bigram_parcels(shards), postings.PARCEL), "bigram-values")
+    forget(two)
 
     # A word's own loss over an unknown one's, and its weight as a context.
     words = p1.join(left2.select(F.col("v").alias("w"), "left2"), "w", "full")
@@ -322,11 +338,11 @@ def train(texts: DataFrame) -> Trained:
     words = words.select(F.col("w").alias("key"), weight.alias("a"), F.coalesce("own", F.lit(0)).cast("long").alias("b"))
     words = words.mapInArrow(value_parcels(2, shards), postings.PARCEL)
 
-    slots = min(BIT_TABLE, 8 * (kinds3 + two.count() + kinds))
-    region = max(8, slots // shards // 8 * 8)
-    handed = postings.by_shard(three.unionByName(p2)).mapInArrow(hand_on(d3, shards), postings.PARCEL)
+    handed = stepped(postings.by_shard(three.unionByName(p2)).mapInArrow(hand_on(d3, shards), postings.PARCEL), "handed-on")
+    forget(three, p2)
     table = postings.by_shard(handed.unionByName(words)).mapInArrow(gain_shards(d3, region), postings.PARCEL)
-    table = written(table, "gains")
+    table = stepped(table, "gains")
+    forget(handed)
     # The end of every text, and the begins before it, are the same for all.
     end, begin = (int(np.array([k]).view(np.int64)[0]) for k in (END, BEGIN))
     last = p1.filter(F.col("w") == end).first()
@@ -336,7 +352,7 @@ def train(texts: DataFrame) -> Trained:
     home = int(postings.shard_of(before, shards)[0])
     for row in table.filter((F.col("role") == 0) & (F.col("shard") == home)).mapInArrow(chosen(before), HOT).collect():
         start += row["gain"]
-    forget(three, two, one, left2)
+    forget(one, left2)
     return Trained(table, shards, region, 3 * occurrences, unknown, start)
 
 
@@ -437,7 +453,7 @@ def losses(documents: DataFrame, model: Trained) -> DataFrame:
     work = postings.by_shard(model.gains.unionByName(sent))
     sums = work.mapInArrow(postings.add_up(KIND, gain_values), postings.SUMS)
     schema = "doc_id long, lang string, n_tokens long, loss double"
-    return postings.by_batch(sums).mapInArrow(mean_losses, schema)
+    return stepped(postings.by_batch(sums).mapInArrow(mean_losses, schema), "losses")
 
 
 def classify(
@@ -464,7 +480,8 @@ def classify(
     learnt = ids.filter(~held_out)
     model = train(docs.join(F.broadcast(learnt) if n_ids <= BROADCAST_IDS else learnt, "doc_id").select("text"))
 
-    scored = written(losses(docs, model), "losses")
+    scored = losses(docs, model)
+    forget(model.gains)
     held = scored.join(ids.filter(held_out), "doc_id")
     cut = F.percentile_approx("loss", quantile, 10_000)
     by_lang = held.groupBy("lang").agg(cut.alias("own"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST)
