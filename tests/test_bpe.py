@@ -40,6 +40,39 @@ def test_same_as_one_merge_at_a_time(spark, monkeypatch, seed, top, proposals):
     assert got.merges == merges
 
 
+def swapped(monkeypatch, mix):
+    """Proposals of older symbols only, all but the first in the order `mix` gives."""
+    propose = bt.propose
+
+    def proposed(ranking, head, spell, *rest):
+        base = len(spell)
+        old = [p for p in propose(ranking, head, spell, *rest) if max(p[:2]) < base]
+        if old[0][2] < base:
+            return old
+        return [(left, right, base + i) for i, (left, right, _) in enumerate(old[:1] + mix(old[1:]))]
+
+    monkeypatch.setattr(bt, "propose", proposed)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_proposals_in_any_order_lead_to_the_same_merges(spark, monkeypatch, seed):
+    draw = random.Random(seed)
+    swapped(monkeypatch, lambda old: draw.sample(old, len(old)))
+    words = random_words(seed)
+    got = bt.train_from_counts(counts_frame(spark, words), 35, 2)
+    ids = vb.byte_ids({b for w in words for b in w.encode()})
+    assert (got.tokens, got.merges) == models.train(words, ids, vb.SPECIALS, 35, 2)
+
+
+def test_merges_that_do_not_meet_change_places_within_a_round(spark, monkeypatch):
+    swapped(monkeypatch, lambda old: old[::-1])
+    rounds, changes = [], bt._changes
+    monkeypatch.setattr(bt, "_changes", lambda *a: rounds.append(1) or changes(*a))
+    got = bt.train_from_counts(counts_frame(spark, {"ab": 9, "cd": 8, "ef": 7, "gh": 6}), 100, 2)
+    assert [m[3] for m in got.merges] == [9, 8, 7, 6]
+    assert len(rounds) == 1
+
+
 def test_runs_of_merges_apply_as_in_sequence():
     draw = random.Random(5)
     for _ in range(300):
