@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -237,5 +238,15 @@ def test_decoding_nulls_cut_characters_and_empty_lists(spark, full):
     assert be.encode_documents(df.select(F.lit("a").alias("text")).limit(0), full).count() == 0
 
 
+def test_batches_are_coded_in_bounded_slices(spark, full, monkeypatch):
+    monkeypatch.setattr(be, "SLICE_ITEMS", 10)
+    texts = pa.array([["a", "b", "c"], None, [], *[["x"] * 4] * 30, ["y"] * 50])
+    assert [x for part in be._slices(texts) for x in part.to_pylist()] == texts.to_pylist()
+    assert max(len(p.flatten()) for p in be._slices(texts) if len(p) > 1) < 20
+    df = spark.createDataFrame([(t,) for t in ["one two three", None, "", *["four five six"] * 40, "z " * 90]], "text string")
+    ids = df.coalesce(1).select("text", be.encode(F.col("text"), full).alias("ids"))
+    assert all(r.back == (r.text or "") for r in ids.select("text", be.decode(F.col("ids"), full).alias("back")).collect())
+
+
 def test_specials_are_found(spark, model):
     assert {r.token for r in vl.special_tokens(model.vocab_table(spark)).collect()} == set(vb.SPECIALS)
