@@ -172,3 +172,24 @@ def test_signatures_of_a_batch_are_those_of_each_text():
         base = [int.from_bytes(hashlib.sha1(x.encode()).digest()[:4], "little") for x in shingle_set(text)]
         want = [min(((int(p) * h + int(q)) % (1 << 64)) % dd.PRIME & dd.MASK for h in base) for p, q in zip(a, b)]
         assert row.tolist() == want
+
+
+def test_a_shingle_that_comes_again_in_a_slice_is_hashed_once(monkeypatch):
+    import hashlib
+
+    import pyarrow as pa
+
+    hashed, sha1 = [], hashlib.sha1
+    monkeypatch.setattr(hashlib, "sha1", lambda data: hashed.append(data) or sha1(data))
+    text = "one two three four five six seven"
+    digests, bounds = dd.shingle_digests(pa.array([text, text, text + " eight"]), 5)
+    assert bounds.tolist() == [0, 3, 6, 10]
+    assert len(hashed) == len(set(hashed)) == 4
+    assert digests[:3].tolist() == digests[3:6].tolist() == digests[6:9].tolist()
+
+
+def test_texts_are_hashed_a_bounded_part_of_a_batch_at_a_time():
+    import pyarrow as pa
+
+    texts = pa.array(["word " * 20_000] * 100)
+    assert max(len(part) for part in dd._slices(texts)) <= 11
