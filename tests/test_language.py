@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +82,18 @@ def test_pieces_of_a_batch_give_the_same_grams():
         assert sorted(got) == sorted(want)
 
 
+def test_grams_are_counted_a_bounded_piece_at_a_time():
+    texts = pd.Series([None, "", "a", "ab", *["abc" * 50] * 20, "é漢😀x", None])
+    pieces = list(lg._piece_counts(texts, 300))
+    assert max(p["n"].sum() for p in pieces) <= 3 * 300 and len(pieces) >= 10
+    want = Counter(t[i : i + n] for t in texts if t for n in (1, 2, 3) for i in range(len(t) - n + 1))
+    got = Counter()
+    for p in pieces:
+        got.update({lg._unpacked(k): n for k, n in zip(p["key"].tolist(), p["n"].tolist(), strict=True)})
+    assert got == want
+    assert list(lg._piece_counts(pd.Series([None, ""], dtype=object))) == []
+
+
 def test_gate_compares_before_rounding(spark):
     df = spark.createDataFrame([(0.79996,), (0.8,)], "conf double")
     assert [r.conf for r in lg.confident(df).collect()] == [0.8]
