@@ -58,3 +58,22 @@ def test_common_lines_go_however_many_are_broadcast(spark, monkeypatch, most):
     got = {r.id: (r.text, r.dropped_lines) for r in boilerplate.drop_repeated_lines(df, repeated, "id").collect()}
     want = {i: (f"own {i}\n ", 4) for i in range(100)}
     assert got == want | {i: (texts[i], 0) for i in (100, 101, 102)}
+
+
+def test_lines_are_cut_once_for_all_verdicts(spark, tmp_path):
+    from textloom.catalog import filters as cf
+
+    texts = ["", " \n ", "short\nlines", "one line that is long enough\n\t\n", None, "a" * 20 + "\r\n" + "b" * 19]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    t = F.col("text")
+    v = d.select("doc_id", ft.line_verdicts(t).alias("v")).select("doc_id", "v.*")
+    one = d.select(
+        "doc_id",
+        ft.has_content_line(t).alias("has_line"),
+        ft.mean_line_length(t).alias("mean_length"),
+        F.when(t.isNotNull(), ft.lines_long_enough(t)).alias("long_enough"),
+    )
+    assert sorted(v.collect()) == sorted(one.collect())
+    d.write.parquet(str(tmp_path / "documents.parquet"))
+    plan = cf.line_length(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
