@@ -193,3 +193,14 @@ def test_texts_are_hashed_a_bounded_part_of_a_batch_at_a_time():
 
     texts = pa.array(["word " * 20_000] * 100)
     assert max(len(part) for part in dd._slices(texts)) <= 11
+
+
+def test_candidates_are_compared_without_written_sets(spark, monkeypatch):
+    names, materialize = [], dd.materialize
+    monkeypatch.setattr(dd, "materialize", lambda df, name: names.append(name) or materialize(df, name))
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(1, text), (2, text + " thirteen"), (3, None), (4, ""), (5, "something else in every word of it"), (2, text)]
+    got = dd.candidate_jaccard(spark.createDataFrame(rows, "ord int, text string"), "ord", LOOSE)
+    found = sorted((r.head, r.ord, r.common, r.total) for r in got.collect())
+    assert found == [(1, 2, 8, 8), (1, 2, 8, 9), (3, 4, 1, 1)]
+    assert "shingle-sets" not in names
