@@ -56,3 +56,14 @@ def test_long_lines_are_linear(spark):
     df = spark.createDataFrame([("x" * 500_000 + "<b>&amp;",)], "text string")
     out = df.select(rp.unescape_plain(F.col("text")).alias("t")).first().t
     assert out == "x" * 500_000 + "<b>&amp;"
+
+
+def test_all_repairs_are_one_step_and_send_back_only_changes(spark, monkeypatch):
+    monkeypatch.setattr(rp, "SLICE_BYTES", 40)
+    texts = ["plain", None, "naïve à la carte", "", "schÃ¶n", "a &amp; b", "x" * 100, "\x00", "ÃƒÂ©\nok ☃", "é", "\x0c"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").coalesce(1)
+    got = {r.i: r.t for r in df.select("i", rp.changes(F.col("text"), *en.STEPS).alias("t")).collect()}
+    changed = {4: "schön", 5: "a & b", 7: "", 8: "é\nok ☃", 9: "é"}
+    assert got == {i: changed.get(i) for i in range(len(texts))}
+    plan = en.recover_encoding(df, flag="changed")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "RLIKE" not in plan and "regexp_replace" not in plan
