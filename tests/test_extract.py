@@ -4,6 +4,7 @@ import time
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from textloom.functions import html as hx
 from textloom.operators import extract as ex
@@ -136,3 +137,27 @@ def test_fifty_thousand_tags_through_spark(spark):
     page = "<div>" + "<nav><b>x</b></nav><p>word &amp; <i>more" * 12_500 + "<a " * 50_000
     assert text_of(spark, page).startswith(" ".join(["word & more"] * 12_500))
     assert text_of(spark, "<p>" + "word<b>x" * 50_000 + "<a " * 50_000).count("word") == 50_000
+
+
+def test_only_untidy_texts_are_tidied_and_in_one_step(spark, monkeypatch):
+    from textloom.functions import repair as rp
+
+    monkeypatch.setattr(rp, "SLICE_BYTES", 20)
+    texts = {
+        "one\ntwo words": None,
+        " one": "one",
+        "one　": "one",
+        "one\n\ntwo": "one\ntwo",
+        "one \ntwo": "one\ntwo",
+        "one\r\ntwo\x85three\x0b\x1c ": "one\ntwo\nthree",
+        " \n\t": "",
+        "": None,
+        "naïve\n漢字": None,
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = [r.t for r in df.select("i", rp.changes(F.col("text"), ex.TIDY).alias("t")).orderBy("i").collect()]
+    assert got == list(texts.values())
+    tidy = [r.text for r in ex.extract_text(df).orderBy("i").collect()]
+    assert tidy == [t for old, new in texts.items() if (t := old if new is None else new)]
+    plan = df.select(ex.tidy_lines(F.col("text")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "split(" not in plan
