@@ -1,6 +1,9 @@
+import random
 from collections import Counter
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +124,24 @@ def test_domain(spark, text, domain):
 def test_histogram_breaks_ties_by_name(spark):
     df = spark.createDataFrame([(c,) for c in "bbaacd"], "lang string")
     assert [(r.lang, r.docs) for r in lg.language_histogram(df, 3).collect()] == [("a", 2), ("b", 2), ("c", 1)]
+
+
+def test_tables_add_up_as_the_scorer_does(monkeypatch):
+    r = random.Random(1)
+    for case in range(80):
+        alphabet, langs = "abé漢\U0001f600"[: r.randint(1, 5)], [str(i) for i in range(r.randint(1, 3))]
+        grams = sorted({"".join(r.choices(alphabet, k=r.randint(1, 3))) for _ in range(r.randint(1, 40))})
+        where = [sorted(r.sample(range(len(langs)), r.randint(0, len(langs)))) for _ in grams]
+        more = [[r.randint(1, 10**6) for _ in w] for w in where]
+        lists = pa.list_(pa.int64())
+        rows = {"key": [int(lg._packed(g)[-1]) for g in grams], "where": pa.array(where, lists), "more": pa.array(more, lists)}
+        scorer = lg.Scorer.of(langs, np.full(len(langs), -5 * 10**6), pa.table(rows))
+        texts = [None, ""] + ["".join(r.choices(alphabet + "zq", k=r.choice([0, 1, 2, 3, 9]))) for _ in range(case % 9)]
+        r.shuffle(texts)
+        texts = pd.Series(texts, dtype=object)
+        doc, found = lg._grams(texts)
+        at, known = scorer.places(found)
+        assert (lg.Tables.of(scorer).sums(texts) == scorer.sums(*lg._counted(doc[known], at[known]), len(texts))).all()
+        monkeypatch.setattr(lg, "TABLE_CELLS", 5)
+        assert lg.Tables.of(scorer) is None
+        monkeypatch.undo()
