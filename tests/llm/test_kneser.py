@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import odd
 from textloom.llm import kneser, queries
@@ -67,6 +68,41 @@ def test_losses_against_the_definition(spark, monkeypatch, hot):
         assert r["loss"] == pytest.approx(plain.loss(rows[r["doc_id"]][1]), abs=1e-9)
 
 
+@pytest.mark.parametrize("split", [1, 60])
+def test_losses_where_middle_words_are_parted(spark, monkeypatch, split):
+    monkeypatch.setattr(kneser, "SPLIT", split)
+    texts = [odd.prose(i % 9, 20 + i % 40) + " the end of the end it is the end" * (i % 3) for i in range(80)] + ["", None, "the"]
+    model = kneser.train(spark.createDataFrame([(t,) for t in texts], "text string").repartition(5))
+    assert (model.hot.parts > 1).sum() >= (split > 1)
+    plain = Plain(texts)
+    rows = [(i, t, "en", "", 0) for i, t in enumerate([*texts[:20], "end the new words", odd.prose(11, 60), "", None, "the the the"])]
+    docs = odd.documents(spark, rows).select("doc_id", "lang", "text").repartition(3)
+    for r in kneser.losses(docs, model).collect():
+        assert r["loss"] == pytest.approx(plain.loss(rows[r["doc_id"]][1]), abs=1e-9)
+
+
+def test_batches_that_change_from_pass_to_pass(spark):
+    texts = [odd.prose(i % 9, 20 + i % 40) for i in range(80)]
+    model = kneser.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    plain = Plain(texts)
+    docs = spark.createDataFrame([(i, "en", t) for i, t in enumerate(texts[:40])], "doc_id long, lang string, text string")
+    got = kneser.losses(docs.orderBy(F.rand().alias("r")).withColumn("_r", F.rand()).filter("_r >= 0").drop("_r"), model)
+    moving = kneser.losses(docs.repartition(3, F.expr("uuid()")), model)
+    for r in [*got.collect(), *moving.collect()]:
+        assert r["loss"] == pytest.approx(plain.loss(texts[r["doc_id"]]), abs=1e-9)
+
+
+def test_counts_take_little_space(spark):
+    draw = np.random.default_rng(5)
+    words = [f"{a}{b}" for a in "bcdfghjklm" for b in range(400)]
+    texts = [" ".join(words[int(k)] for k in np.minimum(draw.zipf(1.3, 300), 4000) - 1) for _ in range(400)]
+    model = kneser.train(spark.createDataFrame([(t,) for t in texts], "text string").repartition(4))
+    sizes = [len(r[0]) + len(r[1]) + len(r[2]) for r in model.three.select("keys", "a", "b").collect()]
+    assert len(sizes) <= model.shards
+    events = sum(len(t.split()) + 1 for t in texts)
+    assert sum(sizes) < 16 * events  # as places in a dictionary, before compression: no 64-bit hash per n-gram
+
+
 def test_probabilities_sum_to_one():
     plain = Plain([odd.prose(i % 3, 20) for i in range(6)])
     words = [*plain.one, "unknown"]
