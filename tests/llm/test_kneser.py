@@ -68,12 +68,14 @@ def test_losses_against_the_definition(spark, monkeypatch, hot):
         assert r["loss"] == pytest.approx(plain.loss(rows[r["doc_id"]][1]), abs=1e-9)
 
 
-@pytest.mark.parametrize("split", [1, 60])
-def test_losses_where_middle_words_are_parted(spark, monkeypatch, split):
+@pytest.mark.parametrize(("split", "coded"), [(1, 0), (60, 1 << 18), (60, 30)])
+def test_losses_where_middle_words_are_parted(spark, monkeypatch, split, coded):
     monkeypatch.setattr(kneser, "SPLIT", split)
+    monkeypatch.setattr(kneser, "CODED", coded)
     texts = [odd.prose(i % 9, 20 + i % 40) + " the end of the end it is the end" * (i % 3) for i in range(80)] + ["", None, "the"]
     model = kneser.train(spark.createDataFrame([(t,) for t in texts], "text string").repartition(5))
     assert (model.hot.parts > 1).sum() >= (split > 1)
+    assert len(model.code) <= coded and (len(model.code) > 0) == (coded > 0)
     plain = Plain(texts)
     rows = [(i, t, "en", "", 0) for i, t in enumerate([*texts[:20], "end the new words", odd.prose(11, 60), "", None, "the the the"])]
     docs = odd.documents(spark, rows).select("doc_id", "lang", "text").repartition(3)

@@ -14,8 +14,8 @@ follows it is summed over all owners and broadcast. Counts are written once, wit
 the words of a shard as a dictionary and n-grams as places in it. Nothing derived
 from them is written: the task that scores a shard makes its probabilities.
 
-A batch of documents sends its distinct trigrams to their shards and gets sums
-back, in back-off form: the middle word's own gain, and those of the bigram, the
+A batch of documents sends its distinct trigrams to their shards, most words as
+numbers of a broadcast code of bounded size, and gets sums back, in back-off form: the middle word's own gain, and those of the bigram, the
 context and the trigram that were seen. Shards are scored in PARTS, one after the
 other, so that only a part of the shuffled n-grams takes disk at a time.
 
@@ -59,6 +59,7 @@ LEAST = 50
 PARTS = 4  # of the shards, scored one after the other
 HOT_SHARE = 20_000  # words with less than this part of all tokens are never parted
 SPLIT = 4  # a middle word is parted from this part of a shard on
+CODED = 1 << 18  # words at most that batches to be scored name by a number, of 2 MB in all
 TEXT_BYTES = 4 << 20  # of text, counted or scored together
 KIND = "<u8"
 BEGIN = np.uint64(0x0B0E0B0E0B0E0B0E)
@@ -176,7 +177,33 @@ def ordered(size: int, v: np.ndarray, w: np.ndarray, u: np.ndarray) -> tuple[np.
     return order, new, new | np.append(True, u[1:] != u[:-1])[: len(v)]
 
 
-def packed(names: np.ndarray, v: np.ndarray, w: np.ndarray, u: np.ndarray, n: np.ndarray | None = None) -> tuple:
+class Names:
+    """Words of a batch, those of the code first: they travel as places in it."""
+
+    def __init__(self, names: np.ndarray, code: np.ndarray) -> None:
+        place, known = find(code, names)
+        order = np.argsort(~known, kind="stable")
+        self.names, self.coded = names[order], place[order][: int(known.sum())]
+        self.rank = np.empty(len(names), np.int64)  # where each word is now
+        self.rank[order] = np.arange(len(names))
+
+    def blob(self, used: np.ndarray) -> bytes:
+        """Ascending places in names."""
+        n = int(np.searchsorted(used, len(self.coded)))
+        coded, rest = self.coded[used[:n]], self.names[used[n:]]
+        return np.array([n], "<u4").tobytes() + postings.steps(coded, "<u4") + postings.steps(rest, KIND)
+
+
+NO_CODE = np.zeros(0, KIND)
+
+
+def named(keys: pa.Buffer, code: np.ndarray) -> np.ndarray:
+    n = int(np.frombuffer(keys, "<u4", 1)[0])
+    coded = postings.from_steps(keys.slice(4, 4 * n), "<u4")
+    return np.concatenate([code[coded], postings.from_steps(keys.slice(4 + 4 * n), KIND)])
+
+
+def packed(names: Names, v: np.ndarray, w: np.ndarray, u: np.ndarray, n: np.ndarray | None = None) -> tuple:
     """Trigrams (places in names) as the blobs of a parcel, equal ones together,
     with the sums of n, else their number: the words in use, and bigrams and
     trigrams as places among them; and the order of the trigrams."""
@@ -190,15 +217,15 @@ def packed(names: np.ndarray, v: np.ndarray, w: np.ndarray, u: np.ndarray, n: np
     begins = order[two]
     columns = [np.diff(v[begins], prepend=0), w[begins], u[order[head]], counts]
     sizes = np.array([len(begins), len(head)], "<u4").tobytes()
-    return postings.steps(names[used], KIND), b"".join([sizes, *(postings.planes(c.astype("<u4")) for c in columns)]), order
+    return names.blob(used), b"".join([sizes, *(postings.planes(c.astype("<u4")) for c in columns)]), order
 
 
 class Trigrams:
     """What `packed` has: names; v and w of each bigram; of each trigram its
     bigram (owner), u and count n."""
 
-    def __init__(self, keys: pa.Buffer, a: pa.Buffer) -> None:
-        self.names = postings.from_steps(keys, KIND)
+    def __init__(self, keys: pa.Buffer, a: pa.Buffer, code: np.ndarray = NO_CODE) -> None:
+        self.names = named(keys, code)
         n2, n3 = np.frombuffer(a, "<u4", 2).tolist()
         ends = 8 + 4 * np.cumsum([0, n2, n2, n3, n3])
         v, w, u, n = (postings.from_planes(a.slice(x, y - x), "<u4") for x, y in zip(ends.tolist(), ends[1:].tolist()))
@@ -231,6 +258,7 @@ def trigram_parcels(hot: Hot, shards: int) -> Callable:
             number = next(numbers)
             names, w, v, u, _, _ = events(batch.column("text"))
             homes = hot.homes(names, v, u, shards)
+            names = Names(names, NO_CODE)
             rows = []
             for shard, at in postings.split(homes):
                 keys, a, _ = packed(names, v[at], w[at], u[at])
@@ -257,7 +285,7 @@ def sum_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             to = np.searchsorted(names, x.names)
             for column, value in zip(columns, (to[x.v][x.owner], to[x.w][x.owner], to[x.u], x.n), strict=True):
                 column.append(value)
-        keys, a, _ = packed(names, *map(np.concatenate, columns))
+        keys, a, _ = packed(Names(names, NO_CODE), *map(np.concatenate, columns))
         yield filled([(shard, 0, 0, keys, a, b"")])
 
 
@@ -394,6 +422,43 @@ def owner_stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in table.T.copy()], OWNER_STATS)
 
 
+def owned_words(test: Callable) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                names = postings.from_steps(batch.column("keys")[row].as_buffer(), KIND)
+                columns = test(names, postings.from_planes(batch.column("a")[row].as_buffer(), "<u4").astype(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "n"])
+
+    return run
+
+
+MOST_FOLLOWED = 1 << 12
+
+
+def word_code(answers: DataFrame) -> np.ndarray:
+    """At most CODED words, those that follow the most others, sorted: whole
+    counts, so that no task ranks all words. It decides what is sent, not what it is worth."""
+
+    def sizes(names: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        each = np.bincount(np.minimum(n, MOST_FOLLOWED), minlength=MOST_FOLLOWED + 1)
+        return np.arange(len(each)), each
+
+    owned = answers.filter("role = 2")
+    rows = owned.mapInArrow(owned_words(sizes), "word long, n long").groupBy("word").agg(F.sum("n")).collect()
+    table = np.zeros(MOST_FOLLOWED + 1, np.int64)
+    for n, words in rows:  # MOST_FOLLOWED + 1 at most
+        table[n] = words
+    least = int(np.searchsorted(-np.cumsum(table[::-1])[::-1], -CODED))  # the first whose words and all above fit
+
+    def most(names: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return names[n >= least].view(np.int64), n[n >= least]
+
+    if least > MOST_FOLLOWED:
+        return NO_CODE
+    return np.sort(owned.mapInArrow(owned_words(most), "word long, n long").toPandas()["word"].to_numpy(np.int64).view(np.uint64))
+
+
 def discounts(n: list[int]) -> list[float]:
     """D1, D2, D3+ from how many n-grams were seen 1 to 4 times."""
     if not n[0] or not n[1]:
@@ -417,7 +482,7 @@ class Trained:
     def __init__(self, three: DataFrame, answers: DataFrame, hot: Hot, shards: int) -> None:
         self.three = three  # PARCEL, role 0: the trigrams of a shard
         self.answers = answers  # PARCEL, roles 1 and 2: what words follow, for each shard
-        self.hot, self.shards = hot, shards
+        self.hot, self.shards, self.code = hot, shards, word_code(answers)
         stats = three.mapInArrow(shard_stats(hot), ", ".join(f"{c} long" for c in SHARD_STATS))
         sums = [x or 0 for x in stats.agg(*[F.sum(c) for c in SHARD_STATS]).first()]
         owned = answers.filter("role = 3").mapInArrow(owner_stats, ", ".join(f"{c} long" for c in OWNER_STATS))
@@ -480,27 +545,29 @@ class Owned:
         lower = model.hot_left[hot - 1] * model.p1(self.follows[place])
         self.gain2 = np.log1p((counts - less(model.d2, counts)) / model.hot_total[hot - 1] / lower)
 
-    def sums(self, keys: pa.Buffer, a: pa.Buffer, b: pa.Buffer) -> np.ndarray:
+    def sums(self, keys: pa.Buffer, a: pa.Buffer, b: pa.Buffer, code: np.ndarray) -> np.ndarray:
         """Of the bigrams of parted words of a batch, per document."""
-        words = postings.from_steps(keys, KIND)
-        hot, n = postings.from_planes(a.slice(0, 2 * len(words)), "<u2"), postings.from_planes(a.slice(2 * len(words)), "<u4")
-        place, known = find(self.names, words)
-        two, found = find(self.two, place << 16 | hot.astype(np.int64))
-        value = np.zeros(len(words))
+        many = a.size // 10
+        w, n = (postings.from_planes(a.slice(at, 4 * many), "<u4") for at in (0, 4 * many))
+        hot = postings.from_planes(a.slice(8 * many), "<u2").astype(np.int64)
+        place, known = (x[np.cumsum(w, dtype=np.int64)] for x in find(self.names, named(keys, code)))
+        two, found = find(self.two, place << 16 | hot)
+        value = np.zeros(many)
         found &= known
         value[found] = self.gain2[two[found]]
         return np.bincount(postings.from_planes(b, "<u2"), np.repeat(value, n))
 
 
-def parted_bigrams(names: np.ndarray, w: np.ndarray, hot: np.ndarray, docs: np.ndarray) -> tuple[bytes, bytes, bytes]:
+def parted_bigrams(names: Names, w: np.ndarray, hot: np.ndarray, docs: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """Bigrams (w, number of a parted word) as blobs: equal ones together, with their documents."""
     order = np.argsort(w << 16 | hot, kind="stable")
     w, hot = w[order], hot[order]
     new = np.append(True, (w[1:] != w[:-1]) | (hot[1:] != hot[:-1]))
     head = np.flatnonzero(new)
-    counts = np.diff(np.append(head, len(w)))
-    columns = postings.planes(hot[head].astype("<u2")) + postings.planes(counts.astype("<u4"))
-    return postings.steps(names[w[head]], KIND), columns, postings.planes(docs[order].astype("<u2"))
+    used, local = np.unique(w[head], return_inverse=True)
+    columns = (np.diff(local, prepend=0), "<u4"), (np.diff(np.append(head, len(w))), "<u4"), (hot[head], "<u2")
+    a = b"".join(postings.planes(c.astype(k)) for c, k in columns)
+    return names.blob(used), a, postings.planes(docs[order].astype("<u2"))
 
 
 class Shard:
@@ -592,12 +659,14 @@ def score_parcels(model: Numbers, part: int) -> Callable:
             first = (body, own) if part == 0 else (b"", b"")
             out = [(shard, 4, number, *first, mark.to_bytes(4, "little"))]
             homes = model.hot.homes(names, v, u, model.shards)
+            owner = postings.shard_of(names, model.shards)[w[parted]]
+            names = Names(names, model.code)
+            w, v, u = (names.rank[x] for x in (w, v, u))
             mine = np.flatnonzero(homes % PARTS == part)
             for shard, at in postings.split(homes[mine]):
                 at = mine[at]
                 keys, a, order = packed(names, v[at], w[at], u[at])
                 out.append((shard, 3, number, keys, a, postings.planes(doc[at][order].astype("<u2"))))
-            owner = postings.shard_of(names, model.shards)[w[parted]]
             mine = parted[owner % PARTS == part]
             for shard, at in postings.split(owner[owner % PARTS == part]):
                 at = mine[at]
@@ -635,9 +704,9 @@ def score_shards(model: Numbers) -> Callable:
                     if role == 3:
                         owned = owned or Owned(*[pa.py_buffer(b"")] * 3, model)
                         values = values or Shard(three, np.concatenate(answers), owned, model)
-                        sums = values.sums(Trigrams(keys, a), postings.from_planes(b, "<u2"))
+                        sums = values.sums(Trigrams(keys, a, model.code), postings.from_planes(b, "<u2"))
                     else:
-                        sums = owned.sums(keys, a, b)
+                        sums = owned.sums(keys, a, b, model.code)
                     some = np.flatnonzero(sums)
                     nothing = np.zeros(len(some)).tobytes()  # totals() adds two values
                     out.append((number, 1, some.astype("<u2").tobytes(), sums[some].tobytes(), nothing))
