@@ -250,3 +250,21 @@ def test_batches_are_coded_in_bounded_slices(spark, full, monkeypatch):
 
 def test_specials_are_found(spark, model):
     assert {r.token for r in vl.special_tokens(model.vocab_table(spark)).collect()} == set(vb.SPECIALS)
+
+
+def test_metrics_from_the_counts_of_training(spark):
+    """Words cut once for both: the same as encoding every text, special tokens included."""
+    texts = ["a low lower lowest  low", "say <s> or <unk>, <s>", " ", None, "\u3000it's lower's  \n\n end ", "a low lower lowest  low", "x<mask>"]
+    rows = [(i, lang, t) for lang in ("en", None, "de") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id int, lang string, text string")
+    for groups in ((), ("lang",)):
+        model, cut, counts = vl.train_counted(df, 60, *groups)
+        assert model == bt.train(df, 60) and len(model.merges) > 3
+        plain = vl.text_metrics(cut, model, *groups)
+        counted = vl.text_metrics(cut, model, *groups, counts=counts)
+        assert sorted(map(str, counted.collect())) == sorted(map(str, plain.collect()))
+        assert counted.dtypes == plain.dtypes
+        # Texts that spell no special token do not go to the encoder again.
+        assert counts.filter("_special").count() > 0
+    nothing = vl.train_counted(df.filter("false"), 60)
+    assert vl.text_metrics(nothing[1], nothing[0], counts=nothing[2]).first()["docs"] == 0
