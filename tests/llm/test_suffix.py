@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import numpy as np
 import pytest
@@ -63,6 +64,71 @@ def test_many_contexts_of_one_anchor(spark, monkeypatch):
     assert order(found(suffix.deduplicate(odd.documents(spark, rows), 40))) == order(expected(rows, 40))
 
 
+def hot(passages=2, texts=30):
+    """Texts that share passages, each with its own surroundings; one text twice."""
+    draw = np.random.default_rng(6)
+    fresh = lambda n: "".join(chr(97 + c) for c in draw.integers(0, 26, n))
+    shared = [fresh(60) for _ in range(passages)]
+    rows = [(i, fresh(50) + shared[i % passages] + fresh(50), "", "", 0) for i in range(texts)]
+    return [*rows, (900, rows[0][1], "", "", 0), (901, fresh(80), "", "", 0), (902, None, "", "", 0)]
+
+
+def test_contexts_of_a_hot_anchor_move_once(spark, monkeypatch):
+    """They are dealt by anchor and part, never brought together by the anchor alone."""
+    plans, write = {}, suffix.written
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(suffix, "written", watched)
+    monkeypatch.setattr(suffix, "SHARED_MOST", 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = found(suffix.deduplicate(odd.documents(spark, hot()), 40))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert order(got) == order(expected(hot(), 40))
+    by = re.findall(r"hashpartitioning\(([^)]*)\)", plans["found"])
+    assert by and all("part#" in keys for keys in by), by
+
+
+def test_many_hot_anchors_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "SHARED_MOST", 4)
+    monkeypatch.setattr(suffix, "BROADCAST_IDS", 0)
+    assert order(found(suffix.deduplicate(odd.documents(spark, hot()), 40))) == order(expected(hot(), 40))
+
+
+def test_windows_of_texts_side_by_side():
+    """Anchors of texts in one buffer are those of each text alone."""
+    draw = np.random.default_rng(7)
+    texts = [draw.integers(0, 3, n).astype(np.uint8) for n in (0, 19, 20, 21, 0, 20, 60, 5, 20, 0)]
+    bounds = np.cumsum([0, *map(len, texts)])
+    got = list(zip(*(x.tolist() for x in suffix.anchors(np.concatenate(texts), bounds, 20))))
+    want = []
+    for i, t in enumerate(texts):
+        _, *rest = suffix.anchors(t, np.array([0, len(t)]), 20)
+        want += [(i, *r) for r in zip(*(x.tolist() for x in rest))]
+    assert got == want
+    starts = [(d, s) for d, _, first, last, _ in got for s in range(first, last + 1)]
+    assert starts == [(i, s) for i, t in enumerate(texts) for s in range(len(t) - 19)]
+
+
+@pytest.mark.parametrize("size", [100, 3_000, 1 << 21])
+def test_suffix_order(size):
+    """Sizes of which ranks go by nine, five and two side by side."""
+    draw = np.random.default_rng(size)
+    part = draw.integers(1, 4, 450)
+    symbols = np.concatenate([np.tile(part, 3), draw.integers(1, 250, size)])[:size].astype(np.int16)
+    symbols[-1] = 0
+    rows = suffix.suffix_order(symbols, 400)
+    assert (np.sort(rows) == np.arange(size)).all()
+    raw = symbols.astype(np.uint8).tobytes()
+    near = [raw[r : r + 400] for r in rows[: 20_000].tolist()]
+    assert near == sorted(near)
+
+
 def test_slices_of_long_texts(monkeypatch):
     monkeypatch.setattr(suffix, "SLICE", 1_000)
     raw = np.random.default_rng(3).integers(0, 4, 5_000).astype(np.uint8)
