@@ -75,13 +75,13 @@ def hot(passages=2, texts=30):
 
 def test_contexts_of_a_hot_anchor_move_once(spark, monkeypatch):
     """They are dealt by anchor and part, never brought together by the anchor alone."""
-    plans, write = {}, suffix.written
+    plans, write = {}, suffix.stepped
 
     def watched(df, name):
         plans[name] = df._jdf.queryExecution().executedPlan().toString()
         return write(df, name)
 
-    monkeypatch.setattr(suffix, "written", watched)
+    monkeypatch.setattr(suffix, "stepped", watched)
     monkeypatch.setattr(suffix, "SHARED_MOST", 4)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -94,6 +94,15 @@ def test_contexts_of_a_hot_anchor_move_once(spark, monkeypatch):
     assert by and all("part#" in keys for keys in by), by
 
 
+def test_shuffled_steps_are_stepped_and_settings_put_back(spark, monkeypatch):
+    steps, write = [], suffix.stepped
+    monkeypatch.setattr(suffix, "stepped", lambda df, name: steps.append(name) or write(df, name))
+    before = spark.conf.getAll
+    suffix.deduplicate(odd.documents(spark, hot()), 40).collect()
+    assert {"texts", "anchors", "concerned", "pool", "found"} <= set(steps)
+    assert spark.conf.getAll == before
+
+
 def test_many_hot_anchors_are_joined(spark, monkeypatch):
     monkeypatch.setattr(suffix, "SHARED_MOST", 4)
     monkeypatch.setattr(suffix, "BROADCAST_IDS", 0)
