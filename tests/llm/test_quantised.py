@@ -86,3 +86,16 @@ def test_rotation_balances_bits():
 def test_forest_and_pairs():
     moved, root = groups.forest(np.array([4, 2, 7]), np.array([2, 1, 8]), 10)
     assert dict(zip(moved.tolist(), root.tolist())) == {2: 1, 4: 1, 8: 7}
+
+
+def test_table_entries_are_never_broadcast(spark, tmp_path):
+    """Spark takes the entries of a few vectors for a few rows, as it does not see the step that makes them."""
+    points = clusters(5, [0.05, 0.1])
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    spark.createDataFrame(rows, "k long, vector array<double>").write.parquet(f"{tmp_path}/vectors")
+    df = spark.read.parquet(f"{tmp_path}/vectors")
+    mean, turns = quantised.fit(quantised.unit_rows(points))
+    entries = df.mapInArrow(quantised.coder(64, mean, turns), "key long, k long, c0 long, c1 long")
+    shared = groups.sharing(entries, "key")
+    assert shared.count() > 0
+    assert "Broadcast" not in shared._jdf.queryExecution().executedPlan().toString()

@@ -22,10 +22,17 @@ BLOCK = 2_048
 UNIT = ("_key", "_a", "_b")
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """df to be joined by a shuffle of both sides. Spark guesses the size of rows
+    that a Python step makes from those that go in, and that of a written table
+    from its compressed files: either may be far too low for a broadcast."""
+    return df.hint("merge")
+
+
 def sharing(rows: DataFrame, key: str) -> DataFrame:
     """Rows whose key at least two rows have, with the key's count as `_n`."""
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    return rows.join(counts, key)
+    return rows.join(by_shuffle(counts), key)
 
 
 def units(rows: DataFrame, key: str, row_id: str, n: str = "_n", block: int = BLOCK) -> DataFrame:

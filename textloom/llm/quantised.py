@@ -189,7 +189,7 @@ def near_duplicates(
 
     together = candidates.withColumnsRenamed({"id": "k", "component": "key"})
     sizes = together.groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
-    members = together.join(sizes, "key").join(distinct.select("k", "n", "vector"), "k")
+    members = together.join(sizes, "key").join(groups.by_shuffle(distinct.select("k", "n", "vector")), "k")
     checked = groups.units(members, "key", "k", block=1_024).mapInArrow(
         linked(width, threshold), "k long, links long, up long"
     )
@@ -203,12 +203,12 @@ def per_row(rows: DataFrame, distinct: DataFrame, checked: DataFrame, classes: D
     """Counts and classes of distinct vectors back to the rows that hold them."""
     links = checked.groupBy("k").agg(F.sum("links").alias("links"))
     named = distinct.select("vector", "k", "first", "n").join(classes.withColumnRenamed("id", "k"), "k", "left")
-    named = named.join(links, "k", "left").withColumn("component", F.coalesce("component", "k"))
+    named = named.join(groups.by_shuffle(links), "k", "left").withColumn("component", F.coalesce("component", "k"))
     smallest = named.groupBy("component").agg(F.min("first").alias("smallest"))
     named = named.join(smallest, "component").select(
         "vector", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "smallest"
     )
-    fit = rows.filter("fit").join(named, "vector").select("id", "n_links", "smallest")
+    fit = rows.filter("fit").join(groups.by_shuffle(named), "vector").select("id", "n_links", "smallest")
     rest = rows.filter("not fit").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("smallest"))
     out = fit.unionByName(rest)
     return out.select(
