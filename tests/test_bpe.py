@@ -117,6 +117,56 @@ def test_reported_changes_are_the_difference_of_counts():
             assert after == want and Counter(dict(zip(*(x.tolist() for x in spare.totals())))) == before
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_ranking_is_cut_and_counted_again(spark, monkeypatch, seed):
+    monkeypatch.setattr(bt, "RANKED", 1)
+    monkeypatch.setattr(bt, "FEW_RUNS", 0)
+    monkeypatch.setattr(bt, "HEAD_WORDS", 2)
+    words = random_words(seed)
+    got = bt.train_from_counts(counts_frame(spark, words), 40, 2, top=4)
+    ids = vb.byte_ids({b for w in words for b in w.encode()})
+    assert (got.tokens, got.merges) == models.train(words, ids, vb.SPECIALS, 40, 2)
+
+
+def test_packed_words_merge_as_before():
+    draw = random.Random(8)
+    for _ in range(200):
+        words = [[draw.randrange(3) for _ in range(draw.randrange(1, 10))] for _ in range(6)]
+        weight = np.array([draw.randrange(1, 9) for _ in words], dtype=np.int64)
+        w = bt.Words(np.array([s for x in words for s in [*x, -1]], dtype=np.int64), weight)
+        for new in range(3, 9):
+            pair = draw.randrange(new), draw.randrange(new)
+            p = w.packed()
+            changes = [dict(zip(*(x.tolist() for x in v.merge(*pair, new)))) for v in (w, p)]
+            assert changes[0] == changes[1]
+            assert [dict(zip(*(x.tolist() for x in v.totals()))) for v in (w, p)][0] == dict(
+                zip(*(x.tolist() for x in p.totals()))
+            )
+
+
+def test_words_are_drawn_with_weights_that_stand_for_all(spark):
+    n = np.array([1_000, 50, 3, 1])
+    symbols = np.array([10, 400, 3_000, 90_000])
+    assert bt._least_weight(n, symbols, 100_000) == 0
+    least = bt._least_weight(n, symbols, 2_000)
+    assert abs((symbols * np.minimum(1, n / least)).sum() - 2_000) < 1
+    rows = [([i % 7, i], 1 + i % 5) for i in range(8_000)] + [([9, 9, 9], 70_000)]
+    words = spark.createDataFrame(rows, "symbols array<int>, n bigint")
+    head = bt._head(words, 4_000)
+    drawn = np.bincount(np.cumsum(head.flat == -1) - (head.flat == -1))
+    assert 3_000 < drawn.sum() - len(drawn) < 5_000 and 9 * bt.PAIR + 9 in head.totals()[0]
+    assert abs(head.weight[head.flat == -1].sum() - sum(r[1] for r in rows)) < 3_000
+    assert len(bt._head(words, 20_000).weight) == 3 * 8_000 + 4
+
+
+def test_a_round_gains_many_merges(spark, docs, monkeypatch):
+    """Proposals are right for most of a round, and those left over tell what they change."""
+    rounds, changes = [], bt._changes
+    monkeypatch.setattr(bt, "_changes", lambda *a: rounds.append(1) or changes(*a))
+    got = bt.train(docs, 1_500)
+    assert len(got.tokens) == 1_500 and len(rounds) <= 12, len(rounds)
+
+
 def test_merging_a_word_is_best_rank_first():
     draw = random.Random(7)
     for _ in range(300):
